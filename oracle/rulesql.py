@@ -1,0 +1,69 @@
+"""Render the rule tables of :mod:`webtrail.functions.rules` as DuckDB SQL ``CASE`` text.
+
+The Spark side compiles the same tables to ``Column``s; the cross-check then
+tests Spark's LIKE/ILIKE/RLIKE/null semantics against DuckDB's.
+"""
+
+from __future__ import annotations
+
+from webtrail.functions import rules
+
+
+def lit(v) -> str:
+    if v is None:
+        return "NULL"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def cond_sql(cond, cols: dict[str, str]) -> str:
+    op = cond[0]
+    if op == "or":
+        return "(" + " OR ".join(cond_sql(c, cols) for c in cond[1]) + ")"
+    if op == "and":
+        return "(" + " AND ".join(cond_sql(c, cols) for c in cond[1]) + ")"
+    if op == "not":
+        return "(NOT " + cond_sql(cond[1], cols) + ")"
+    col = cols[cond[1]]
+    arg = lit(cond[2])
+    if op == "like":
+        return f"({col} LIKE {arg})"
+    if op == "ilike":
+        return f"({col} ILIKE {arg})"
+    if op == "eq":
+        return f"({col} = {arg})"
+    if op == "rlike":
+        return f"regexp_matches({col}, {arg})"
+    raise ValueError(op)
+
+
+def case_sql(table, cols: dict[str, str], default: str) -> str:
+    parts = ["CASE"]
+    for result, cond in table:
+        parts.append(f" WHEN {cond_sql(cond, cols)} THEN CAST({lit(result)} AS VARCHAR)")
+    parts.append(f" ELSE {default} END")
+    return "".join(parts)
+
+
+def source_sql(x: str) -> str:
+    return case_sql(rules.SOURCE_RULES, {"x": x}, x)
+
+
+def medium_sql(x: str) -> str:
+    return case_sql(rules.MEDIUM_RULES, {"x": x}, x)
+
+
+def channel_sql(s: str, m: str, c: str, p: str | None = None, partnership=(), fix=False) -> str:
+    cols = {"s": f"coalesce({s}, '')", "m": f"coalesce({m}, '')", "c": f"coalesce({c}, '')"}
+    if p is not None:
+        cols["p"] = f"coalesce({p}, '')"
+    table = rules.channel_rules(p is not None, partnership, fix)
+    return case_sql(table, cols, lit(rules.UNASSIGNED))
+
+
+def gender_sql(externalid: str, item_name: str, dim_gender: str) -> str:
+    e, n = f"lower({externalid})", f"lower({item_name})"
+    return (f"CASE WHEN {e} LIKE '%nvd%' THEN {lit(rules.GENDER_SHIPPING)}"
+            f" WHEN {n} LIKE '%gift%' THEN {lit(rules.GENDER_UNISEX)}"
+            f" WHEN {n} LIKE '%men%' AND {n} NOT LIKE '%women%' THEN {lit(rules.GENDER_MALE)}"
+            f" WHEN {n} LIKE '%women%' THEN {lit(rules.GENDER_FEMALE)}"
+            f" ELSE {dim_gender} END")

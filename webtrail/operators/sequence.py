@@ -12,8 +12,12 @@ An unpartitioned window moves every row into one task.  Instead:
    offsets with a window over that tiny table;
 4. broadcast-join the offsets back on the partition id.
 
-Steps 2-4 read the same range exchange (Spark reuses it), so the batch is
-shuffled once.  The result equals the global row_number for any total order.
+Range bounds are sampled from the input, so two evaluations of step 1 can
+disagree when the upstream partitioning differs (and the pruned count branch
+would be planned separately).  The partition id and local index are therefore
+stored with a reliable ``checkpoint()`` in the shared checkpoint folder; both
+branches read the same stored values, the lineage is cut, and a lost executor
+cannot renumber rows.  The result equals the global row_number for any total order.
 """
 
 from __future__ import annotations
@@ -44,6 +48,8 @@ def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no"
     ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     local = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    # reliable checkpoint (shared folder): the ids become stored values
+    local = local.checkpoint(eager=True)
     counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__seq_n"))
     # one row per partition: the window below is over at most ``n`` rows
     offsets = counts.select(
