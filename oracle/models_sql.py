@@ -149,3 +149,118 @@ def purchases_ctes(n: str = "pu", feed: str = "raw", mark: str = NO_MARK, intrad
         (f"{n} AS (SELECT *, {acq_channel()} AS acquisition_channel_group, "
          f"{ses_channel(last_click=not intraday)} AS session_channel_group FROM {n}_res)"),
     ]
+
+
+SES_TRAFFIC = (TS_TRAFFIC + [CT + c for c in ("source", "medium", "campaign_id", "campaign_name", "source_platform")]
+               + [LC + c for c in ("source", "medium", "campaign_id", "campaign_name", "source_platform")])
+
+
+def _norm_traffic_subset(prefix: str, names) -> str:
+    out = []
+    for c in names:
+        if c in (TS_TRAFFIC[0], CT + "source", LC + "source"):
+            out.append(f"{source_sql(prefix + c)} AS {c}")
+        elif c in (TS_TRAFFIC[1], CT + "medium", LC + "medium"):
+            out.append(f"{medium_sql(prefix + c)} AS {c}")
+        else:
+            out.append(f"{prefix}{c} AS {c}")
+    return ", ".join(out)
+
+
+def new_users_ctes(n: str, fv_src: str, act_srcs: list[str], pu_src: str, mark: str) -> list[str]:
+    """New users (CTE ``n``): first visits, 31-day look-back over each of ``act_srcs``, return buyers."""
+    out = [f"{n}_fv AS (SELECT DISTINCT event_date, unique_user_id FROM {fv_src} "
+           f"WHERE event_name = 'first_visit' AND event_date > {mark})"]
+    conds = []
+    for i, src in enumerate(act_srcs):
+        out.append(f"{n}_act{i} AS (SELECT t1.event_date, t1.unique_user_id, count(t2.event_name) AS activity "
+                   f"FROM {n}_fv t1 LEFT JOIN {src} t2 ON t1.unique_user_id = t2.unique_user_id "
+                   "AND t2.event_date BETWEEN t1.event_date - 31 AND t1.event_date - 1 "
+                   "GROUP BY t1.unique_user_id, t1.event_date)")
+        conds.append(f"EXISTS (SELECT 1 FROM {n}_act{i} a WHERE a.event_date = f.event_date "
+                     f"AND a.unique_user_id IS NOT DISTINCT FROM f.unique_user_id AND a.activity = 0)")
+    out.append(f"{n}_pc AS (SELECT p.event_date, p.unique_user_id, p.shopify_order_id, ct.customer_type "
+               f"FROM {pu_src} p LEFT JOIN customer_type_fact ct ON p.shopify_order_id = ct.shopify_order_id "
+               f"AND p.event_date > {mark})")
+    out.append(f"{n} AS (SELECT DISTINCT f.event_date, f.unique_user_id FROM {n}_fv f WHERE "
+               + " AND ".join(conds)
+               + f" AND NOT EXISTS (SELECT 1 FROM {n}_pc p WHERE p.unique_user_id = f.unique_user_id "
+               "AND p.event_date = f.event_date AND p.customer_type = 'RETURN'))")
+    return out
+
+
+def sessions_ctes(n: str, feed: str, mark: str, nu: str, intraday: bool = False) -> list[str]:
+    """Sessions (CTE ``n``) over ``feed`` past ``mark``; ``nu`` is the new-users CTE."""
+    dims_clean = ", ".join(f"trim(g.{c}) AS {c}" for c in DEVICE_GEO + [GCLID])
+    keys = ["event_date", "unique_user_id", "unique_session_id", "is_active_user", "visitor_type"] + SESSION_DIMENSIONS
+    counters = ", ".join(f"sum(CASE WHEN event_name = '{ev}' THEN 1 ELSE 0 END) AS {c}" for c, ev in SESSION_COUNTERS)
+    money = ["total_item_quantity", "ecommerce_purchase_revenue_in_usd", "tax_value", "shipping_value",
+             "gross_sales", "gsnd", "gmv"]
+    fl = ["is_active_user", "visitor_type"] + SESSION_DIMENSIONS
+    firstlast = ", ".join(f"min(CASE WHEN minn = 1 THEN {c} END) AS first_event_{c}, "
+                          f"max(CASE WHEN maxx = 1 THEN {c} END) AS last_event_{c}" for c in fl)
+    part = "PARTITION BY event_date, unique_session_id, unique_user_id"
+    w3 = "PARTITION BY f.event_date, f.unique_session_id, f.session_index"
+    return [
+        f"{n}_batch AS (SELECT * FROM {feed} WHERE event_date > {mark})",
+        money_cte(f"{n}_money", f"{n}_batch", purchase_semi=False, unique_items=False),
+        f"{n}_num AS (SELECT *, row_number() OVER (ORDER BY {SEQ_ORDER}) AS s_no FROM {n}_batch)",
+        (f"{n}_ga AS (SELECT g.event_date, {local('g.event_timestamp')} AS event_timestamp, "
+         "trim(g.event_name) AS event_name, trim(g.user_id) AS user_id, "
+         "trim(CAST(g.user_pseudo_id AS VARCHAR)) AS user_pseudo_id, g.is_active_user, g.event_params, "
+         f"{dims_clean}, {clean_traffic('g.', SES_TRAFFIC)}, "
+         "CASE WHEN trim(g.ecommerce_transaction_id) = '(not set)' THEN NULL ELSE trim(g.ecommerce_transaction_id) END "
+         "AS shopify_order_id, coalesce(m.quantity, g.ecommerce_total_item_quantity) AS total_item_quantity, "
+         "g.ecommerce_purchase_revenue_in_usd, m.total_tax AS tax_value, m.shipping AS shipping_value, "
+         "m.gross_sales, m.gsnd, m.gmv, g.s_no "
+         f"FROM {n}_num g LEFT JOIN {n}_money m ON trim(g.ecommerce_transaction_id) = m.shopify_order_id "
+         "AND trim(g.event_name) = 'purchase')"),
+        *pivot_cte(f"{n}_pv", f"{n}_ga", ["ga_session_id", "engagement_time_msec", "visitor_type"], trim=True),
+        (f"{n}_ev AS (SELECT g.*, pv.ga_session_id, pv.visitor_type, "
+         "coalesce(TRY_CAST(pv.engagement_time_msec AS DECIMAL(38,0)), 0) AS engagement_ms, "
+         "coalesce(g.user_pseudo_id, g.user_id) AS unique_user_id, "
+         "coalesce(pv.ga_session_id || ':' || g.user_pseudo_id, coalesce(g.user_pseudo_id, g.user_id), "
+         "pv.ga_session_id) AS unique_session_id "
+         f"FROM {n}_ga g JOIN {n}_pv pv ON g.s_no = pv.s_no)"),
+        (f"{n}_evn AS (SELECT * REPLACE ({_norm_traffic_subset('', [TS_TRAFFIC[0], TS_TRAFFIC[1], CT + 'source', CT + 'medium', LC + 'source', LC + 'medium'])}) "
+         f"FROM {n}_ev)"),
+        (f"{n}_combo AS (SELECT {', '.join(keys)}, min(event_timestamp) AS event_timestamp, min(s_no) AS s_no, "
+         "max(user_id) AS user_id, max(user_pseudo_id) AS user_pseudo_id, max(ga_session_id) AS ga_session_id, "
+         f"sum(engagement_ms) AS engagement_time_msec, {counters}, count(DISTINCT shopify_order_id) AS orders, "
+         + ", ".join(f"sum({c}) AS {c}" for c in money) + ", max(s_no) AS last_s_no "
+         f"FROM {n}_evn GROUP BY {', '.join(keys)})"),
+        (f"{n}_gap AS (SELECT *, lag(event_timestamp) OVER ({part} ORDER BY event_timestamp, s_no) AS prev_ts "
+         f"FROM {n}_combo)"),
+        (f"{n}_flag AS (SELECT *, CASE WHEN prev_ts IS NULL THEN 1 "
+         "WHEN date_diff('minute', prev_ts, event_timestamp) > 30 THEN 1 ELSE 0 END AS newsession FROM "
+         f"{n}_gap)"),
+        (f"{n}_idx AS (SELECT *, sum(newsession) OVER ({part} ORDER BY event_timestamp, s_no "
+         f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_index FROM {n}_flag)"),
+        (f"{n}_rank AS (SELECT *, row_number() OVER (PARTITION BY event_date, unique_session_id, unique_user_id, "
+         "session_index ORDER BY event_timestamp ASC, s_no ASC) AS minn, "
+         "row_number() OVER (PARTITION BY event_date, unique_session_id, unique_user_id, session_index "
+         f"ORDER BY event_timestamp DESC, s_no DESC) AS maxx FROM {n}_idx)"),
+        (f"{n}_final AS (SELECT event_date, min(event_timestamp) AS session_start_timestamp, "
+         "hour(min(event_timestamp)) AS hourofday, max(last_s_no) AS last_event_s_no, max(user_id) AS user_id, "
+         "max(user_pseudo_id) AS user_pseudo_id, unique_user_id, max(ga_session_id) AS ga_session_id, "
+         "unique_session_id, CAST(session_index AS BIGINT) AS session_index, "
+         "CAST(sum(engagement_time_msec) AS DECIMAL(38,0)) AS engagement_time_msec, "
+         + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c, _ in SESSION_COUNTERS) + ", "
+         f"{firstlast}, CAST(sum(orders) AS BIGINT) AS orders, "
+         + ", ".join(f"sum({c}) AS {c}" for c in money)
+         + f" FROM {n}_rank GROUP BY event_date, unique_session_id, unique_user_id, session_index)"),
+        f"{n}_engt AS (SELECT s_no, event_timestamp, engagement_ms FROM {n}_ev)",
+        (f"{n} AS (SELECT f.*, "
+         "et.event_timestamp + to_milliseconds(CAST(et.engagement_ms AS BIGINT)) AS session_end_timestamp, "
+         "(epoch_us(et.event_timestamp + to_milliseconds(CAST(et.engagement_ms AS BIGINT))) // 1000) "
+         "- (epoch_us(f.session_start_timestamp) // 1000) AS time_on_site, "
+         f"CASE WHEN sum(f.page_view) OVER ({w3}) > 1 OR sum(f.engagement_time_msec) OVER ({w3}) > 10000 "
+         f"OR sum(f.orders) OVER ({w3}) > 0 THEN 1 ELSE 0 END AS engaged_session_flag, "
+         "CASE WHEN nu.unique_user_id IS NOT NULL THEN 'NEW' ELSE 'RETURNING' END AS visitor_flag, "
+         f"{acq_channel('f.first_event_')} AS first_event_acquisition_channel_group, "
+         f"{acq_channel('f.last_event_')} AS last_event_acquisition_channel_group, "
+         f"{ses_channel('f.first_event_', last_click=not intraday)} AS first_event_session_channel_group, "
+         f"{ses_channel('f.last_event_', last_click=not intraday)} AS last_event_session_channel_group "
+         f"FROM {n}_final f LEFT JOIN {nu} nu ON f.unique_user_id = nu.unique_user_id AND f.event_date = nu.event_date "
+         f"LEFT JOIN {n}_engt et ON f.last_event_s_no = et.s_no)"),
+    ]

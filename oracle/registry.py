@@ -7,6 +7,7 @@ from oracle.present import present_sql
 from oracle.testbed_sql import ctes as testbed_ctes
 from webtrail.plans.events import EVENTS_COLUMNS
 from webtrail.plans.purchases import PURCHASES_COLUMNS
+from webtrail.plans.sessions import SESSIONS_COLUMNS
 
 MONEY = ["tax_value", "shipping_value", "gross_sales", "gsnd", "gmv"]
 ORACLE: dict[str, str] = {}
@@ -31,3 +32,13 @@ register("events_wide", [M.events_ctes()], "SELECT * FROM ev", EVENTS_COLUMNS,
          decimals=MONEY, doubles=["ecommerce_purchase_revenue_in_usd"])
 register("purchases", [M.purchases_ctes()], "SELECT * FROM pu", PURCHASES_COLUMNS,
          decimals=MONEY, doubles=["ecommerce_purchase_revenue_in_usd"])
+
+SESSION_DEC = MONEY + ["engagement_time_msec"]
+SESSION_DBL = ["ecommerce_purchase_revenue_in_usd"]
+NU_DAILY = M.new_users_ctes("nu", "ev", ["ev"], "pu", M.NO_MARK)
+SES_DAILY = [M.events_ctes(), M.purchases_ctes(), NU_DAILY, M.sessions_ctes("se", "raw", M.NO_MARK, "nu")]
+
+register("new_users", [M.events_ctes(), M.purchases_ctes(), NU_DAILY], "SELECT * FROM nu",
+         ["event_date", "unique_user_id"])
+register("sessions_full", SES_DAILY, "SELECT * FROM se", SESSIONS_COLUMNS,
+         decimals=SESSION_DEC, doubles=SESSION_DBL, ints=["hourofday"])

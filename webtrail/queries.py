@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from webtrail.functions.rules import ChannelConfig
 from webtrail.plans.events import EVENTS_COLUMNS, build_events
 from webtrail.plans.purchases import build_purchases
+from webtrail.plans.sessions import build_sessions
+from webtrail.operators.new_users import new_users as _new_users
 from webtrail.present import present
 from webtrail.schema import DAILY, INTRADAY
 from webtrail.sources.testbed import TESTBED_LIST_BRAND, TESTBED_PARTNERSHIP, Testbed
@@ -41,3 +43,26 @@ def events_wide(tb: Testbed) -> DataFrame:
 @query
 def purchases(tb: Testbed) -> DataFrame:
     return build_purchases(tb.raw, tb.orders(), TB_DAILY)
+
+
+NO_MARK = "1900-01-01"
+
+
+def _daily_tables(tb: Testbed):
+    """Daily events and purchases tables over the whole feed (a first run, no stored days)."""
+    return build_events(tb.raw, tb.orders(), TB_DAILY), build_purchases(tb.raw, tb.orders(), TB_DAILY)
+
+
+def _daily_new_users(tb: Testbed) -> DataFrame:
+    ev, pu = _daily_tables(tb)
+    return _new_users(ev, [ev], pu, tb.customer_types(), NO_MARK)
+
+
+@query
+def new_users(tb: Testbed) -> DataFrame:
+    return _daily_new_users(tb)
+
+
+@query
+def sessions_full(tb: Testbed) -> DataFrame:
+    return build_sessions(tb.raw, tb.orders(), _daily_new_users(tb), TB_DAILY)
