@@ -264,3 +264,112 @@ def sessions_ctes(n: str, feed: str, mark: str, nu: str, intraday: bool = False)
          f"FROM {n}_final f LEFT JOIN {nu} nu ON f.unique_user_id = nu.unique_user_id AND f.event_date = nu.event_date "
          f"LEFT JOIN {n}_engt et ON f.last_event_s_no = et.s_no)"),
     ]
+
+
+def _color_size(v: str, fam: str) -> tuple[str, str]:
+    parts = f"string_split(trim({v}), ' / ')"
+    three = f"len({parts}) > 2 AND {fam} NOT ILIKE '%bras%'"
+    has = f"contains(trim({v}), ' / ')"
+
+    def part(i):  # 0-based like the reference's [i]
+        return f"replace({parts}[{i + 1}], '\"', '')"
+    color = f"CASE WHEN {has} THEN CASE WHEN {three} THEN {part(1)} ELSE {part(0)} END END"
+    size = f"CASE WHEN {has} THEN CASE WHEN {three} THEN {part(2)} ELSE {part(1)} END END"
+    return color, size
+
+
+def _blank(x: str) -> str:
+    return f"CASE WHEN trim({x}) IN ('', '(not set)') THEN NULL ELSE trim({x}) END"
+
+
+def items_ctes(n: str = "it", feed: str = "raw", mark: str = NO_MARK, brand: str | None = None) -> list[str]:
+    from oracle.rulesql import gender_sql, lit
+    ev_cols = ("event_date, event_timestamp, hourofday, s_no, event_name, user_id, user_pseudo_id, unique_user_id, "
+               "is_active_user, ga_session_id, unique_session_id, ga_session_number, shopify_order_id, page_location, "
+               "coupon")
+    dimc = "p.division, p.product_category, p.product_subcategory, p.product_family, p.planning_parent"
+    money = "total_tax, shipping, gross_sales, gsnd, gmv"
+    c, s = _color_size("it['item_variant']", "p.product_family")
+    gender = gender_sql("p.externalid", "it['item_name']", "p.gender")
+    common_item = (f"trim(it['item_id']) AS item_id, {dimc}, {gender} AS gender, p.strategic_business_unit, "
+                   f"{_blank(chr(105) + 't[' + chr(39) + 'item_list_name' + chr(39) + ']')} AS item_list_name, "
+                   "trim(it['item_name']) AS item_name, "
+                   f"{_blank(chr(105) + 't[' + chr(39) + 'item_variant' + chr(39) + ']')} AS item_variant")
+    return [
+        f"{n}_batch AS (SELECT * FROM {feed} WHERE event_date > {mark})",
+        (f"{n}_money AS (SELECT shopify_order_id, CASE WHEN gift_card_flag = 'GIFT CARD' THEN lower(title) ELSE sku END "
+         f"AS sku, {MONEY_AGG} FROM order_fact f WHERE sale_kind = 'ORDER' AND country = 'US' AND EXISTS "
+         f"(SELECT 1 FROM {n}_batch g WHERE trim(g.ecommerce_transaction_id) = f.shopify_order_id) GROUP BY 1, 2)"),
+        f"{n}_num AS (SELECT *, row_number() OVER (ORDER BY {SEQ_ORDER}) AS s_no FROM {n}_batch)",
+        (f"{n}_ga AS (SELECT event_date, {local('event_timestamp')} AS event_timestamp, s_no, "
+         "trim(event_name) AS event_name, trim(user_id) AS user_id, trim(CAST(user_pseudo_id AS VARCHAR)) AS "
+         "user_pseudo_id, is_active_user, CASE WHEN trim(ecommerce_transaction_id) = '(not set)' THEN NULL "
+         "ELSE trim(ecommerce_transaction_id) END AS shopify_order_id, event_params, items "
+         f"FROM {n}_num WHERE len(items) > 0)"),
+        *pivot_cte(f"{n}_pv", f"{n}_ga", ITEM_EVENT_PARAM_KEYS, trim=True),
+        (f"{n}_res AS (SELECT g.event_date, g.event_timestamp, hour(g.event_timestamp) AS hourofday, g.s_no, "
+         "g.event_name, g.user_id, g.user_pseudo_id, coalesce(g.user_pseudo_id, g.user_id) AS unique_user_id, "
+         "g.is_active_user, pv.ga_session_id, coalesce(pv.ga_session_id || ':' || g.user_pseudo_id, "
+         "coalesce(g.user_pseudo_id, g.user_id), pv.ga_session_id) AS unique_session_id, pv.ga_session_number, "
+         f"g.shopify_order_id, pv.page_location, pv.coupon, g.items FROM {n}_ga g JOIN {n}_pv pv ON g.s_no = pv.s_no)"),
+        (f"{n}_items AS (SELECT r.*, unnest(r.items) AS it, generate_subscripts(r.items, 1) AS item_pos "
+         f"FROM {n}_res r)"),
+        (f"{n}_ip AS (SELECT i.*, unnest(i.it['item_params']) AS ip, "
+         f"generate_subscripts(i.it['item_params'], 1) AS param_pos FROM {n}_items i)"),
+        (f"{n}_kv AS (SELECT *, ip['key'] AS k, {value_sql('ip', True)} AS v FROM {n}_ip)"),
+        # browse: the pivot groups by every remaining column, so equal items of an event collapse
+        (f"{n}_b AS (SELECT s_no, it, max(v) FILTER (WHERE k = 'item_product_id') AS item_product_id, "
+         f"max(v) FILTER (WHERE k = 'item_variant_id') AS item_variant_id FROM {n}_kv "
+         "WHERE event_name NOT IN ('view_item_list', 'purchase') GROUP BY s_no, it)"),
+        (f"{n}_bo AS (SELECT r.event_date, r.event_timestamp, r.hourofday, r.s_no, r.event_name, r.user_id, "
+         "r.user_pseudo_id, r.unique_user_id, r.is_active_user, r.ga_session_id, r.unique_session_id, "
+         "r.ga_session_number, r.shopify_order_id, r.page_location, r.coupon, it['item_brand'] AS item_brand, "
+         f"{common_item}, it['quantity'] AS quantity, it['price_in_usd'] AS price_in_usd, "
+         "it['item_revenue_in_usd'] AS item_revenue_in_usd, CAST(NULL AS DECIMAL(38,2)) AS total_tax, "
+         "CAST(NULL AS DECIMAL(38,2)) AS shipping, CAST(NULL AS DECIMAL(38,2)) AS gross_sales, "
+         "CAST(NULL AS DECIMAL(38,2)) AS gsnd, CAST(NULL AS DECIMAL(38,2)) AS gmv, b.item_product_id, "
+         f"b.item_variant_id, {c} AS color, {s} AS size FROM {n}_b b JOIN {n}_res r ON b.s_no = r.s_no "
+         "LEFT JOIN product_dim p ON p.externalid = trim(b.it['item_id']))"),
+        # purchases: window total / 2 and the top-priced row per (order, item key)
+        (f"{n}_p AS (SELECT *, CASE WHEN lower(it['item_name']) LIKE '%gift card%' THEN lower(trim(it['item_name'])) "
+         f"ELSE trim(it['item_id']) END AS item_key FROM {n}_kv WHERE event_name = 'purchase')"),
+        (f"{n}_pr AS (SELECT *, sum(it['item_revenue_in_usd']) OVER (PARTITION BY shopify_order_id, item_key) / 2 "
+         "AS rev_agg, row_number() OVER (PARTITION BY shopify_order_id, item_key ORDER BY it['price_in_usd'] DESC "
+         f"NULLS FIRST, s_no, item_pos, param_pos) AS rnk FROM {n}_p)"),
+        (f"{n}_po AS (SELECT q.event_date, q.event_timestamp, q.hourofday, q.s_no, q.event_name, q.user_id, "
+         "q.user_pseudo_id, q.unique_user_id, q.is_active_user, q.ga_session_id, q.unique_session_id, "
+         "q.ga_session_number, q.shopify_order_id, q.page_location, q.coupon, it['item_brand'] AS item_brand, "
+         f"{common_item}, coalesce(CAST(m.quantity AS DECIMAL(38,0)), it['quantity']) AS quantity, "
+         "it['price_in_usd'] AS price_in_usd, q.rev_agg AS item_revenue_in_usd, m.total_tax, m.shipping, "
+         "m.gross_sales, m.gsnd, m.gmv, CASE WHEN q.k = 'item_product_id' THEN q.v END AS item_product_id, "
+         f"CASE WHEN q.k = 'item_variant_id' THEN q.v END AS item_variant_id, {c} AS color, {s} AS size "
+         f"FROM (SELECT * FROM {n}_pr WHERE rnk = 1) q LEFT JOIN {n}_money m ON q.shopify_order_id = m.shopify_order_id "
+         "AND q.item_key = m.sku LEFT JOIN product_dim p ON p.externalid = trim(q.it['item_id']))"),
+        # list views
+        (f"{n}_l AS (SELECT i.*, {dimc}, p.strategic_business_unit, {gender} AS gender, "
+         f"trim(it['item_list_name']) AS list_name FROM {n}_items i "
+         "LEFT JOIN product_dim p ON p.externalid = trim(i.it['item_id']) WHERE event_name = 'view_item_list' "
+         "AND it['item_list_name'] NOT IN ('', '(not set)') AND it['item_list_name'] IS NOT NULL)"),
+        (f"{n}_lo AS (SELECT event_date, min(event_timestamp) AS event_timestamp, hourofday, min(s_no) AS s_no, "
+         "event_name, max(user_id) AS user_id, max(user_pseudo_id) AS user_pseudo_id, unique_user_id, "
+         "min(is_active_user) AS is_active_user, max(ga_session_id) AS ga_session_id, unique_session_id, "
+         "min(ga_session_number) AS ga_session_number, CAST(NULL AS VARCHAR) AS shopify_order_id, "
+         f"max(page_location) AS page_location, CAST(NULL AS VARCHAR) AS coupon, CAST({lit(brand)} AS VARCHAR) AS item_brand, "
+         "CAST(NULL AS VARCHAR) AS item_id, division, product_category, product_subcategory, product_family, "
+         "planning_parent, gender, strategic_business_unit, list_name AS item_list_name, "
+         "CAST(NULL AS VARCHAR) AS item_name, CAST(NULL AS VARCHAR) AS item_variant, "
+         "CAST(NULL AS DECIMAL(38,0)) AS quantity, CAST(NULL AS DOUBLE) AS price_in_usd, "
+         "CAST(NULL AS DOUBLE) AS item_revenue_in_usd, CAST(NULL AS DECIMAL(38,2)) AS total_tax, "
+         "CAST(NULL AS DECIMAL(38,2)) AS shipping, CAST(NULL AS DECIMAL(38,2)) AS gross_sales, "
+         "CAST(NULL AS DECIMAL(38,2)) AS gsnd, CAST(NULL AS DECIMAL(38,2)) AS gmv, "
+         "CAST(NULL AS VARCHAR) AS item_product_id, CAST(NULL AS VARCHAR) AS item_variant_id, "
+         f"CAST(NULL AS VARCHAR) AS color, CAST(NULL AS VARCHAR) AS size FROM {n}_l "
+         "GROUP BY event_date, hourofday, event_name, unique_user_id, unique_session_id, division, product_category, "
+         "product_subcategory, product_family, planning_parent, gender, strategic_business_unit, list_name)"),
+        (f"{n}_u AS (SELECT * FROM {n}_bo UNION ALL SELECT * FROM {n}_po UNION ALL SELECT * FROM {n}_lo)"),
+        (f"{n} AS (SELECT * REPLACE ("
+         "CASE WHEN color IN (SELECT DISTINCT product_size FROM product_dim WHERE product_size IS NOT NULL) "
+         "THEN size ELSE color END AS color, "
+         "CASE WHEN color IN (SELECT DISTINCT product_size FROM product_dim WHERE product_size IS NOT NULL) "
+         f"THEN color ELSE size END AS size) FROM {n}_u)"),
+    ]

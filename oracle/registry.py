@@ -8,6 +8,8 @@ from oracle.testbed_sql import ctes as testbed_ctes
 from webtrail.plans.events import EVENTS_COLUMNS
 from webtrail.plans.purchases import PURCHASES_COLUMNS
 from webtrail.plans.sessions import SESSIONS_COLUMNS
+from webtrail.plans.items import ITEMS_COLUMNS
+from webtrail.sources.testbed import TESTBED_LIST_BRAND
 
 MONEY = ["tax_value", "shipping_value", "gross_sales", "gsnd", "gmv"]
 ORACLE: dict[str, str] = {}
@@ -42,3 +44,8 @@ register("new_users", [M.events_ctes(), M.purchases_ctes(), NU_DAILY], "SELECT *
          ["event_date", "unique_user_id"])
 register("sessions_full", SES_DAILY, "SELECT * FROM se", SESSIONS_COLUMNS,
          decimals=SESSION_DEC, doubles=SESSION_DBL, ints=["hourofday"])
+
+ITEM_DEC = ["total_tax", "shipping", "gross_sales", "gsnd", "gmv", "quantity"]
+ITEM_DBL = ["price_in_usd", "item_revenue_in_usd"]
+ITEMS_DAILY = [M.items_ctes(brand=TESTBED_LIST_BRAND)]
+register("items_union", ITEMS_DAILY, "SELECT * FROM it", ITEMS_COLUMNS, decimals=ITEM_DEC, doubles=ITEM_DBL)

@@ -53,14 +53,14 @@ def ctes() -> list[str]:
             f"'item_list_name': {pick(tb.LIST_NAMES, f'{ln} % 6')}, "
             f"'item_name': {_title(pk, 'p.p_type', 'p.p_name')}, "
             f"'quantity': CAST(l.l_quantity AS DECIMAL(38,0)), "
-            f"'price_in_usd': l.l_extendedprice / l.l_quantity, "
+            f"'price_in_usd': l.l_extendedprice / 10.0, "
             f"'item_params': {iparams}, "
             f"'item_variant': {_variant(pk)}, "
             f"'item_revenue_in_usd': l.l_extendedprice * (1.0 - l.l_discount)"
             "}")
     items_by_order = (
         "items_by_order AS (SELECT l.l_orderkey AS item_order, "
-        f"list({item} ORDER BY {ln}) AS items "
+        f"list({item} ORDER BY {ln}, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_discount) AS items "
         "FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey GROUP BY l.l_orderkey)"
     )
     eid, u = "e.event_id", "e.user_id"

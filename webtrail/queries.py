@@ -18,6 +18,7 @@ from webtrail.functions.rules import ChannelConfig
 from webtrail.plans.events import EVENTS_COLUMNS, build_events
 from webtrail.plans.purchases import build_purchases
 from webtrail.plans.sessions import build_sessions
+from webtrail.plans.items import build_items
 from webtrail.operators.new_users import new_users as _new_users
 from webtrail.present import present
 from webtrail.schema import DAILY, INTRADAY
@@ -66,3 +67,8 @@ def new_users(tb: Testbed) -> DataFrame:
 @query
 def sessions_full(tb: Testbed) -> DataFrame:
     return build_sessions(tb.raw, tb.orders(), _daily_new_users(tb), TB_DAILY)
+
+
+@query
+def items_union(tb: Testbed) -> DataFrame:
+    return build_items(tb.raw, tb.orders(), tb.products(), TB_DAILY)

@@ -126,12 +126,16 @@ def items_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick(LIST_NAMES, ln % 6).alias("item_list_name"),
         title(pk, F.col("p_type"), F.col("p_name")).alias("item_name"),
         F.col("l_quantity").cast("decimal(38,0)").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price_in_usd"),
+        (F.col("l_extendedprice") / F.lit(10.0)).alias("price_in_usd"),
         iparams.alias("item_params"),
         variant(pk).alias("item_variant"),
         (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("item_revenue_in_usd"),
     )
-    agg = j.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(ln.alias("n"), item.alias("i")))).alias("arr"))
+    # a total order of the lines (line numbers repeat within an order in the driver data)
+    order = F.struct(ln.alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"),
+                     F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("e"),
+                     F.col("l_discount").alias("d"), item.alias("i"))
+    agg = j.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(order)).alias("arr"))
     return agg.select(F.col("l_orderkey").alias("item_order"),
                       F.transform("arr", lambda x: x["i"]).alias("items"))
 
