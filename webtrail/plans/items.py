@@ -121,32 +121,45 @@ def browse_items(ev: DataFrame, dim: DataFrame) -> DataFrame:
     return out.withColumns({c: none.cast("decimal(28,2)") for c in MONEY})
 
 
-def purchase_items(ev: DataFrame, orders: DataFrame, ids: DataFrame, dim: DataFrame) -> DataFrame:
-    """B2: one row per (order, item key) of the batch's purchases."""
+def purchase_rows(ev: DataFrame) -> DataFrame:
+    """Purchase events exploded to (item x param) rows, with the item key."""
     p = ev.filter(F.col("event_name") == PURCHASE)
     ex = _explode_items(p, distinct=False, with_pos=True)
-    rows = ex.select("*", F.posexplode("item_params").alias("__param_pos", "__ip")).withColumns({
+    return ex.select("*", F.posexplode("item_params").alias("__param_pos", "__ip")).withColumns({
         "__item_key": item_key(F.col("__item_name_raw"), F.col("__item_id_raw")),
         "__pkey": F.col("__ip")["key"],
         "__pval": param_value(F.col("__ip"), trim=True),
-    })
-    keep = [c for c in rows.columns if c not in ("item_params", "__ip", "item_revenue_in_usd")]
-    # kept row: highest price first (a null price counts as the highest), then s_no, item and param order
+    }).drop("item_params", "__ip")
+
+
+def purchase_dedup(rows: DataFrame) -> DataFrame:
+    """W5/W6 as one grouped aggregate per (order, item key): revenue = sum / 2 over
+    all rows; the kept row has the highest price (a null price counts as highest),
+    then the lowest s_no, item and param position."""
+    keep = [c for c in rows.columns if c not in ("shopify_order_id", "__item_key", "item_revenue_in_usd")]
     rank = F.struct((F.col("price_in_usd").isNotNull()).alias("a"), (-F.col("price_in_usd")).alias("b"),
                     F.col("s_no").alias("c"), F.col("__item_pos").alias("d"), F.col("__param_pos").alias("e"))
     g = rows.groupBy("shopify_order_id", "__item_key").agg(
         (F.sum("item_revenue_in_usd") / 2).alias("item_revenue_in_usd"),
-        F.min_by(F.struct(*[F.col(c) for c in keep if c not in ("shopify_order_id", "__item_key")]), rank).alias("__r"),
+        F.min_by(F.struct(*[F.col(c) for c in keep]), rank).alias("__r"),
     )
     g = g.select("shopify_order_id", "__item_key", "item_revenue_in_usd", "__r.*")
-    g = g.withColumns({k: F.when(F.col("__pkey") == k, F.col("__pval")) for k in ITEM_PARAM_KEYS})
+    return g.withColumns({k: F.when(F.col("__pkey") == k, F.col("__pval")) for k in ITEM_PARAM_KEYS})
+
+
+def attach_item_money(g: DataFrame, orders: DataFrame, ids: DataFrame) -> DataFrame:
+    """Order-line money by (order, item key); quantity from the order fact first."""
     money = order_item_money(orders_in_batch(orders, ids)).select(
         "shopify_order_id", "sku", F.col("quantity").alias("__shp_qty"), "total_tax", "shipping", "gross_sales",
         "gsnd", "gmv")
     j = left_join_salted(g, money, [F.col("shopify_order_id"), F.col("__item_key")], ["shopify_order_id", "sku"],
                          salt=F.concat_ws(":", F.col("s_no").cast("string"), F.col("__item_pos").cast("string")))
-    j = j.withColumn("quantity", F.coalesce(F.col("__shp_qty").cast("decimal(38,0)"), F.col("quantity")))
-    return _item_text(_product(j, dim))
+    return j.withColumn("quantity", F.coalesce(F.col("__shp_qty").cast("decimal(38,0)"), F.col("quantity")))
+
+
+def purchase_items(ev: DataFrame, orders: DataFrame, ids: DataFrame, dim: DataFrame) -> DataFrame:
+    """B2: one row per (order, item key) of the batch's purchases."""
+    return _item_text(_product(attach_item_money(purchase_dedup(purchase_rows(ev)), orders, ids), dim))
 
 
 def list_view_items(ev: DataFrame, dim: DataFrame, brand: str | None) -> DataFrame:

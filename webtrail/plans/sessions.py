@@ -113,16 +113,24 @@ def attribute_rollup(ev: DataFrame) -> DataFrame:
     )
 
 
+def _combo_window() -> Window:
+    return Window.partitionBy("event_date", "unique_session_id", "unique_user_id").orderBy("event_timestamp", "s_no")
+
+
+def session_gaps(combos: DataFrame) -> DataFrame:
+    """Step 3a: previous combination's first time and the new-session flag."""
+    prev = F.lag("event_timestamp").over(_combo_window())
+    flagged = combos.repartition("event_date", "unique_session_id").withColumn("previous_timestamp", prev)
+    p = F.col("previous_timestamp")
+    return flagged.withColumn("newsession", F.when(p.isNull(), 1).when(
+        minute_boundaries(p, F.col("event_timestamp")) > SESSION_GAP_MINUTES, 1).otherwise(0))
+
+
 def session_index(combos: DataFrame) -> DataFrame:
-    """Steps 3: gap between successive combinations' first events, running session number."""
-    w = Window.partitionBy("event_date", "unique_session_id", "unique_user_id").orderBy("event_timestamp", "s_no")
-    prev = F.lag("event_timestamp").over(w)
-    new = (F.when(prev.isNull(), 1)
-           .when(minute_boundaries(prev, F.col("event_timestamp")) > SESSION_GAP_MINUTES, 1).otherwise(0))
-    flagged = combos.repartition("event_date", "unique_session_id").withColumn("__new", new)
-    return flagged.withColumn(
-        "session_index", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).drop("__new")
+    """Step 3b: running count of new-session flags numbers the sessions from 1."""
+    run = _combo_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return session_gaps(combos).withColumn("session_index", F.sum("newsession").over(run)) \
+        .drop("previous_timestamp", "newsession")
 
 
 def session_rollup(indexed: DataFrame) -> DataFrame:

@@ -1,32 +1,46 @@
 """Query registry: one callable per operator of the survey, over the driver tables.
 
 Each callable takes ``(spark, sf_dir)`` and returns a presented DataFrame (see
-:mod:`webtrail.present`).  Daily builders run over the whole adapted event table;
-intraday builders run over the provisional feed against daily tables built
-from the settled days.
+:mod:`webtrail.present`).  Daily builders run over the whole adapted event table
+as a first run (no stored days).  Intraday builders run over the provisional
+feed against daily tables built from the settled days.  Every query reads the
+driver tables; none runs on made-up input.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webtrail.functions import rules
+from webtrail.functions.params import has_params, param, param_value
+from webtrail.functions.params import parse_params_json as parse_json_params
 from webtrail.functions.rules import ChannelConfig
-from webtrail.plans.events import EVENTS_COLUMNS, build_events
+from webtrail.functions.scalars import blank_to_null, lower_trim
+from webtrail.functions.scalars import variant_color_size as split_variant
+from webtrail.functions.timeops import to_local
+from webtrail.operators import new_users as nu
+from webtrail.operators.orders import batch_order_ids, orders_in_batch
+from webtrail.plans import items as it
+from webtrail.plans import sessions as se
+from webtrail.plans.common import batch_money, number_batch
+from webtrail.plans.events import EVENTS_COLUMNS, TRAFFIC_OUT, build_events, cleaned_events
 from webtrail.plans.purchases import build_purchases
-from webtrail.plans.sessions import build_sessions
-from webtrail.plans.items import build_items
-from webtrail.operators.new_users import new_users as _new_users
 from webtrail.present import present
-from webtrail.schema import DAILY, INTRADAY
+from webtrail.schema import (CT, DAILY, EVENT_PARAM_KEYS, INTRADAY, ITEM_PARAM_KEYS, LC, SESSION_COUNTERS)
+from webtrail.sources import incremental as inc
 from webtrail.sources.testbed import TESTBED_LIST_BRAND, TESTBED_PARTNERSHIP, Testbed
+from webtrail.streaming import intraday as stream
 
 TB_CHANNELS = ChannelConfig(partnership_campaigns=TESTBED_PARTNERSHIP)
 TB_DAILY = replace(DAILY, channels=TB_CHANNELS, list_view_brand=TESTBED_LIST_BRAND)
 TB_INTRADAY = replace(INTRADAY, channels=TB_CHANNELS, list_view_brand=TESTBED_LIST_BRAND)
+NO_MARK = inc.NO_MARK
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -36,39 +50,559 @@ def query(fn):
     return fn
 
 
-@query
-def events_wide(tb: Testbed) -> DataFrame:
+# ---------------------------------------------------------------------------
+# shared pieces
+# ---------------------------------------------------------------------------
+
+def _events(tb: Testbed) -> DataFrame:
     return build_events(tb.raw, tb.orders(), TB_DAILY)
 
 
-@query
-def purchases(tb: Testbed) -> DataFrame:
+def _purchases(tb: Testbed) -> DataFrame:
     return build_purchases(tb.raw, tb.orders(), TB_DAILY)
 
 
-NO_MARK = "1900-01-01"
+def _new_users(tb: Testbed) -> DataFrame:
+    ev = _events(tb)
+    return nu.new_users(ev, [ev], _purchases(tb), tb.customer_types(), NO_MARK)
+
+
+def _sessions(tb: Testbed) -> DataFrame:
+    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb), TB_DAILY)
+
+
+def _session_events(tb: Testbed) -> DataFrame:
+    return se.session_events(tb.raw, tb.orders(), TB_DAILY)
+
+
+def _combos(tb: Testbed) -> DataFrame:
+    return se.attribute_rollup(_session_events(tb)).drop("end_event")
+
+
+def _item_events(tb: Testbed) -> DataFrame:
+    return it.item_events(tb.raw, TB_DAILY)
+
+
+def _mark(df: DataFrame) -> dt.date:
+    """Newest day of a table (one collected date, the daily high-water mark)."""
+    return inc.high_water_mark_df(df).first()[0]
 
 
-def _daily_tables(tb: Testbed):
-    """Daily events and purchases tables over the whole feed (a first run, no stored days)."""
-    return build_events(tb.raw, tb.orders(), TB_DAILY), build_purchases(tb.raw, tb.orders(), TB_DAILY)
+def _raw_scalars(df: DataFrame) -> DataFrame:
+    return df.select("event_date", F.col("event_timestamp").alias("raw_event_micros"), "event_name",
+                     "event_bundle_sequence_id", "user_id", "user_pseudo_id", "ecommerce_transaction_id",
+                     F.size("event_params").alias("n_params"), F.size("items").alias("n_items"))
 
 
-def _daily_new_users(tb: Testbed) -> DataFrame:
-    ev, pu = _daily_tables(tb)
-    return _new_users(ev, [ev], pu, tb.customer_types(), NO_MARK)
+SES_KEYS = ["event_date", "unique_session_id", "unique_user_id", "session_index"]
+
+
+# ---------------------------------------------------------------------------
+# whole tables
+# ---------------------------------------------------------------------------
+
+@query
+def events_wide(tb: Testbed) -> DataFrame:
+    return _events(tb)
+
+
+@query
+def purchases(tb: Testbed) -> DataFrame:
+    return _purchases(tb)
 
 
 @query
 def new_users(tb: Testbed) -> DataFrame:
-    return _daily_new_users(tb)
+    return _new_users(tb)
 
 
 @query
 def sessions_full(tb: Testbed) -> DataFrame:
-    return build_sessions(tb.raw, tb.orders(), _daily_new_users(tb), TB_DAILY)
+    return _sessions(tb)
 
 
 @query
 def items_union(tb: Testbed) -> DataFrame:
-    return build_items(tb.raw, tb.orders(), tb.products(), TB_DAILY)
+    return it.build_items(tb.raw, tb.orders(), tb.products(), TB_DAILY)
+
+
+# ---------------------------------------------------------------------------
+# sources, projection, filters
+# ---------------------------------------------------------------------------
+
+@query
+def scan_events(tb: Testbed) -> DataFrame:
+    return _raw_scalars(tb.raw.filter(F.col("event_date") > F.lit(NO_MARK)))
+
+
+@query
+def project_clean(tb: Testbed) -> DataFrame:
+    ev = cleaned_events(tb.raw, tb.orders(), TB_DAILY)
+    return ev.select("event_date", "event_timestamp", "s_no", "event_name", "event_bundle_sequence_id", "user_id",
+                     "user_pseudo_id", "is_active_user", "user_first_touch_timestamp", *TRAFFIC_OUT, "shopify_order_id")
+
+
+@query
+def filter_in_notin(tb: Testbed) -> DataFrame:
+    ex = it._explode_items(_item_events(tb).filter(F.col("event_name") == it.LIST_VIEW), distinct=False)
+    ex = ex.filter(~F.col("__list_raw").isin(*it.NO_LIST) & F.col("__list_raw").isNotNull())
+    return ex.select("s_no", F.trim("__item_id_raw").alias("item_id"), F.col("__list_raw").alias("list_name_raw"))
+
+
+@query
+def filter_after_watermark(tb: Testbed) -> DataFrame:
+    mark = _mark(build_events(tb.daily_feed(), tb.orders(), TB_DAILY))
+    return _raw_scalars(tb.intraday_feed().filter(F.col("event_date") > F.lit(mark)))
+
+
+@query
+def filter_nonempty_items(tb: Testbed) -> DataFrame:
+    n = number_batch(tb.raw.select("event_date", "event_timestamp", "event_name", "event_bundle_sequence_id",
+                                   "user_pseudo_id", "event_params", "items"))
+    return n.filter(F.size("items") > 0).select("s_no", "event_bundle_sequence_id", F.size("items").alias("n_items"))
+
+
+def _distinct_values(tb: Testbed, suffix: str) -> DataFrame:
+    cols = [f"traffic_source_{suffix}", f"{CT}{suffix}", f"{LC}{suffix}"]
+    parts = [tb.raw.select(lower_trim(c).alias("value")) for c in cols]
+    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+
+
+@query
+def normalize_source(tb: Testbed) -> DataFrame:
+    v = _distinct_values(tb, "source")
+    return v.select(F.col("value").alias("source_value"), rules.normalize_source("value").alias("normalized_source"))
+
+
+@query
+def normalize_medium(tb: Testbed) -> DataFrame:
+    v = _distinct_values(tb, "medium")
+    return v.select(F.col("value").alias("medium_value"), rules.normalize_medium("value").alias("normalized_medium"))
+
+
+def _acq_inputs() -> list:
+    return [F.coalesce("traffic_source_source", CT + "source").alias("acq_source"),
+            F.coalesce("traffic_source_medium", CT + "medium").alias("acq_medium"),
+            F.coalesce("traffic_source_name", CT + "campaign_name").alias("acq_campaign")]
+
+
+def _ses_inputs() -> list:
+    return [F.coalesce(LC + f, CT + f).alias(f"ses_{n}") for f, n in
+            (("source", "source"), ("medium", "medium"), ("campaign_name", "campaign"), ("source_platform", "platform"))]
+
+
+@query
+def channel_acquisition(tb: Testbed) -> DataFrame:
+    d = _events(tb).select(*_acq_inputs()).distinct()
+    return d.withColumn("channel", rules.channel_acquisition("acq_source", "acq_medium", "acq_campaign", TB_CHANNELS))
+
+
+@query
+def channel_session(tb: Testbed) -> DataFrame:
+    d = _events(tb).select(*_ses_inputs()).distinct()
+    return d.withColumn("channel", rules.channel_session("ses_source", "ses_medium", "ses_campaign", "ses_platform",
+                                                         TB_CHANNELS))
+
+
+@query
+def channel_wiring(tb: Testbed) -> DataFrame:
+    return _events(tb).select("s_no", *_acq_inputs(), *_ses_inputs(), "acquisition_channel_group",
+                              "session_channel_group")
+
+
+def _items_with_product(tb: Testbed) -> DataFrame:
+    ex = it._explode_items(_item_events(tb), distinct=False)
+    return it._product(ex, tb.products())
+
+
+@query
+def product_gender_rules(tb: Testbed) -> DataFrame:
+    return _items_with_product(tb).select("externalid", F.col("__item_name_raw").alias("item_name_raw"),
+                                          F.col("__dim_gender").alias("dim_gender"), "gender").distinct()
+
+
+@query
+def clean_not_set(tb: Testbed) -> DataFrame:
+    ex = it._explode_items(_item_events(tb), distinct=False)
+    return ex.select(F.col("__list_raw").alias("list_name_raw"), blank_to_null("__list_raw").alias("item_list_name"),
+                     F.col("__variant_raw").alias("variant_raw"), blank_to_null("__variant_raw").alias("item_variant")
+                     ).distinct()
+
+
+@query
+def variant_color_size(tb: Testbed) -> DataFrame:
+    d = _items_with_product(tb)
+    color, size = split_variant(F.col("__variant_raw"), F.col("product_family"))
+    return d.select(F.col("__variant_raw").alias("variant_raw"), "product_family", color.alias("color"),
+                    size.alias("size")).distinct()
+
+
+# ---------------------------------------------------------------------------
+# joins
+# ---------------------------------------------------------------------------
+
+MONEY_EVENT = ["shopify_order_id", "unique_items", "total_item_quantity", "tax_value", "shipping_value",
+               "gross_sales", "gsnd", "gmv"]
+
+
+@query
+def join_order_money(tb: Testbed) -> DataFrame:
+    return cleaned_events(tb.raw, tb.orders(), TB_DAILY).select("s_no", "event_name", *MONEY_EVENT)
+
+
+@query
+def join_order_money_all(tb: Testbed) -> DataFrame:
+    return cleaned_events(tb.raw, tb.orders(), TB_INTRADAY).select("s_no", "event_name", *MONEY_EVENT)
+
+
+@query
+def semi_orders_in_batch(tb: Testbed) -> DataFrame:
+    return orders_in_batch(tb.orders(), batch_order_ids(tb.raw))
+
+
+@query
+def anti_return_buyers(tb: Testbed) -> DataFrame:
+    fv = nu.first_visit_users(_events(tb), NO_MARK)
+    ret = nu.returning_buyers(_purchases(tb), tb.customer_types(), NO_MARK)
+    return fv.join(ret, ["unique_user_id", "event_date"], "left_anti").select("event_date", "unique_user_id")
+
+
+@query
+def lookback_activity(tb: Testbed) -> DataFrame:
+    ev = _events(tb)
+    fv = nu.first_visit_users(ev, NO_MARK)
+    counts = (ev.filter(F.col("event_name").isNotNull() & F.col("unique_user_id").isNotNull())
+              .groupBy("unique_user_id", F.col("event_date").alias("active_date")).agg(F.count("event_name").alias("n")))
+    days = F.sequence(F.date_sub("event_date", nu.LOOKBACK_DAYS), F.date_sub("event_date", 1))
+    ex = fv.select("unique_user_id", "event_date", F.explode(days).alias("active_date"))
+    j = ex.join(counts, ["unique_user_id", "active_date"], "left")
+    return j.groupBy("event_date", "unique_user_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("activity"))
+
+
+@query
+def join_customer_type(tb: Testbed) -> DataFrame:
+    p = _purchases(tb).select("event_date", "unique_user_id", "shopify_order_id")
+    ct = tb.customer_types().withColumnRenamed("shopify_order_id", "__oid")
+    cond = (p["shopify_order_id"] == ct["__oid"]) & (p["event_date"] > F.lit(NO_MARK))
+    return p.join(ct, cond, "left").select("event_date", "unique_user_id", "shopify_order_id", "customer_type")
+
+
+def _purchase_dedup(tb: Testbed) -> DataFrame:
+    return it.purchase_dedup(it.purchase_rows(_item_events(tb)))
+
+
+@query
+def join_item_money(tb: Testbed) -> DataFrame:
+    ids = batch_order_ids(tb.raw)
+    j = it.attach_item_money(_purchase_dedup(tb), tb.orders(), ids)
+    return j.select("shopify_order_id", F.col("__item_key").alias("item_key"), "quantity", *it.MONEY)
+
+
+@query
+def join_product_dim(tb: Testbed) -> DataFrame:
+    b = it.browse_items(_item_events(tb), tb.products())
+    return b.select("s_no", "item_id", *it.DIM_COLUMNS, "gender", "strategic_business_unit")
+
+
+@query
+def swap_color_size(tb: Testbed) -> DataFrame:
+    return it.build_items(tb.raw, tb.orders(), tb.products(), TB_DAILY).select(
+        "s_no", "event_name", "item_id", "item_variant", "color", "size")
+
+
+@query
+def session_end(tb: Testbed) -> DataFrame:
+    return _sessions(tb).select(*SES_KEYS, "last_event_s_no", "session_end_timestamp")
+
+
+@query
+def visitor_flag(tb: Testbed) -> DataFrame:
+    return _sessions(tb).select(*SES_KEYS, "visitor_flag")
+
+
+@query
+def explode_params(tb: Testbed) -> DataFrame:
+    n = number_batch(tb.raw.select("event_date", "event_timestamp", "event_name", "event_bundle_sequence_id",
+                                   "user_pseudo_id", "event_params"))
+    from webtrail.functions.params import explode_params as explode
+    return explode(n, "event_params").select("s_no", "param_key", "param_value")
+
+
+def _intraday(tb: Testbed) -> dict:
+    """Daily tables of the settled days, their marks, and the intraday tables past them."""
+    orders = tb.orders()
+    evd = build_events(tb.daily_feed(), orders, TB_DAILY)
+    pud = build_purchases(tb.daily_feed(), orders, TB_DAILY)
+    ev_mark = _mark(evd)
+    pu_mark = _mark(pud)
+    feed = tb.intraday_feed()
+    evi = build_events(feed.filter(F.col("event_date") > F.lit(ev_mark)), orders, TB_INTRADAY)
+    pui = build_purchases(feed.filter(F.col("event_date") > F.lit(pu_mark)), orders, TB_INTRADAY)
+    # the daily sessions table has a row for every day of the daily events table,
+    # so its newest day equals the events mark
+    ses_mark = ev_mark
+    return {"evd": evd, "pud": pud, "evi": evi, "pui": pui, "ev_mark": ev_mark, "pu_mark": pu_mark,
+            "ses_mark": ses_mark, "feed": feed}
+
+
+@query
+def new_users_intraday(tb: Testbed) -> DataFrame:
+    d = _intraday(tb)
+    return nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), d["ses_mark"])
+
+
+@query
+def intraday_tail(tb: Testbed) -> DataFrame:
+    return _intraday(tb)["evi"]
+
+
+@query
+def purchases_intraday(tb: Testbed) -> DataFrame:
+    return _intraday(tb)["pui"]
+
+
+@query
+def sessions_intraday(tb: Testbed) -> DataFrame:
+    d = _intraday(tb)
+    nui = nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), d["ses_mark"])
+    return se.build_sessions(d["feed"].filter(F.col("event_date") > F.lit(d["ses_mark"])), tb.orders(), nui,
+                             TB_INTRADAY)
+
+
+@query
+def items_intraday(tb: Testbed) -> DataFrame:
+    itd = it.build_items(tb.daily_feed(), tb.orders(), tb.products(), TB_DAILY)
+    mark = _mark(itd)
+    return it.build_items(tb.intraday_feed().filter(F.col("event_date") > F.lit(mark)), tb.orders(), tb.products(),
+                          TB_INTRADAY)
+
+
+# ---------------------------------------------------------------------------
+# aggregations
+# ---------------------------------------------------------------------------
+
+@query
+def order_money(tb: Testbed) -> DataFrame:
+    return batch_money(tb.raw, tb.orders(), purchase_only_semi=False)
+
+
+@query
+def order_item_money(tb: Testbed) -> DataFrame:
+    from webtrail.operators.orders import order_item_money as per_item
+    return per_item(orders_in_batch(tb.orders(), batch_order_ids(tb.raw)))
+
+
+@query
+def order_unique_items(tb: Testbed) -> DataFrame:
+    return batch_money(tb.raw, tb.orders(), purchase_only_semi=False).select("shopify_order_id", "unique_items")
+
+
+@query
+def session_event_counts(tb: Testbed) -> DataFrame:
+    return _sessions(tb).select(*SES_KEYS, *[c for c, _ in SESSION_COUNTERS])
+
+
+@query
+def session_attribute_rollup(tb: Testbed) -> DataFrame:
+    return _combos(tb).select(*se.COMBO_KEYS, "event_timestamp", "s_no", "last_s_no", "engagement_time_msec",
+                              "orders", *[c for c, _ in SESSION_COUNTERS])
+
+
+@query
+def first_visit_users(tb: Testbed) -> DataFrame:
+    return nu.first_visit_users(_events(tb), NO_MARK)
+
+
+@query
+def first_last_touch(tb: Testbed) -> DataFrame:
+    fl = [f"{p}_event_{c}" for c in se.FIRST_LAST for p in ("first", "last")]
+    return _sessions(tb).select(*SES_KEYS, *fl)
+
+
+@query
+def session_final(tb: Testbed) -> DataFrame:
+    return se.session_rollup(se.session_index(_combos_with_end(tb))).select(
+        *SES_KEYS, "session_start_timestamp", "last_event_s_no", "user_id", "user_pseudo_id", "ga_session_id",
+        "engagement_time_msec", *[c for c, _ in SESSION_COUNTERS], "orders", *se.MONEY_SUMS)
+
+
+def _combos_with_end(tb: Testbed) -> DataFrame:
+    return se.attribute_rollup(_session_events(tb))
+
+
+@query
+def high_water_mark(tb: Testbed) -> DataFrame:
+    return inc.high_water_mark_df(build_events(tb.daily_feed(), tb.orders(), TB_DAILY))
+
+
+@query
+def pivot_params(tb: Testbed) -> DataFrame:
+    return _events(tb).select("s_no", "ga_session_id", *EVENT_PARAM_KEYS)
+
+
+@query
+def items_list_views(tb: Testbed) -> DataFrame:
+    return it.list_view_items(_item_events(tb), tb.products(), TB_DAILY.list_view_brand).select(*it.ITEMS_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# windows
+# ---------------------------------------------------------------------------
+
+@query
+def global_sequence(tb: Testbed) -> DataFrame:
+    return number_batch(tb.raw).select("event_bundle_sequence_id", "s_no")
+
+
+@query
+def session_gap(tb: Testbed) -> DataFrame:
+    return se.session_gaps(_combos(tb)).select("event_date", "unique_session_id", "unique_user_id", "s_no",
+                                                "event_timestamp", "previous_timestamp", "newsession")
+
+
+@query
+def session_index(tb: Testbed) -> DataFrame:
+    return se.session_index(_combos(tb)).select("event_date", "unique_session_id", "unique_user_id", "s_no",
+                                                 "session_index")
+
+
+@query
+def purchase_item_dedup(tb: Testbed) -> DataFrame:
+    g = _purchase_dedup(tb)
+    return g.select("shopify_order_id", F.col("__item_key").alias("item_key"), "s_no",
+                    F.trim("__item_id_raw").alias("item_id"), "price_in_usd", *ITEM_PARAM_KEYS)
+
+
+@query
+def purchase_item_revenue(tb: Testbed) -> DataFrame:
+    return _purchase_dedup(tb).select("shopify_order_id", F.col("__item_key").alias("item_key"), "item_revenue_in_usd")
+
+
+@query
+def engaged_flag(tb: Testbed) -> DataFrame:
+    return _sessions(tb).select(*SES_KEYS, "page_view", "engagement_time_msec", "orders", "engaged_session_flag")
+
+
+# ---------------------------------------------------------------------------
+# nested data, scalars, time
+# ---------------------------------------------------------------------------
+
+@query
+def param_value_coalesce(tb: Testbed) -> DataFrame:
+    ex = it._explode_items(_item_events(tb), distinct=False)
+    p = ex.select("s_no", F.trim("__item_id_raw").alias("item_id"), F.explode("item_params").alias("p"))
+    return p.select("s_no", "item_id", F.col("p")["key"].alias("param_key"),
+                    param_value(F.col("p"), trim=True).alias("param_value"))
+
+
+@query
+def explode_items(tb: Testbed) -> DataFrame:
+    ex = it._explode_items(_item_events(tb), distinct=False)
+    return ex.select("s_no", "item_brand", F.col("__item_id_raw").alias("item_id"),
+                     F.col("__list_raw").alias("item_list_name"), F.col("__item_name_raw").alias("item_name"),
+                     "quantity", "price_in_usd", F.col("__variant_raw").alias("item_variant"), "item_revenue_in_usd")
+
+
+@query
+def item_params_pivot(tb: Testbed) -> DataFrame:
+    ex = it._explode_items(_item_events(tb), distinct=True).filter(has_params("item_params"))
+    return ex.select("s_no", F.trim("__item_id_raw").alias("item_id"),
+                     *[param("item_params", k, trim_values=True).alias(k) for k in ITEM_PARAM_KEYS])
+
+
+@query
+def items_browse(tb: Testbed) -> DataFrame:
+    return it.browse_items(_item_events(tb), tb.products()).select(*it.ITEMS_COLUMNS)
+
+
+@query
+def items_purchase(tb: Testbed) -> DataFrame:
+    ids = batch_order_ids(tb.raw)
+    return it.purchase_items(_item_events(tb), tb.orders(), ids, tb.products()).select(*it.ITEMS_COLUMNS)
+
+
+@query
+def parse_params_json(tb: Testbed) -> DataFrame:
+    ev = tb.spark.read.parquet(f"{tb.sf_dir}/events.parquet")
+    text = F.concat(F.lit('[{"key": "k", "value": {"int_value": '), F.get_json_object("props", "$.k"), F.lit("}}]"))
+    p = ev.select("event_id", F.explode(parse_json_params(text)).alias("p"))
+    return p.select("event_id", F.col("p")["key"].alias("param_key"), param_value(F.col("p")).alias("param_value"))
+
+
+@query
+def identity_keys(tb: Testbed) -> DataFrame:
+    return _events(tb).select("s_no", "user_id", "user_pseudo_id", "unique_user_id", "ga_session_id",
+                              "unique_session_id")
+
+
+@query
+def engagement_sum(tb: Testbed) -> DataFrame:
+    return _session_events(tb).groupBy("event_date", "unique_user_id").agg(
+        F.sum("engagement_ms").alias("engagement_time_msec"))
+
+
+@query
+def local_time(tb: Testbed) -> DataFrame:
+    r = tb.raw
+    ts = to_local("event_timestamp", r.schema["event_timestamp"].dataType, TB_DAILY.zone)
+    return r.select("event_bundle_sequence_id", ts.alias("event_timestamp"), F.hour(ts).alias("hourofday"),
+                    to_local("user_first_touch_timestamp", r.schema["user_first_touch_timestamp"].dataType,
+                             TB_DAILY.zone).alias("user_first_touch_timestamp"))
+
+
+@query
+def time_on_site(tb: Testbed) -> DataFrame:
+    return _sessions(tb).select(*SES_KEYS, "session_start_timestamp", "session_end_timestamp", "time_on_site")
+
+
+# ---------------------------------------------------------------------------
+# incremental and streaming (state in the shared checkpoint folder)
+# ---------------------------------------------------------------------------
+
+def _events_builder(tb: Testbed):
+    orders = tb.orders()
+    return lambda batch: build_events(batch, orders, TB_DAILY)
+
+
+@query
+def incremental_daily(tb: Testbed) -> DataFrame:
+    """Run 1 over the settled days; run 2 over the whole feed redoes the newest day and adds the rest."""
+    path = inc.scratch_target(tb.spark, "events")
+    build = _events_builder(tb)
+    inc.run_daily(tb.spark, tb.daily_feed(), build, path)
+    inc.run_daily(tb.spark, tb.raw, build, path)
+    return inc.read_table(tb.spark, path).select(*EVENTS_COLUMNS)
+
+
+@query
+def reprocess_latest_day(tb: Testbed) -> DataFrame:
+    """After run 1, the pre-run drop removes the newest stored day (rows per day remaining)."""
+    path = inc.scratch_target(tb.spark, "events")
+    inc.run_daily(tb.spark, tb.daily_feed(), _events_builder(tb), path)
+    inc.drop_latest_day(tb.spark, path)
+    return inc.read_table(tb.spark, path).groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def schema_sync(tb: Testbed) -> DataFrame:
+    """A table stored with an older schema (no label/currency, an extra column) synced to the current one."""
+    path = inc.scratch_target(tb.spark, "events")
+    ev = build_events(tb.daily_feed(), tb.orders(), TB_DAILY)
+    old = ev.drop("label", "currency").withColumn("legacy_flag", F.lit(1))
+    inc.write_days(old, path)
+    inc.sync_schema(tb.spark, path, ev.schema)
+    return inc.read_table(tb.spark, path).select("event_date", "s_no", "page_title", "label", "currency")
+
+
+@query
+def intraday_stream(tb: Testbed) -> DataFrame:
+    """Raw intraday files stream into a raw tail table; the tail events table is rebuilt from it."""
+    spark = tb.spark
+    base = inc.scratch_target(spark, "stream")
+    src = f"{base}/landing"
+    tb.intraday_feed().repartition("event_date").write.mode("overwrite").parquet(src)
+    raw_tail = f"{base}/raw_tail"
+    stream.ingest_raw(spark, src, tb.raw.schema, raw_tail, f"{base}/_checkpoint", max_files_per_trigger=1)
+    ev_mark = _mark(build_events(tb.daily_feed(), tb.orders(), TB_DAILY))
+    tail = stream.read_raw_tail(spark, raw_tail).select(*tb.raw.columns)
+    return build_events(tail.filter(F.col("event_date") > F.lit(ev_mark)), tb.orders(), TB_INTRADAY)
