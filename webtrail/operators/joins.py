@@ -48,3 +48,23 @@ def left_join_salted(left: DataFrame, right: DataFrame, left_keys: Sequence[Colu
     r2 = right.select(*[F.col(rk).cast("string").alias(n) for rk, n in zip(right_keys, names)],
                       *[c for c in right.columns if c not in right_keys])
     return l2.join(r2, names, "left").drop(*names)
+
+
+def left_join_split(left: DataFrame, right: DataFrame, left_key: Column, right_key: str, keep: Column | None = None
+                    ) -> DataFrame:
+    """Left join where only rows with ``keep`` and a non-null key can match.
+
+    Those rows go through the join; every other row bypasses it with null right
+    columns and is unioned back, so it is never shuffled.  Meant for a ``left``
+    that is cheap to read twice (a checkpointed or stored batch): when a small
+    share of rows can match (purchases among all events) the shuffle shrinks to
+    that share.  ``right`` must be unique on ``right_key``.
+    """
+    k = left_key.cast("string")
+    can = k.isNotNull() if keep is None else (F.coalesce(keep, F.lit(False)) & k.isNotNull())
+    extra = [c for c in right.columns if c != right_key]
+    joinable = left.filter(can).withColumn("__jk", k)
+    r = right.select(F.col(right_key).cast("string").alias("__jk"), *extra)
+    joined = joinable.join(r, "__jk", "left").drop("__jk")
+    rest = left.filter(~can).withColumns({c: F.lit(None).cast(right.schema[c].dataType) for c in extra})
+    return joined.unionByName(rest)

@@ -9,7 +9,7 @@ from webtrail.functions import rules
 from webtrail.functions.params import PARAM_TYPE
 from webtrail.functions.scalars import not_set_to_null, lower_trim
 from webtrail.functions.timeops import to_local, utc_micros
-from webtrail.operators.joins import left_join_salted
+from webtrail.operators.joins import left_join_split
 from webtrail.operators.orders import batch_order_ids, order_money, orders_in_batch
 from webtrail.operators.sequence import global_sequence
 from webtrail.schema import (ACQ_CHANNEL, COLLECTED, CT, FeedOptions, GCLID, LAST_CLICK, LC, LOWERED_TRAFFIC,
@@ -67,8 +67,8 @@ def attach_order_money(df: DataFrame, money: DataFrame, only_purchases: bool, pu
                        with_unique_items: bool = True) -> DataFrame:
     """Left join order money on trim(transaction id), optionally only for purchase rows.
 
-    Rows that cannot match get a salted key (see ``left_join_salted``), so the
-    many non-purchase events do not pile into the null-key partition.
+    Only rows that can match are shuffled (see ``left_join_split``); the batch
+    is checkpointed by the numbering, so reading it twice is a plain scan.
     """
     keep = None
     if only_purchases:
@@ -81,8 +81,7 @@ def attach_order_money(df: DataFrame, money: DataFrame, only_purchases: bool, pu
         F.col("shipping").alias("shipping_value"),
         "gross_sales", "gsnd", "gmv",
     )
-    return left_join_salted(df, m, [F.trim("ecommerce_transaction_id")], ["shopify_order_id"],
-                            salt=F.col("s_no"), keep=keep)
+    return left_join_split(df, m, F.trim("ecommerce_transaction_id"), "shopify_order_id", keep=keep)
 
 
 def batch_money(raw_batch: DataFrame, orders: DataFrame, purchase_only_semi: bool, with_unique_items: bool = True
