@@ -90,3 +90,29 @@ class FeedOptions:
 
 DAILY = FeedOptions()
 INTRADAY = FeedOptions(purchase_only_join=False, purchase_only_semi=True, session_channel_from_last_click=False)
+
+# The raw export feed as the builders read it (event_timestamp may also be
+# TIMESTAMP or TIMESTAMP_NTZ in UTC; extra columns are ignored).
+PARAMS_DDL = ("array<struct<key:string,value:struct<string_value:string,int_value:string,"
+              "double_value:string,float_value:string>>>")
+ITEMS_DDL = ("array<struct<item_brand:string,item_category:string,item_id:string,item_list_name:string,"
+             "item_name:string,quantity:decimal(38,0),price_in_usd:double,item_params:" + PARAMS_DDL +
+             ",item_variant:string,item_revenue_in_usd:double>>")
+RAW_EVENT_DDL = ", ".join(
+    ["event_date date", "event_timestamp bigint", "event_name string", "event_bundle_sequence_id bigint",
+     "user_id string", "user_pseudo_id string", "is_active_user boolean", "user_first_touch_timestamp bigint",
+     f"event_params {PARAMS_DDL}"]
+    + [f"{c} string" for c in DEVICE_GEO + TS_TRAFFIC + COLLECTED[:5]]
+    + [f"{c} string" for c in COLLECTED[5:]] + [f"{GCLID} string"]
+    + [f"{c} string" for c in LAST_CLICK]
+    + ["ecommerce_transaction_id string", "ecommerce_unique_items bigint", "ecommerce_total_item_quantity bigint",
+       "ecommerce_purchase_revenue_in_usd double", f"items {ITEMS_DDL}"]
+)
+ORDER_FACT_DDL = ("shopify_order_id string, sku string, title string, gift_card_flag string, quantity bigint, "
+                  "gross_sales decimal(18,2), gsnd decimal(18,2), gross_merchandise_value decimal(18,2), "
+                  "shipping_price decimal(18,2), total_tax decimal(18,2), vat_value decimal(18,2), "
+                  "sale_kind string, country string")
+CUSTOMER_TYPE_DDL = "shopify_order_id string, customer_type string"
+PRODUCT_DIM_DDL = ("externalid string, division string, product_category string, product_subcategory string, "
+                   "product_family string, planning_parent string, gender string, strategic_business_unit string, "
+                   "product_size string")
