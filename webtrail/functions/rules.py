@@ -176,20 +176,22 @@ UNASSIGNED = "Unassigned"
 # compiler
 # ---------------------------------------------------------------------------
 
-def compile_cond(cond: Cond, cols: Mapping[str, Column]) -> Column:
+def compile_cond(cond: Cond, cols: Mapping[str, Column], lowercase_inputs: bool = False) -> Column:
+    """``lowercase_inputs``: the inputs are known to be lower case, so ILIKE is a
+    plain LIKE with a lower-cased pattern (no per-pattern ``lower()`` of the input)."""
     op = cond[0]
     if op == "or":
-        return reduce(lambda a, b: a | b, [compile_cond(c, cols) for c in cond[1]])
+        return reduce(lambda a, b: a | b, [compile_cond(c, cols, lowercase_inputs) for c in cond[1]])
     if op == "and":
-        return reduce(lambda a, b: a & b, [compile_cond(c, cols) for c in cond[1]])
+        return reduce(lambda a, b: a & b, [compile_cond(c, cols, lowercase_inputs) for c in cond[1]])
     if op == "not":
-        return ~compile_cond(cond[1], cols)
+        return ~compile_cond(cond[1], cols, lowercase_inputs)
     col = cols[cond[1]]
     arg = cond[2]
     if op == "like":
         return col.like(arg)
     if op == "ilike":
-        return col.ilike(arg)
+        return col.like(arg.lower()) if lowercase_inputs else col.ilike(arg)
     if op == "eq":
         return col == F.lit(arg)
     if op == "rlike":
@@ -197,10 +199,11 @@ def compile_cond(cond: Cond, cols: Mapping[str, Column]) -> Column:
     raise ValueError(f"unknown rule op {op!r}")
 
 
-def compile_rules(rules: Sequence[tuple[Any, Cond]], cols: Mapping[str, Column], default: Column) -> Column:
+def compile_rules(rules: Sequence[tuple[Any, Cond]], cols: Mapping[str, Column], default: Column,
+                  lowercase_inputs: bool = False) -> Column:
     expr = None
     for result, cond in rules:
-        c = compile_cond(cond, cols)
+        c = compile_cond(cond, cols, lowercase_inputs)
         value = F.lit(result).cast("string")
         expr = F.when(c, value) if expr is None else expr.when(c, value)
     return expr.otherwise(default)
@@ -234,20 +237,26 @@ class ChannelConfig:
     fix_domain_tokens: bool = False
 
 
-def _channel(cols: dict[str, Column], with_platform: bool, cfg: ChannelConfig) -> Column:
+def _channel(cols: dict[str, Column], with_platform: bool, cfg: ChannelConfig, lowercase_inputs: bool) -> Column:
     cols = {k: F.coalesce(v, F.lit("")) for k, v in cols.items()}
     rules = channel_rules(with_platform, cfg.partnership_campaigns, cfg.fix_domain_tokens)
-    return compile_rules(rules, cols, F.lit(UNASSIGNED))
+    return compile_rules(rules, cols, F.lit(UNASSIGNED), lowercase_inputs)
 
 
-def channel_acquisition(source, medium, campaign, cfg: ChannelConfig = ChannelConfig()) -> Column:
-    """Acquisition channel grouping of (source, medium, campaign)."""
-    return _channel({"s": _c(source), "m": _c(medium), "c": _c(campaign)}, False, cfg)
+def channel_acquisition(source, medium, campaign, cfg: ChannelConfig = ChannelConfig(),
+                        lowercase_inputs: bool = False) -> Column:
+    """Acquisition channel grouping of (source, medium, campaign).
 
+    Pass ``lowercase_inputs=True`` only when every input is already lower case
+    (the table builders clean traffic columns with ``lower(trim())``)."""
+    return _channel({"s": _c(source), "m": _c(medium), "c": _c(campaign)}, False, cfg, lowercase_inputs)
 
-def channel_session(source, medium, campaign, platform, cfg: ChannelConfig = ChannelConfig()) -> Column:
+
+def channel_session(source, medium, campaign, platform, cfg: ChannelConfig = ChannelConfig(),
+                    lowercase_inputs: bool = False) -> Column:
     """Session channel grouping; as acquisition plus the platform test."""
-    return _channel({"s": _c(source), "m": _c(medium), "c": _c(campaign), "p": _c(platform)}, True, cfg)
+    return _channel({"s": _c(source), "m": _c(medium), "c": _c(campaign), "p": _c(platform)}, True, cfg,
+                    lowercase_inputs)
 
 
 # ---------------------------------------------------------------------------

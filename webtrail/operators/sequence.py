@@ -7,10 +7,9 @@ An unpartitioned window moves every row into one task.  Instead:
    and sort within each partition;
 2. number rows inside each partition (``monotonically_increasing_id`` minus the
    partition's base, which is ``partition_id << 33``);
-3. count rows per partition - a table with one row per partition, whose size is
-   bounded by the partition count, not by the data - and turn it into running
-   offsets with a window over that tiny table;
-4. broadcast-join the offsets back on the partition id.
+3. count rows per partition - one number per partition, bounded by the
+   partition count, not by the data - and turn them into running offsets;
+4. add the offset of each row's partition as a literal array lookup.
 
 Range bounds are sampled from the input, so two evaluations of step 1 can
 disagree when the upstream partitioning differs (and the pruned count branch
@@ -24,7 +23,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _PID = "__seq_pid"
@@ -50,11 +49,12 @@ def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no"
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     # reliable checkpoint (shared folder): the ids become stored values
     local = local.checkpoint(eager=True)
-    counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("__seq_n"))
-    # one row per partition: the window below is over at most ``n`` rows
-    offsets = counts.select(
-        _PID,
-        (F.sum("__seq_n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))).alias("__seq_off"),
-    ).fillna(0, subset=["__seq_off"])
-    numbered = local.join(F.broadcast(offsets), _PID, "inner")
-    return numbered.withColumn(out, F.col("__seq_off") + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL, "__seq_off")
+    # one count per range partition: bounded by ``n``, not by the data, so it is
+    # collected and applied as a literal lookup (no window, no join)
+    counts = dict(local.groupBy(_PID).count().collect())
+    offsets, run = [], 0
+    for pid in range(n):
+        offsets.append(run)
+        run += counts.get(pid, 0)
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
+    return local.withColumn(out, off + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL)

@@ -97,6 +97,7 @@ def acquisition_channel(opts: FeedOptions, prefix: str = "") -> Column:
         F.coalesce(F.col(p + "traffic_source_medium"), F.col(p + CT + "medium")),
         F.coalesce(F.col(p + "traffic_source_name"), F.col(p + CT + "campaign_name")),
         opts.channels,
+        lowercase_inputs=True,  # traffic columns are lower(trim())-cleaned, normaliser outputs are lower case
     )
 
 
@@ -108,4 +109,4 @@ def session_channel(opts: FeedOptions, prefix: str = "") -> Column:
                  ("source_platform", "source_platform"))]
     else:
         args = [F.col(p + CT + f) for f in ("source", "medium", "campaign_name", "source_platform")]
-    return rules.channel_session(*args, cfg=opts.channels)
+    return rules.channel_session(*args, cfg=opts.channels, lowercase_inputs=True)
