@@ -26,11 +26,14 @@ RAW_COLUMNS = ["event_date", "event_timestamp", "event_name", "event_bundle_sequ
                "ecommerce_purchase_revenue_in_usd"] + TRAFFIC_OUT
 
 
-def cleaned_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions) -> DataFrame:
-    """Numbered, cleaned events with order money; before param widening."""
+def cleaned_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions,
+                   numbered: DataFrame | None = None) -> DataFrame:
+    """Numbered, cleaned events with order money; before param widening.
+
+    ``numbered`` may pass the batch already numbered (shared with other tables)."""
     raw = raw_batch.select(*RAW_COLUMNS)
     money = batch_money(raw, orders, opts.purchase_only_semi)
-    numbered = number_batch(raw)
+    numbered = number_batch(raw) if numbered is None else numbered.select(*RAW_COLUMNS, "s_no")
     joined = attach_order_money(numbered, money, only_purchases=opts.purchase_only_join)
     cols = {
         **local_times(raw, opts),
@@ -45,9 +48,10 @@ def cleaned_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions) -
     return joined.withColumns(cols)
 
 
-def build_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions = FeedOptions()) -> DataFrame:
+def build_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions = FeedOptions(),
+                 numbered: DataFrame | None = None) -> DataFrame:
     """Events table for the days in ``raw_batch`` (already cut at the watermark)."""
-    ev = cleaned_events(raw_batch, orders, opts).filter(has_params("event_params"))
+    ev = cleaned_events(raw_batch, orders, opts, numbered).filter(has_params("event_params"))
     # params: max over duplicates first, trim after
     sid_raw = param("event_params", "ga_session_id")
     widened = ev.withColumns({

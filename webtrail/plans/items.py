@@ -57,10 +57,10 @@ def typed_items(items: Column) -> Column:
         *[i[f].cast(t).alias(f) for f, t in ITEM_FIELDS], i["item_params"].alias("item_params")))
 
 
-def item_events(raw_batch: DataFrame, opts: FeedOptions) -> DataFrame:
+def item_events(raw_batch: DataFrame, opts: FeedOptions, numbered: DataFrame | None = None) -> DataFrame:
     """Events with items and params; ``s_no`` counts every event of the batch."""
     raw = raw_batch.select(*RAW_COLUMNS)
-    numbered = number_batch(raw)
+    numbered = number_batch(raw) if numbered is None else numbered.select(*RAW_COLUMNS, "s_no")
     ev = numbered.filter((F.size("items") > 0) & has_params("event_params")).withColumns({
         **local_times(raw, opts),
         "event_name": F.trim("event_name"),
@@ -209,10 +209,10 @@ def swap_color_size(df: DataFrame, dim: DataFrame, max_rows: int) -> DataFrame:
 
 
 def build_items(raw_batch: DataFrame, orders: DataFrame, products: DataFrame,
-                opts: FeedOptions = FeedOptions()) -> DataFrame:
+                opts: FeedOptions = FeedOptions(), numbered: DataFrame | None = None) -> DataFrame:
     ids = batch_order_ids(raw_batch.select("event_name", "ecommerce_transaction_id"), purchase_only=False)
     dim = bounded_broadcast(products, opts.broadcast_max_rows)
-    ev = item_events(raw_batch, opts)
+    ev = item_events(raw_batch, opts, numbered)
     parts = [browse_items(ev, dim), purchase_items(ev, orders, ids, dim), list_view_items(ev, dim, opts.list_view_brand)]
     union = parts[0].select(*ITEMS_COLUMNS)
     for p in parts[1:]:

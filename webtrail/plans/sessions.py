@@ -64,11 +64,12 @@ SESSIONS_COLUMNS = (
 )
 
 
-def session_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions) -> DataFrame:
+def session_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions,
+                   numbered: DataFrame | None = None) -> DataFrame:
     """One cleaned row per event with params: ids, session params, dims, money."""
     raw = raw_batch.select(*RAW_COLUMNS)
     money = batch_money(raw, orders, purchase_only_semi=False, with_unique_items=False)
-    numbered = number_batch(raw)
+    numbered = number_batch(raw) if numbered is None else numbered.select(*RAW_COLUMNS, "s_no")
     joined = attach_order_money(numbered, money, only_purchases=True, with_unique_items=False)
     ev = joined.filter(has_params("event_params")).withColumns({
         **local_times(raw, opts),
@@ -163,9 +164,9 @@ def engaged_flag() -> Column:
 
 
 def build_sessions(raw_batch: DataFrame, orders: DataFrame, new_user_days: DataFrame,
-                   opts: FeedOptions = FeedOptions()) -> DataFrame:
+                   opts: FeedOptions = FeedOptions(), numbered: DataFrame | None = None) -> DataFrame:
     """Sessions for the days in ``raw_batch``; ``new_user_days`` is (event_date, unique_user_id)."""
-    ev = session_events(raw_batch, orders, opts)
+    ev = session_events(raw_batch, orders, opts, numbered)
     sessions = session_rollup(session_index(attribute_rollup(ev)))
     end = F.col("end_event")
     out = sessions.withColumns({
