@@ -135,12 +135,14 @@ def session_index(combos: DataFrame) -> DataFrame:
 
 
 def session_rollup(indexed: DataFrame) -> DataFrame:
-    """Step 4: one row per session with first/last attributes, sums and the end event."""
+    """Step 4: one row per session with first/last attributes, sums and the end event.
+
+    All 30 first-touch (and last-touch) attributes come from a single ``min_by``
+    (``max_by``) over one struct, so each row is compared once per direction,
+    not once per attribute; a null at the first row stays null."""
     order = F.struct("event_timestamp", "s_no")
-    first_last = []
-    for c in FIRST_LAST:
-        first_last += [F.min_by(c, order).alias(f"first_event_{c}"), F.max_by(c, order).alias(f"last_event_{c}")]
-    return indexed.groupBy(*SESSION_KEYS).agg(
+    attrs = F.struct(*[F.col(c) for c in FIRST_LAST])
+    g = indexed.groupBy(*SESSION_KEYS).agg(
         F.min("event_timestamp").alias("session_start_timestamp"),
         F.max("last_s_no").alias("last_event_s_no"),
         F.max("user_id").alias("user_id"),
@@ -148,11 +150,17 @@ def session_rollup(indexed: DataFrame) -> DataFrame:
         F.max("ga_session_id").alias("ga_session_id"),
         F.sum("engagement_time_msec").cast("decimal(38,0)").alias("engagement_time_msec"),
         *[F.sum(c).alias(c) for c, _ in SESSION_COUNTERS],
-        *first_last,
+        F.min_by(attrs, order).alias("__first"),
+        F.max_by(attrs, order).alias("__last"),
         F.sum("orders").alias("orders"),
         *[F.sum(c).alias(c) for c in MONEY_SUMS],
         F.max_by("end_event", "last_s_no").alias("end_event"),
     )
+    expand = {}
+    for c in FIRST_LAST:
+        expand[f"first_event_{c}"] = F.col("__first")[c]
+        expand[f"last_event_{c}"] = F.col("__last")[c]
+    return g.withColumns(expand).drop("__first", "__last")
 
 
 def engaged_flag() -> Column:

@@ -62,13 +62,16 @@ def _purchases(tb: Testbed) -> DataFrame:
     return build_purchases(tb.raw, tb.orders(), TB_DAILY)
 
 
-def _new_users(tb: Testbed) -> DataFrame:
-    ev = _events(tb)
+def _new_users(tb: Testbed, numbered: DataFrame | None = None) -> DataFrame:
+    ev = build_events(tb.raw, tb.orders(), TB_DAILY, numbered)
     return nu.new_users(ev, [ev], _purchases(tb), tb.customer_types(), NO_MARK)
 
 
 def _sessions(tb: Testbed) -> DataFrame:
-    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb), TB_DAILY)
+    """Sessions of a first daily run; the events table it reads shares the batch numbering."""
+    from webtrail.plans.runner import SHARED_COLUMNS
+    numbered = number_batch(tb.raw.select(*SHARED_COLUMNS))
+    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb, numbered), TB_DAILY, numbered)
 
 
 def _session_events(tb: Testbed) -> DataFrame:
