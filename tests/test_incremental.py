@@ -66,3 +66,11 @@ def test_daily_runner_shares_numbering_and_matches_builders(spark):
     run_intraday_tables(spark, tb.intraday_feed(), tb.orders(), tb.customer_types(), tb.products(), daily, tail,
                         TB_INTRADAY)
     assert inc.read_table(spark, tail.events).count() == 0
+
+
+def test_mark_from_listing_equals_max_over_data(spark):
+    path = inc.scratch_target(spark, "m")
+    inc.write_days(_feed(spark, [3, 5, 9]), path)
+    assert inc.high_water_mark(spark, path) == dt.date(2024, 1, 9)
+    assert inc.high_water_mark_df(inc.read_table(spark, path)).first()[0] == dt.date(2024, 1, 9)
+    assert inc.stored_days(spark, path) == [dt.date(2024, 1, d) for d in (3, 5, 9)]

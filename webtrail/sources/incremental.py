@@ -50,11 +50,32 @@ def high_water_mark_df(table: DataFrame) -> DataFrame:
     return table.agg(F.coalesce(F.max(DATE_COL), F.lit(NO_MARK)).alias("high_water_mark"))
 
 
-def high_water_mark(spark: SparkSession, path: str) -> dt.date:
-    """Newest stored day of the target; 1900-01-01 when it does not exist."""
+def _is_data_file(name: str) -> bool:
+    return not (name.startswith("_") or name.startswith("."))
+
+
+def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """Days that hold data files, from the partition directory listing (no data read)."""
     if not table_exists(spark, path):
-        return NO_MARK
-    return high_water_mark_df(read_table(spark, path)).first()[0]
+        return []
+    fs, root = _fs(spark, path)
+    days = []
+    prefix = f"{DATE_COL}="
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            if any(_is_data_file(f.getPath().getName()) for f in fs.listStatus(st.getPath())):
+                days.append(dt.date.fromisoformat(name[len(prefix):]))
+    return sorted(days)
+
+
+def high_water_mark(spark: SparkSession, path: str) -> dt.date:
+    """Newest stored day of the target; 1900-01-01 when it does not exist.
+
+    Read from the ``event_date=`` directory names, so the cost grows with the
+    number of days, not with the size of the table."""
+    days = stored_days(spark, path)
+    return days[-1] if days else NO_MARK
 
 
 def drop_latest_day(spark: SparkSession, path: str) -> dt.date | None:
