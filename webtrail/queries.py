@@ -154,7 +154,7 @@ def filter_in_notin(tb: Testbed) -> DataFrame:
 
 @query
 def filter_after_watermark(tb: Testbed) -> DataFrame:
-    mark = _mark(build_events(tb.daily_feed(), tb.orders(), TB_DAILY))
+    mark = inc.high_water_mark(tb.spark, _stored_daily(tb).events)
     return _raw_scalars(tb.intraday_feed().filter(F.col("event_date") > F.lit(mark)))
 
 
@@ -331,27 +331,39 @@ def explode_params(tb: Testbed) -> DataFrame:
     return explode(n, "event_params").select("s_no", "param_key", "param_value")
 
 
+# Daily tables stored by a daily run over the settled feed: (app id, sf_dir) -> Tables.
+_STORED_DAILY: dict = {}
+
+
+def _stored_daily(tb: Testbed):
+    """The four daily tables as a scheduler leaves them: one daily run over the
+    settled days, written once per application to the shared checkpoint folder."""
+    from webtrail.plans.runner import run_daily_tables, scratch_tables
+    key = (tb.spark.sparkContext.applicationId, tb.sf_dir)
+    if key not in _STORED_DAILY:
+        tables = scratch_tables(tb.spark, "daily")
+        run_daily_tables(tb.spark, tb.daily_feed(), tb.orders(), tb.customer_types(), tb.products(), tables, TB_DAILY)
+        _STORED_DAILY[key] = tables
+    return _STORED_DAILY[key]
+
+
 def _intraday(tb: Testbed) -> dict:
-    """Daily tables of the settled days, their marks, and the intraday tables past them."""
-    orders = tb.orders()
-    evd = build_events(tb.daily_feed(), orders, TB_DAILY)
-    pud = build_purchases(tb.daily_feed(), orders, TB_DAILY)
-    ev_mark = _mark(evd)
-    pu_mark = _mark(pud)
+    """Stored daily tables, their marks (from the partition listing) and the
+    intraday tables built from the provisional feed past those marks."""
+    spark, orders = tb.spark, tb.orders()
+    daily = _stored_daily(tb)
+    marks = {k: inc.high_water_mark(spark, p) for k, p in daily.as_dict().items()}
     feed = tb.intraday_feed()
-    evi = build_events(feed.filter(F.col("event_date") > F.lit(ev_mark)), orders, TB_INTRADAY)
-    pui = build_purchases(feed.filter(F.col("event_date") > F.lit(pu_mark)), orders, TB_INTRADAY)
-    # the daily sessions table has a row for every day of the daily events table,
-    # so its newest day equals the events mark
-    ses_mark = ev_mark
-    return {"evd": evd, "pud": pud, "evi": evi, "pui": pui, "ev_mark": ev_mark, "pu_mark": pu_mark,
-            "ses_mark": ses_mark, "feed": feed}
+    evi = build_events(feed.filter(F.col("event_date") > F.lit(marks["events"])), orders, TB_INTRADAY)
+    pui = build_purchases(feed.filter(F.col("event_date") > F.lit(marks["purchases"])), orders, TB_INTRADAY)
+    return {"evd": inc.read_table(spark, daily.events), "evi": evi, "pui": pui, "marks": marks, "feed": feed,
+            "daily": daily}
 
 
 @query
 def new_users_intraday(tb: Testbed) -> DataFrame:
     d = _intraday(tb)
-    return nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), d["ses_mark"])
+    return nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), d["marks"]["sessions"])
 
 
 @query
@@ -367,15 +379,14 @@ def purchases_intraday(tb: Testbed) -> DataFrame:
 @query
 def sessions_intraday(tb: Testbed) -> DataFrame:
     d = _intraday(tb)
-    nui = nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), d["ses_mark"])
-    return se.build_sessions(d["feed"].filter(F.col("event_date") > F.lit(d["ses_mark"])), tb.orders(), nui,
-                             TB_INTRADAY)
+    mark = d["marks"]["sessions"]
+    nui = nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), mark)
+    return se.build_sessions(d["feed"].filter(F.col("event_date") > F.lit(mark)), tb.orders(), nui, TB_INTRADAY)
 
 
 @query
 def items_intraday(tb: Testbed) -> DataFrame:
-    itd = it.build_items(tb.daily_feed(), tb.orders(), tb.products(), TB_DAILY)
-    mark = _mark(itd)
+    mark = inc.high_water_mark(tb.spark, _stored_daily(tb).items)
     return it.build_items(tb.intraday_feed().filter(F.col("event_date") > F.lit(mark)), tb.orders(), tb.products(),
                           TB_INTRADAY)
 
@@ -435,7 +446,7 @@ def _combos_with_end(tb: Testbed) -> DataFrame:
 
 @query
 def high_water_mark(tb: Testbed) -> DataFrame:
-    return inc.high_water_mark_df(build_events(tb.daily_feed(), tb.orders(), TB_DAILY))
+    return inc.high_water_mark_df(inc.read_table(tb.spark, _stored_daily(tb).events))
 
 
 @query
@@ -606,6 +617,6 @@ def intraday_stream(tb: Testbed) -> DataFrame:
     tb.intraday_feed().repartition("event_date").write.mode("overwrite").parquet(src)
     raw_tail = f"{base}/raw_tail"
     stream.ingest_raw(spark, src, tb.raw.schema, raw_tail, f"{base}/_checkpoint", max_files_per_trigger=1)
-    ev_mark = _mark(build_events(tb.daily_feed(), tb.orders(), TB_DAILY))
+    ev_mark = inc.high_water_mark(spark, _stored_daily(tb).events)
     tail = stream.read_raw_tail(spark, raw_tail).select(*tb.raw.columns)
     return build_events(tail.filter(F.col("event_date") > F.lit(ev_mark)), tb.orders(), TB_INTRADAY)
