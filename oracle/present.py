@@ -9,8 +9,8 @@ DATES = {"event_date", "high_water_mark"}
 def present_sql(body: str, columns: list[str], decimals=(), doubles=(), ints=()) -> str:
     """``SELECT`` over ``body`` that formats ``columns`` like ``webtrail.present.present``.
 
-    Timestamps and dates are recognised by name; ``decimals`` are cast to
-    double, ``doubles`` rounded to six places and ``ints`` cast to BIGINT.
+    Timestamps and dates are recognised by name; ``decimals`` and ``ints`` are
+    cast to double, ``doubles`` rounded to six places.
     """
     out = []
     for c in columns:
@@ -24,7 +24,7 @@ def present_sql(body: str, columns: list[str], decimals=(), doubles=(), ints=())
         elif c in doubles:
             e = f"round(CAST({q} AS DOUBLE), 6)"
         elif c in ints:
-            e = f"CAST({q} AS BIGINT)"
+            e = f"CAST({q} AS DOUBLE)"
         else:
             e = q
         out.append(f"{e} AS {q}")

@@ -22,7 +22,7 @@ DOUBLES = ["ecommerce_purchase_revenue_in_usd", "price_in_usd", "item_revenue_in
 COUNTERS = [c for c, _ in SESSION_COUNTERS]
 INTS = ["hourofday", "s_no", "last_s_no", "last_event_s_no", "session_index", "orders", "total_item_quantity",
         "unique_items", "activity", "time_on_site", "engaged_session_flag", "newsession", "n_params", "n_items",
-        "rows", "event_bundle_sequence_id"] + COUNTERS
+        "rows", "event_bundle_sequence_id", "raw_event_micros", "event_id"] + COUNTERS
 
 
 def with_ctes(*groups: list[str]) -> str:
