@@ -91,6 +91,7 @@ register("events_wide", [EV], "SELECT * FROM ev", EVENTS_COLUMNS)
 register("purchases", [PU], "SELECT * FROM pu", PURCHASES_COLUMNS)
 register("new_users", [EV, PU, NU], "SELECT * FROM nu", ["event_date", "unique_user_id"])
 register("sessions_full", SES_ALL, "SELECT * FROM se", SESSIONS_COLUMNS, decimals=SES_DEC)
+register("sessions_hot_split", SES_ALL, "SELECT * FROM se", SESSIONS_COLUMNS, decimals=SES_DEC)
 register("items_union", [IT], "SELECT * FROM it", ITEMS_COLUMNS, decimals=ITEM_DEC)
 
 # ---------------------------------------------------------------------------

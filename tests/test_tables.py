@@ -187,3 +187,23 @@ def test_items_branches(spark):
     assert pur["6"].gender == "UNISEX"
     lv = [r for r in rows if r.event_name == "view_item_list"]
     assert len(lv) == 1 and lv[0].item_list_name == "Home" and lv[0].item_brand == "HOUSE"
+
+
+def test_split_session_index_equals_window_version(spark):
+    """The skew-proof session index equals the window one, with one hot id-less group."""
+    import random
+    from webtrail.plans.sessions import session_index, session_index_split
+    rnd = random.Random(7)
+    rows = []
+    base = dt.datetime(2024, 1, 1, 10, 0)
+    for i in range(600):
+        hot = i % 3 != 0  # two thirds of all combinations in one group without ids
+        sid, uid = (None, None) if hot else (f"s{i % 7}", f"u{i % 5}")
+        ts = base + dt.timedelta(minutes=rnd.choice([0, 5, 29, 31, 45, 90]) * (i // 3), seconds=rnd.randint(0, 59))
+        rows.append((dt.date(2024, 1, 1 + i % 2), sid, uid, ts, i))
+    combos = spark.createDataFrame(rows, "event_date date, unique_session_id string, unique_user_id string, "
+                                         "event_timestamp timestamp_ntz, s_no long")
+    a = session_index(combos).select("s_no", "session_index")
+    b = session_index_split(combos).select("s_no", "session_index")
+    assert b.count() == 600
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

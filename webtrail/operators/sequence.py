@@ -58,3 +58,28 @@ def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no"
         run += counts.get(pid, 0)
     off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
     return local.withColumn(out, off + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL)
+
+
+def global_running_sum(df: DataFrame, order_by: Sequence[Column], value: str, out: str,
+                       num_partitions: int | None = None) -> DataFrame:
+    """Append ``out`` = running sum of ``value`` over the whole frame in ``order_by`` order.
+
+    Same shape as :func:`global_sequence`: range partitions on the full order
+    (a hot key is split), a reliable checkpoint of partition id and local index,
+    a window per stored partition id (balanced by the range bounds) and one
+    bounded total per partition turned into offsets.
+    """
+    from pyspark.sql import Window
+    n = _num_partitions(df, num_partitions)
+    ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    local = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
+        _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    local = local.checkpoint(eager=True)
+    totals = {r[0]: (r[1] or 0) for r in local.groupBy(_PID).agg(F.sum(value)).collect()}
+    offsets, run = [], 0
+    for pid in range(n):
+        offsets.append(run)
+        run += totals.get(pid, 0)
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
+    w = Window.partitionBy(_PID).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return local.withColumn(out, off + F.sum(value).over(w)).drop(_PID, _LOCAL)

@@ -134,6 +134,41 @@ def session_index(combos: DataFrame) -> DataFrame:
         .drop("previous_timestamp", "newsession")
 
 
+def session_index_split(combos: DataFrame) -> DataFrame:
+    """Step 3 without a window per (day, session, user): for a group holding a
+    large share of all combinations (no ids at all, a bot session).
+
+    Combinations are numbered globally in (group, time, s_no) order (range
+    partitions split a hot group); the previous combination is an equi-join on
+    ``number - 1``; the running count of new-session flags is a global running
+    sum; a group's index is that sum minus the sum at the group's first row, + 1.
+    Same result as :func:`session_index`."""
+    from webtrail.operators.sequence import global_running_sum, global_sequence
+    g = ["event_date", "unique_session_id", "unique_user_id"]
+    order = [F.col(c).asc_nulls_first() for c in g] + [F.col("event_timestamp").asc(), F.col("s_no").asc()]
+    num = global_sequence(combos, order, "__gn")
+    prev = num.select((F.col("__gn") + 1).alias("__gn"), *[F.col(c).alias(f"__p_{c}") for c in g],
+                      F.col("event_timestamp").alias("__p_ts"))
+    j = num.join(prev, "__gn", "left")
+    same = F.coalesce(reduce_and([F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in g]), F.lit(False))
+    flag = F.when(~same, 1).when(minute_boundaries(F.col("__p_ts"), F.col("event_timestamp")) > SESSION_GAP_MINUTES,
+                                 1).otherwise(0)
+    flagged = j.withColumn("__new", flag).drop(*[f"__p_{c}" for c in g], "__p_ts")
+    summed = global_running_sum(flagged, [F.col("__gn").asc()], "__new", "__run")
+    first = summed.groupBy(*g).agg(F.min("__run").alias("__first_run"))
+    out = summed.join(first.withColumnsRenamed({c: f"__f_{c}" for c in g}),
+                      reduce_and([summed[c].eqNullSafe(F.col(f"__f_{c}")) for c in g]), "left")
+    return out.withColumn("session_index", F.col("__run") - F.col("__first_run") + 1).drop(
+        "__gn", "__new", "__run", "__first_run", *[f"__f_{c}" for c in g])
+
+
+def reduce_and(cols):
+    out = cols[0]
+    for c in cols[1:]:
+        out = out & c
+    return out
+
+
 def session_rollup(indexed: DataFrame) -> DataFrame:
     """Step 4: one row per session with first/last attributes, sums and the end event.
 
@@ -175,7 +210,9 @@ def build_sessions(raw_batch: DataFrame, orders: DataFrame, new_user_days: DataF
                    opts: FeedOptions = FeedOptions(), numbered: DataFrame | None = None) -> DataFrame:
     """Sessions for the days in ``raw_batch``; ``new_user_days`` is (event_date, unique_user_id)."""
     ev = session_events(raw_batch, orders, opts, numbered)
-    sessions = session_rollup(session_index(attribute_rollup(ev)))
+    combos = attribute_rollup(ev)
+    indexed = session_index_split(combos) if opts.split_hot_sessions else session_index(combos)
+    sessions = session_rollup(indexed)
     end = F.col("end_event")
     out = sessions.withColumns({
         "hourofday": F.hour("session_start_timestamp"),

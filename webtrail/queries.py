@@ -124,6 +124,15 @@ def sessions_full(tb: Testbed) -> DataFrame:
     return _sessions(tb)
 
 
+@query
+def sessions_hot_split(tb: Testbed) -> DataFrame:
+    """Sessions with the skew-proof session index (no window per session group)."""
+    from webtrail.plans.runner import SHARED_COLUMNS
+    numbered = number_batch(tb.raw.select(*SHARED_COLUMNS))
+    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb, numbered), replace(TB_DAILY, split_hot_sessions=True),
+                             numbered)
+
+
 @query
 def items_union(tb: Testbed) -> DataFrame:
     return it.build_items(tb.raw, tb.orders(), tb.products(), TB_DAILY)
