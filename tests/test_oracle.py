@@ -12,7 +12,7 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 KEYS = ["events_wide", "purchases", "sessions_full", "items_union", "new_users", "intraday_tail",
-        "sessions_intraday", "global_sequence", "channel_session", "incremental_daily"]
+        "sessions_intraday", "global_sequence", "channel_session", "incremental_daily", "sessions_hot_split"]
 
 
 def _cell(v):
