@@ -102,3 +102,27 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
     nodes = now.toDF("node", "component")
     return nodes.union(now.select("b", "b").distinct())
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """Whole groups of rows that are sorted by their first ``n_keys`` columns, of types numpy holds."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)]
+        change = np.zeros(batch.num_rows, dtype=bool)
+        for k in keys:
+            change[1:] |= k[1:] != k[:-1]
+        if held:
+            change[0] = any(held[0].column(i)[0].as_py() != k[0] for i, k in enumerate(keys))
+        done = 0
+        for cut in np.flatnonzero(change).tolist():
+            if cut > done:
+                held.append(batch.slice(done, cut - done))
+            if held:
+                yield pa.Table.from_batches(held)
+            held, done = [], cut
+        held.append(batch.slice(done))
+    if held:
+        yield pa.Table.from_batches(held)

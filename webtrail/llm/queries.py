@@ -3,19 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from webtrail.llm import simhash_neardup
+from webtrail.llm import mixture, orc_tokens, ppm_language, simhash_neardup, spaced_seeds
+
+#: The id that ends a document in token files.
+END_ID = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_entropy_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.balance(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3)
+
+
+def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orc_tokens.export(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID)
+
+
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(ppm_language.fold("doc_id", 4) == 2, F.lit(False))
+    found = ppm_language.identify(docs, docs.filter(ppm_language.fold("doc_id", 4) != 2))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
 QUERIES = {
+    "op1_entropy_mixture": op1_entropy_mixture,
+    "op2_orc_tokens": op2_orc_tokens,
+    "op3_spaced_seeds": op3_spaced_seeds,
+    "op7_ppm_language": op7_ppm_language,
     "op9_simhash_neardup": op9_simhash_neardup,
 }
 

@@ -188,13 +188,8 @@ def _links(max_bits: int):
 
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4,
-                    block: int = BLOCK) -> DataFrame:
-    """(id, fingerprint string, component_id): one row for each row of ``docs``.
-
-    Fingerprints link at ``max_bits`` or fewer differing bits; ``component_id`` is the smallest id
-    that a row reaches over links, its own included.
-    """
+def _labels(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row; (fp, component_id) of every fingerprint."""
     rows = common.stored(fingerprints(docs, doc_id, text, shingle), "simhash")
     nodes = common.stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     cells = _cells(_keys(nodes, max_bits), block)
@@ -204,7 +199,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     lows = reach.groupBy("component").agg(F.min("least").alias("least"))
     linked = common.stored(reach.select("node", "component").join(lows, "component").select(
         F.col("node").alias("fp"), F.col("least").alias("low")), "simhash-linked")
-    best = nodes.join(common.small_side(linked), "fp", "left").select("fp", F.coalesce("low", "least").alias("component_id"))
+    best = nodes.join(common.small_side(linked), "fp", "left")
+    return rows, best.select("fp", F.coalesce("low", "least").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4,
+                    block: int = BLOCK) -> DataFrame:
+    """(id, fingerprint string, component_id): one row for each row of ``docs``.
+
+    Fingerprints link at ``max_bits`` or fewer differing bits; ``component_id`` is the smallest id
+    that a row reaches over links, its own included.
+    """
+    rows, best = _labels(docs, doc_id, text, shingle, max_bits, block)
     return rows.join(best, "fp").select(
         F.col("id").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4,
+             block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that stand for their component: of the smallest id.
+
+    Rows that repeat that id all stay, and rows with a null id stay: nothing tells them apart."""
+    rows, best = _labels(docs, doc_id, text, shingle, max_bits, block)
+    gone = common.small_side(common.stored(
+        rows.join(best, "fp").filter(F.col("id") != F.col("component_id")).select(F.col("id").alias("__gone")).distinct(),
+        "simhash-gone"), 1_000_000)
+    return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
