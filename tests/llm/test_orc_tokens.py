@@ -24,9 +24,16 @@ def test_ids_are_those_of_whole_texts():
     encoder = orc_tokens.Encoder(tokenizer_path(), 2)
     assert encoder.by_word
     texts = [t or "" for _, t in corpus()]
+    assert encoder.cut is not None
+    rnd = random.Random(2)
+    signs = "".join(map(chr, range(1, 0x250))) + "'" * 9 + "---...   <|endoftext|>st\u0301\u0308\u3000\u200b"
+    texts += ["".join(rnd.choice(signs) for _ in range(rnd.randint(1, 60))) for _ in range(3000)]
     plain = Tokenizer.from_file(tokenizer_path())
-    for have, text in zip(encoder(texts), texts):
-        assert have.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2]
+    for _ in range(2):  # new words, then known ones
+        ids, starts = encoder(texts)
+        for text, a, b in zip(texts, starts, starts[1:]):
+            assert ids[a:b].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2]
+    assert len(encoder([])[0]) == 0
 
 
 def test_files_and_index(spark, tmp_path):

@@ -17,21 +17,26 @@ no rows.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
 from webtrail.llm import common
 from webtrail.session import shared_dir
 
-#: Words a process remembers with their ids; the memory is emptied when it is full.
-REMEMBERED = 400_000
+#: Words, and pieces of words, that a process remembers with their ids; a full memory is emptied.
+REMEMBERED = 800_000
+#: Words that a tokenizer of the known kind only lowers: printable, and of letters that have one form.
+_PLAIN = regex.compile(r"(?:(?<=\n)|^)[!-~\u00a1-\u017f]+(?=\n|$)").findall
 OPTIONS = {"compression": "zstd", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
            "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20)}
 _PROBES = ("a b", " a  b ", "don't do n't", "x\n y", "1 23 4.5", "É à ñ ü", "á e ́", "<b> </b> ...!? !", "A\tb c\r\n d")
@@ -43,34 +48,110 @@ def splits_at_spaces(tokenizer) -> bool:
     return all(ids(x) == list(chain.from_iterable(ids(w) for w in x.split(" "))) for x in _PROBES)
 
 
+def _piece_pattern(tokenizer) -> str | None:
+    """The pattern that cuts a normalized word into the model's pieces, if the tokenizer is of the
+    kind that does nothing else to plain Latin words than to lower their case: its file says so."""
+    parts = json.loads(tokenizer.to_str())
+    kinds = [x["type"] for x in (parts["normalizer"] or {}).get("normalizers", [])]
+    steps = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if kinds != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+        return None
+    split, to_bytes = steps
+    plain = split["behavior"] == "Removed" and split["invert"] and "Regex" in split["pattern"] \
+        and not to_bytes["add_prefix_space"] and not to_bytes["use_regex"]
+    return split["pattern"]["Regex"] if plain else None
+
+
+class _Letters(dict):
+    """Each character in the letters that stand for its bytes in a byte-level vocabulary."""
+
+    def __missing__(self, code: int) -> str:
+        step = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self[code] = step.pre_tokenize_str(chr(code))[0][0]
+        return self[code]
+
+
+class _Memory:
+    """Ids by name: each name's row, and the rows' ids one after another."""
+
+    def __init__(self, name, ids: list[int]):
+        self.row = {name: 0}
+        self.ids = np.array(ids, dtype=np.uint32)
+        self.first, self.size = np.zeros(1, dtype=np.int64), np.array([len(ids)], dtype=np.int64)
+
+    def add(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.row.update(zip(names, range(len(self.size), len(self.size) + len(names))))
+        self.first = np.r_[self.first, len(self.ids) + np.cumsum(size) - size]
+        self.size = np.r_[self.size, size]
+        self.ids = np.r_[self.ids, ids]
+
+    def add_encoded(self, names: list[str], found: list) -> None:
+        size = np.fromiter((len(x.ids) for x in found), dtype=np.int64, count=len(found))
+        self.add(names, np.fromiter(chain.from_iterable(x.ids for x in found), dtype=np.uint32, count=int(size.sum())), size)
+
+    def take(self, names: Iterable, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows of the names, all their ids, where each name's begin; the last entry is their number)."""
+        rows = np.fromiter(map(self.row.__getitem__, names), dtype=np.int64, count=n)
+        size = self.size[rows]
+        total = np.r_[0, np.cumsum(size)]
+        return rows, self.ids[np.repeat(self.first[rows] - total[:-1], size) + np.arange(total[-1])], total
+
+
 class Encoder:
-    """The ids of whole texts, from the tokenizer's own encoding of each different word."""
+    """The ids of whole texts, from the tokenizer's own encoding of each different word.
 
-    def __init__(self, path: str, end_id: int | None):
-        from tokenizers import Tokenizer
+    New words of plain Latin letters, digits and signs are cut by the tokenizer's own pattern, and
+    its model encodes each different piece; other words pass through the whole tokenizer."""
 
+    def __init__(self, path: str, end_id: int | None):
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = splits_at_spaces(self.tokenizer)
         self.end = [] if end_id is None else [end_id]
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, values: list[str]) -> list[np.ndarray]:
+        pattern = _piece_pattern(self.tokenizer)
+        self.cut = regex.compile(pattern + "| ").findall if pattern else None
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _Letters()
+        if pattern:
+            bare = json.loads(self.tokenizer.to_str())
+            bare |= {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+            self.model = Tokenizer.from_str(json.dumps(bare))
+        self.words, self.pieces = _Memory(None, self.end), _Memory(" ", [])  # None: a text's end; a space has no ids
+
+    def _learn(self, new: set[str]) -> None:
+        plain: list[str] = []
+        if self.cut:
+            joined = "\n".join(new)
+            plain = _PLAIN(joined)
+            if any(t in joined for t in self.special):
+                plain = [w for w in plain if not any(t in w for t in self.special)]
+        if plain:
+            cut = self.cut(" ".join(plain).lower())
+            if len(self.pieces.row) > REMEMBERED:
+                self.pieces = _Memory(" ", [])
+            unknown = list(set(cut).difference(self.pieces.row))
+            as_bytes = [x if x.isascii() else x.translate(self.letters) for x in unknown]
+            self.pieces.add_encoded(unknown, self.model.encode_batch(as_bytes, add_special_tokens=False))
+            rows, ids, total = self.pieces.take(cut, len(cut))
+            gaps = np.flatnonzero(rows == 0)  # between the words; a space itself adds no ids
+            self.words.add(plain, ids, np.diff(np.r_[0, total[gaps], total[-1]]))
+        rest = list(new.difference(plain))
+        self.words.add_encoded(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False))
+
+    def __call__(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's begin; the last entry is their number)."""
         if not self.by_word:
-            found = self.tokenizer.encode_batch(values, add_special_tokens=False)
-            return [np.array([*x.ids, *self.end], dtype=np.uint32) for x in found]
-        split = [x.replace("\n", " ").split(" ") for x in values]
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = {w for words in split for w in words}
-        new = list(new)
-        for i in range(0, len(new), 10_000):
-            part = new[i: i + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[word] = tuple(found.ids)
-        return [np.fromiter(chain(chain.from_iterable(map(known.__getitem__, words)), self.end), dtype=np.uint32)
-                for words in split]
+            found = [[*x.ids, *self.end] for x in self.tokenizer.encode_batch(values, add_special_tokens=False)]
+            return np.array(list(chain.from_iterable(found)), dtype=np.uint32), np.cumsum([0, *map(len, found)])
+        split = [[*x.replace("\n", " ").split(" "), None] for x in values]
+        new = set(chain.from_iterable(split)).difference(self.words.row)
+        if len(self.words.row) + len(new) > REMEMBERED:
+            self.words = _Memory(None, self.end)
+            new = set(chain.from_iterable(split)).difference(self.words.row)
+        if new:
+            self._learn(new)
+        ends = np.cumsum([0, *map(len, split)])
+        _, ids, total = self.words.take(chain.from_iterable(split), int(ends[-1]))
+        return ids, total[ends]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -87,9 +168,8 @@ def _encode(path: str, end_id: int | None, at: int, chunk: int = 1 << 21):
         for batch in batches:
             values = common.texts(batch.column(at))
             for lo, hi in common.chunks(values, chunk):
-                ids = encoder([x.decode("utf-8", "replace") for x in values[lo:hi]])
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).view(np.int32)))
+                ids, starts = encoder([x.decode("utf-8", "replace") for x in values[lo:hi]])
+                tokens = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.view(np.int32)))
                 rest = [c.slice(lo, hi - lo) for i, c in enumerate(batch.columns) if i != at]
                 yield pa.RecordBatch.from_arrays([*rest, tokens], names=["doc_id", "tokens"])
 
