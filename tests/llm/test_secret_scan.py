@@ -1,0 +1,78 @@
+import hashlib
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from webtrail.llm import secret_scan as ss
+
+
+def corpus(n=400, seed=1):
+    rnd = random.Random(seed)
+    rows, secrets = [], set()
+    for i in range(n):
+        words = [rnd.choice(["alpha", "beta", "gamma", "delta", "running", "water"]) for _ in range(rnd.randint(2, 40))]
+        kind = rnd.randrange(5)
+        if kind == 0:
+            s = "".join(rnd.choice("0123456789abcdef") for _ in range(32))
+            words.insert(rnd.randrange(len(words)), f'password="{s}"')
+            secrets.add((i, s))
+        elif kind == 1:
+            s = "AKIA" + "".join(rnd.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(15)) + "7"
+            words.insert(rnd.randrange(len(words)), "token " + s)
+            secrets.add((i, s))
+        elif kind == 2:
+            words.insert(rnd.randrange(len(words)), "4" + "".join(rnd.choice("0123456789") for _ in range(15)))
+        elif kind == 3:
+            words.insert(rnd.randrange(len(words)), "water-running-alpha-2024")
+        rows.append((i, " ".join(words)))
+    return rows, secrets
+
+
+ODD = [(900, None), (901, ""), (902, "no candidate, 123"), (903, "alpha " * 50000 + "x1x2x3x4x5x6x7"), (None, "key=abcdefabcdef123456"),
+       (904, "a1b2c3d4e5f6a7,a1b2c3d4e5f6a7"), (904, "a1b2c3d4e5f6a7,a1b2c3d4e5f6a7")]
+
+
+def test_candidates_against_plain_scan(spark):
+    rows, _ = corpus()
+    docs = spark.createDataFrame(rows + ODD, "doc_id long, text string").withColumns({"word": F.lit(1), "path": F.lit("p")})
+    got = sorted((str(r.id), r.word_no, r.place, r.candidate) for r in ss.candidates(docs).collect())
+    want = sorted((str(d), i, k, m) for d, t in rows + ODD
+                  for i, w in enumerate(re.split(r"[\x20\x09-\x0D]+", t) if t else []) for k, m in enumerate(re.findall(ss.CANDIDATE, w)))
+    assert got == want and len(got) > 200
+
+
+def test_features(spark):
+    docs = spark.createDataFrame([(i, "hello world text") for i in range(5)] + [(9, "my password: 'hello42world-ABC' test")],
+                                 "doc_id long, text string")
+    r = ss.features(ss.candidates(docs.withColumn("p", F.lit("src/tests/x.py")), path="p"), docs).first()
+    s = "hello42world-ABC"
+    assert (r.f_length, r.f_digits, r.f_upper) == (16, 2 / 16, 3 / 16)
+    assert r.f_changes == 4 / 16 and r.f_different == len(set(s)) / 16 and r.f_dictionary == 10 / 16
+    assert math.isclose(r.f_entropy, -sum(s.count(c) / 16 * math.log2(s.count(c) / 16) for c in set(s)))
+    assert (r.f_depth, r.f_test_path, r.f_named, r.f_assigned, r.f_placeholder) == (2, 1, 1, 1, 1)
+
+
+def test_forest_on_unlabelled_findings(spark):
+    rows, secrets = corpus()
+    docs = spark.createDataFrame(rows + ODD, "doc_id long, text string").repartition(4).withColumn("score", F.lit(1))
+    digests = [(d, hashlib.sha256(s.encode()).hexdigest()) for d, s in secrets]
+    truth = F.when(F.concat_ws("|", F.col("id").cast("string"), F.sha2("candidate", 256)).isin([f"{d}|{x}" for d, x in digests]), 1
+                   ).otherwise(0)
+    label = F.when((F.col("id") < 200), truth)
+    got = ss.scan(docs, label).collect()
+    assert all(0 <= r.score <= 1 and r.is_secret == (r.score >= 0.5) for r in got)
+    held = [r for r in got if r.doc_id is not None and 200 <= r.doc_id < 400]
+    right = sum(r.is_secret == ((r.doc_id, r.digest) in set(digests)) for r in held)
+    assert len(held) > 100 and right >= 0.98 * len(held)
+    again = ss.scan(docs.repartition(3), label).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+@pytest.mark.parametrize("label,want", [(None, 0.0), (1, 1.0), (0, 0.0)])
+def test_one_kind_of_label(spark, label, want):
+    docs = spark.createDataFrame([(1, "password=0123456789abcdef")], "doc_id long, text string")
+    assert [r.score for r in ss.scan(docs, F.lit(label).cast("int")).collect()] == [want]
+    assert ss.scan(docs.limit(0), F.lit(label).cast("int")).collect() == []
