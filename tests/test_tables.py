@@ -189,21 +189,67 @@ def test_items_branches(spark):
     assert len(lv) == 1 and lv[0].item_list_name == "Home" and lv[0].item_brand == "HOUSE"
 
 
-def test_split_session_index_equals_window_version(spark):
-    """The skew-proof session index equals the window one, with one hot id-less group."""
+def test_session_index_of_a_hot_group(spark):
+    """Sessions are numbered as by one pass over each group; two thirds of all rows have no ids."""
     import random
-    from webtrail.plans.sessions import session_index, session_index_split
+    from webtrail.plans.sessions import session_gaps, session_index
     rnd = random.Random(7)
     rows = []
-    base = dt.datetime(2024, 1, 1, 10, 0)
-    for i in range(600):
-        hot = i % 3 != 0  # two thirds of all combinations in one group without ids
+    base = dt.datetime(2024, 1, 1, 0, 0)
+    for i in range(900):
+        hot = i % 3 != 0
         sid, uid = (None, None) if hot else (f"s{i % 7}", f"u{i % 5}")
-        ts = base + dt.timedelta(minutes=rnd.choice([0, 5, 29, 31, 45, 90]) * (i // 3), seconds=rnd.randint(0, 59))
+        minutes = rnd.choice([0, 1, 5, 29, 30, 31, 32, 45, 90]) * (i // 9)
+        ts = None if i % 97 == 0 else base + dt.timedelta(minutes=minutes % 1440, seconds=rnd.randint(0, 59))
         rows.append((dt.date(2024, 1, 1 + i % 2), sid, uid, ts, i))
     combos = spark.createDataFrame(rows, "event_date date, unique_session_id string, unique_user_id string, "
-                                         "event_timestamp timestamp_ntz, s_no long")
-    a = session_index(combos).select("s_no", "session_index")
-    b = session_index_split(combos).select("s_no", "session_index")
-    assert b.count() == 600
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+                                         "event_timestamp timestamp_ntz, s_no long").repartition(5)
+    want, last = {}, {}
+    for r in sorted(rows, key=lambda r: (r[3] is not None, r[3] or base, r[4])):
+        before, index = last.get(r[:3], (None, 0))
+        boundaries = None if before is None else (r[3].replace(second=0) - before.replace(second=0)).total_seconds() // 60
+        index += before is None or boundaries > 30
+        want[r[4]] = (index, before)
+        last[r[:3]] = (r[3], index)
+    got = {r.s_no: r.session_index for r in session_index(combos).collect()}
+    assert got == {k: v[0] for k, v in want.items()}
+    gaps = session_gaps(combos)
+    assert gaps.columns == combos.columns + ["previous_timestamp", "newsession"]
+    assert {r.s_no: r.previous_timestamp for r in gaps.collect()} == {k: v[1] for k, v in want.items()}
+
+
+def test_a_hot_product_and_colour_are_split(spark):
+    """Without broadcasts AQE splits the rows of one product and one colour; null keys spread."""
+    import datetime as _dt
+    from pyspark.sql import functions as F
+    from webtrail.plans import items as it
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.col("id").alias("s_no"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")
+                                                                                ).alias("__item_id_raw"),
+            F.concat(F.lit("n"), "id").alias("__item_name_raw"))
+        dim = spark.createDataFrame([("hot", "A", "X"), ("1", None, None)],
+                                    "externalid string, division string, gender string").select(
+            "*", *[F.lit(None).cast("string").alias(c) for c in it.DIM_COLUMNS if c != "division"],
+            F.lit(None).cast("string").alias("strategic_business_unit"))
+        out = it._product(rows, dim)
+        assert out.filter("division = 'A'").count() == 20000 and out.count() == 60000
+        out.write.format("noop").mode("overwrite").save()
+        got = out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+        assert got < 20000  # the hot product's rows are in several tasks
+        colours = rows.select("s_no", F.col("__item_id_raw").alias("color"), F.lit("s").alias("size"),
+                              F.lit("i").alias("item_id"), F.lit("v").alias("item_variant"))
+        sizes = spark.createDataFrame([("hot",), (None,)], "product_size string")
+        swapped = it.swap_color_size(colours, sizes)
+        assert swapped.filter("size = 'hot' and color = 's'").count() == 20000 and swapped.count() == 60000
+        assert swapped.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0] < 20000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webtrail.schema import PARAMS_DDL
+
 VALUE_FIELDS = ("string_value", "int_value", "double_value", "float_value")
 
 PARAM_VALUE_TYPE = T.StructType([T.StructField(f, T.StringType()) for f in VALUE_FIELDS])
 PARAM_TYPE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", PARAM_VALUE_TYPE)])
 PARAMS_TYPE = T.ArrayType(PARAM_TYPE)
-PARAMS_DDL = "array<struct<key:string,value:struct<string_value:string,int_value:string,double_value:string,float_value:string>>>"
 
 
 def param_value(p: Column, trim: bool = False) -> Column:

@@ -59,7 +59,7 @@ def variant_color_size(variant, product_family) -> tuple[Column, Column]:
     has_sep = F.coalesce(v.contains(" / "), F.lit(False))
 
     def part(i):
-        return F.regexp_replace(F.get(parts, i), '"', "")
+        return F.replace(F.get(parts, i), F.lit('"'), F.lit(""))
 
     color = F.when(has_sep, F.when(three, part(1)).otherwise(part(0)))
     size = F.when(has_sep, F.when(three, part(2)).otherwise(part(1)))

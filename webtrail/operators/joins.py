@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and skew-safe left joins on nullable keys."""
+"""Join helpers: skew-safe left joins on nullable keys."""
 
 from __future__ import annotations
 
@@ -10,17 +10,6 @@ from pyspark.sql import functions as F
 NULL_SALT_PREFIX = "\u0000unmatched:"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
-
-    The bound is checked at run time with ``limit(max_rows + 1).count()`` (a job
-    that stops reading once the bound is exceeded), so a lookup that grows with
-    the data falls back to a shuffle join instead of overflowing the driver.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def salted_key(key: Column, salt: Column) -> Column:
     """Replace a null join key by a unique value that can match nothing.
 
@@ -50,9 +39,9 @@ def left_join_salted(left: DataFrame, right: DataFrame, left_keys: Sequence[Colu
     return l2.join(r2, names, "left").drop(*names)
 
 
-def left_join_split(left: DataFrame, right: DataFrame, left_key: Column, right_key: str, keep: Column | None = None
-                    ) -> DataFrame:
-    """Left join where only rows with ``keep`` and a non-null key can match.
+def left_join_split(left: DataFrame, right: DataFrame, left_key: Column, right_key: str, keep: Column | None = None,
+                    placeholders: Sequence[str] = ()) -> DataFrame:
+    """Left join where only rows with ``keep`` and a non-null key that is no placeholder can match.
 
     Those rows go through the join; every other row bypasses it with null right
     columns and is unioned back, so it is never shuffled.  Meant for a ``left``
@@ -62,6 +51,9 @@ def left_join_split(left: DataFrame, right: DataFrame, left_key: Column, right_k
     """
     k = left_key.cast("string")
     can = k.isNotNull() if keep is None else (F.coalesce(keep, F.lit(False)) & k.isNotNull())
+    if placeholders:
+        can = can & ~F.coalesce(k.isin(*placeholders), F.lit(False))
+        right = right.filter(~F.col(right_key).cast("string").isin(*placeholders))
     extra = [c for c in right.columns if c != right_key]
     joinable = left.filter(can).withColumn("__jk", k)
     r = right.select(F.col(right_key).cast("string").alias("__jk"), *extra)

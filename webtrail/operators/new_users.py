@@ -27,9 +27,11 @@ def first_visit_users(events: DataFrame, mark) -> DataFrame:
             .select("event_date", "unique_user_id").distinct())
 
 
-def active_days(events: DataFrame) -> DataFrame:
-    """Distinct (user, day) with at least one named event (``count(event_name) > 0``)."""
-    return (events.filter(F.col("event_name").isNotNull() & F.col("unique_user_id").isNotNull())
+def active_days(events: DataFrame, mark) -> DataFrame:
+    """Distinct (user, day) with at least one named event (``count(event_name) > 0``) on the days
+    that a look-back from past ``mark`` can reach: a static bound on the scanned day partitions."""
+    return (events.filter((F.col("event_date") > F.date_sub(F.lit(mark), LOOKBACK_DAYS))
+                          & F.col("event_name").isNotNull() & F.col("unique_user_id").isNotNull())
             .select("unique_user_id", F.col("event_date").alias("active_date")).distinct())
 
 
@@ -48,15 +50,18 @@ def returning_buyers(purchases: DataFrame, customer_types: DataFrame, mark) -> D
 
 
 def new_users(first_visit_events: DataFrame, activity_events: Sequence[DataFrame], purchases: DataFrame,
-              customer_types: DataFrame, mark) -> DataFrame:
+              customer_types: DataFrame, mark, keep_null_user: bool = True) -> DataFrame:
     """(event_date, unique_user_id) of new users for days past ``mark``.
 
     ``activity_events`` lists every events table whose look-back activity
     disqualifies a user (the daily table; intraday adds the provisional one).
-    A null user never matches anything, so it stays, like the SQL it replaces.
+    A null user never matches any activity: the daily rule keeps it (no activity
+    found), the intraday rule drops it (no count to compare with zero).
     """
     fv = first_visit_users(first_visit_events, mark)
-    activity = reduce(lambda a, b: a.unionByName(b), [active_days(e) for e in activity_events]).distinct()
+    if not keep_null_user:
+        fv = fv.filter(F.col("unique_user_id").isNotNull())
+    activity = reduce(lambda a, b: a.unionByName(b), [active_days(e, mark) for e in activity_events]).distinct()
     seen = users_with_lookback_activity(fv, activity)
     out = fv.join(seen, ["unique_user_id", "event_date"], "left_anti")
     out = out.join(returning_buyers(purchases, customer_types, mark), ["unique_user_id", "event_date"], "left_anti")

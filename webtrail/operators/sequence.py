@@ -4,36 +4,69 @@ An unpartitioned window moves every row into one task.  Instead:
 
 1. range-partition the batch on the full sort key (sampled bounds, so even a
    timestamp shared by a third of all rows is split by the tie-break columns),
-   and sort within each partition;
+   and sort within each partition; the number of ranges follows the input's size;
 2. number rows inside each partition (``monotonically_increasing_id`` minus the
    partition's base, which is ``partition_id << 33``);
-3. count rows per partition - one number per partition, bounded by the
-   partition count, not by the data - and turn them into running offsets;
-4. add the offset of each row's partition as a literal array lookup.
-
-Range bounds are sampled from the input, so two evaluations of step 1 can
-disagree when the upstream partitioning differs (and the pruned count branch
-would be planned separately).  The partition id and local index are therefore
-stored with a reliable ``checkpoint()`` in the shared checkpoint folder; both
-branches read the same stored values, the lineage is cut, and a lost executor
-cannot renumber rows.  The result equals the global row_number for any total order.
+3. stage the rows with partition id and local number as Parquet in the shared folder;
+4. count rows per partition from the staged id column - one number per partition,
+   bounded by the partition count, not by the data - and turn them into running offsets;
+5. add the offset of each row's partition as a literal array lookup.
+
+Range bounds are sampled from the input, so two evaluations of step 1 can disagree when
+the upstream partitioning differs.  The ids are therefore stored values: every branch
+reads the same ones, the lineage is cut, and a lost executor cannot renumber rows.  As
+the stage is columnar, each table built from it reads only its own columns.  The result
+equals the global row_number for any total order.
+
+Inside :func:`staging` everything is staged in a folder that goes at its end.
 """
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webtrail.session import shared_dir
+
 _PID = "__seq_pid"
 _LOCAL = "__seq_local"
+#: Bytes of input (as Spark knows them from its files) a range is meant to hold, and the most ranges.
+RANGE_BYTES, MAX_RANGES = 128 << 20, 50_000
+
+
+def _num_ranges(df: DataFrame) -> int:
+    """As many ranges as the size of what the batch is read from asks for; at least a task for each
+    core.  Inputs of unknown size (rows that a program holds) count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(x for x in sizes if x < 1 << 60)
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_RANGES, -(-size // RANGE_BYTES)))
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+_FOLDERS: list[str] = []
+
+
+def staged_folder(spark: SparkSession) -> str:
+    """Where batches are staged now: the folder of the run in progress, else the application's."""
+    return _FOLDERS[-1] if _FOLDERS else shared_dir(spark, "webtrail-staged", spark.sparkContext.applicationId)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession):
+    """A folder of its own for what is staged inside, deleted at the end: frames built on it can
+    no longer be read then, so write the tables first."""
+    folder = shared_dir(spark, "webtrail-staged", uuid.uuid4().hex)
+    _FOLDERS.append(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDERS.remove(folder)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no",
@@ -43,43 +76,17 @@ def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no"
     ``order_by`` must be a total order for a deterministic result (add a
     tie-break column); ties get distinct, arbitrary numbers otherwise.
     """
-    n = _num_partitions(df, num_partitions)
+    spark, n = df.sparkSession, num_partitions or _num_ranges(df)
     ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     local = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    # reliable checkpoint (shared folder): the ids become stored values
-    local = local.checkpoint(eager=True)
-    # one count per range partition: bounded by ``n``, not by the data, so it is
-    # collected and applied as a literal lookup (no window, no join)
-    counts = dict(local.groupBy(_PID).count().collect())
+    path = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
+    local.write.parquet(path)
+    staged = spark.read.schema(local.schema).parquet(path)
+    counts = dict(staged.groupBy(_PID).count().collect())
     offsets, run = [], 0
     for pid in range(n):
         offsets.append(run)
         run += counts.get(pid, 0)
     off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
-    return local.withColumn(out, off + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL)
-
-
-def global_running_sum(df: DataFrame, order_by: Sequence[Column], value: str, out: str,
-                       num_partitions: int | None = None) -> DataFrame:
-    """Append ``out`` = running sum of ``value`` over the whole frame in ``order_by`` order.
-
-    Same shape as :func:`global_sequence`: range partitions on the full order
-    (a hot key is split), a reliable checkpoint of partition id and local index,
-    a window per stored partition id (balanced by the range bounds) and one
-    bounded total per partition turned into offsets.
-    """
-    from pyspark.sql import Window
-    n = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
-    local = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
-        _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    local = local.checkpoint(eager=True)
-    totals = {r[0]: (r[1] or 0) for r in local.groupBy(_PID).agg(F.sum(value)).collect()}
-    offsets, run = [], 0
-    for pid in range(n):
-        offsets.append(run)
-        run += totals.get(pid, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
-    w = Window.partitionBy(_PID).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return local.withColumn(out, off + F.sum(value).over(w)).drop(_PID, _LOCAL)
+    return staged.withColumn(out, off + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL)

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webtrail.functions import rules
-from webtrail.functions.params import PARAM_TYPE
-from webtrail.functions.scalars import not_set_to_null, lower_trim
+from webtrail.functions.scalars import NOT_SET, not_set_to_null, lower_trim
 from webtrail.functions.timeops import to_local, utc_micros
 from webtrail.operators.joins import left_join_split
 from webtrail.operators.orders import batch_order_ids, order_money, orders_in_batch
 from webtrail.operators.sequence import global_sequence
-from webtrail.schema import (ACQ_CHANNEL, COLLECTED, CT, FeedOptions, GCLID, LAST_CLICK, LC, LOWERED_TRAFFIC,
-                             SES_CHANNEL, TS_TRAFFIC)
+from webtrail.schema import CT, ITEMS_DDL, LC, LOWERED_TRAFFIC, PARAMS_DDL, FeedOptions
 
 RAW_TS = "__raw_ts_us"
 
@@ -26,12 +25,23 @@ def sequence_order(raw: DataFrame) -> list[Column]:
         F.col("user_pseudo_id").cast("string").asc_nulls_first(),
         F.col("event_name").asc_nulls_first(),
         F.col("event_bundle_sequence_id").asc_nulls_first(),
-        F.xxhash64(F.to_json("event_params")).asc(),
+        F.xxhash64("event_params").asc(),
     ]
 
 
+def typed_feed(raw: DataFrame) -> DataFrame:
+    """The feed with ``event_params`` and ``items`` as typed arrays.
+
+    An export may hold them as JSON text; text that is no such JSON reads as null,
+    and its event has no params (no items).  Typed columns stay as they are."""
+    types = {"event_params": PARAMS_DDL, "items": ITEMS_DDL}
+    texts = [c for c in types if c in raw.columns and isinstance(raw.schema[c].dataType, T.StringType)]
+    return raw.withColumns({c: F.from_json(c, types[c]) for c in texts}) if texts else raw
+
+
 def number_batch(raw: DataFrame) -> DataFrame:
     """Add ``s_no``: the event's position in the batch by raw UTC time."""
+    raw = typed_feed(raw)
     dtype = raw.schema["event_timestamp"].dataType
     with_key = raw.withColumn(RAW_TS, utc_micros("event_timestamp", dtype))
     return global_sequence(with_key, sequence_order(with_key), "s_no").drop(RAW_TS)
@@ -81,7 +91,8 @@ def attach_order_money(df: DataFrame, money: DataFrame, only_purchases: bool, pu
         F.col("shipping").alias("shipping_value"),
         "gross_sales", "gsnd", "gmv",
     )
-    return left_join_split(df, m, F.trim("ecommerce_transaction_id"), "shopify_order_id", keep=keep)
+    return left_join_split(df, m, F.trim("ecommerce_transaction_id"), "shopify_order_id", keep=keep,
+                           placeholders=(NOT_SET,))
 
 
 def batch_money(raw_batch: DataFrame, orders: DataFrame, purchase_only_semi: bool, with_unique_items: bool = True

@@ -9,7 +9,7 @@ from webtrail.functions.params import has_params, param
 from webtrail.functions.scalars import unique_session_id, unique_user_id
 from webtrail.plans.common import (acquisition_channel, attach_order_money, batch_money, local_times,
                                    normalized_traffic, number_batch, session_channel, shopify_order_id,
-                                   traffic_clean)
+                                   traffic_clean, typed_feed)
 from webtrail.schema import ACQ_CHANNEL, COLLECTED, EVENT_PARAM_KEYS, LAST_CLICK, SES_CHANNEL, TS_TRAFFIC, FeedOptions
 
 TRAFFIC_OUT = TS_TRAFFIC + COLLECTED + LAST_CLICK
@@ -31,7 +31,7 @@ def cleaned_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions,
     """Numbered, cleaned events with order money; before param widening.
 
     ``numbered`` may pass the batch already numbered (shared with other tables)."""
-    raw = raw_batch.select(*RAW_COLUMNS)
+    raw = typed_feed(raw_batch.select(*RAW_COLUMNS))
     money = batch_money(raw, orders, opts.purchase_only_semi)
     numbered = number_batch(raw) if numbered is None else numbered.select(*RAW_COLUMNS, "s_no")
     joined = attach_order_money(numbered, money, only_purchases=opts.purchase_only_join)

@@ -23,9 +23,9 @@ from webtrail.functions.params import has_params, param, param_value
 from webtrail.functions.rules import product_gender
 from webtrail.functions.scalars import (blank_to_null, item_key, not_set_to_null, unique_session_id,
                                         unique_user_id, variant_color_size)
-from webtrail.operators.joins import bounded_broadcast, left_join_salted
+from webtrail.operators.joins import left_join_salted, salted_key
 from webtrail.operators.orders import batch_order_ids, order_item_money, orders_in_batch
-from webtrail.plans.common import local_times, number_batch
+from webtrail.plans.common import local_times, number_batch, typed_feed
 from webtrail.schema import ITEM_EVENT_PARAM_KEYS, ITEM_PARAM_KEYS, FeedOptions
 
 # Event names of the branches and list names that mean "no list".
@@ -59,7 +59,7 @@ def typed_items(items: Column) -> Column:
 
 def item_events(raw_batch: DataFrame, opts: FeedOptions, numbered: DataFrame | None = None) -> DataFrame:
     """Events with items and params; ``s_no`` counts every event of the batch."""
-    raw = raw_batch.select(*RAW_COLUMNS)
+    raw = typed_feed(raw_batch.select(*RAW_COLUMNS))
     numbered = number_batch(raw) if numbered is None else numbered.select(*RAW_COLUMNS, "s_no")
     ev = numbered.filter((F.size("items") > 0) & has_params("event_params")).withColumns({
         **local_times(raw, opts),
@@ -78,9 +78,14 @@ def item_events(raw_batch: DataFrame, opts: FeedOptions, numbered: DataFrame | N
 
 
 def _product(df: DataFrame, dim: DataFrame) -> DataFrame:
-    """Left join of the product dimension on trim(item_id) (J8) and the gender rule."""
+    """Left join of the product dimension on trim(item_id) (J8) and the gender rule.
+
+    Items without an id get keys of their own that match nothing, so they spread over
+    the tasks; a best seller's rows are split by AQE (a left join may split its left
+    side).  Whether the dimension is broadcast is left to Spark's size estimate."""
     d = dim.select("externalid", *DIM_COLUMNS, F.col("gender").alias("__dim_gender"), "strategic_business_unit")
-    j = df.join(d, F.trim(df["__item_id_raw"]) == d["externalid"], "left")
+    key = salted_key(F.trim("__item_id_raw"), F.xxhash64("s_no", "__item_name_raw"))
+    j = df.withColumn("__product_key", key).join(d, F.col("__product_key") == d["externalid"], "left").drop("__product_key")
     return j.withColumn("gender", product_gender(F.col("externalid"), F.col("__item_name_raw"), F.col("__dim_gender")))
 
 
@@ -192,29 +197,31 @@ def list_view_items(ev: DataFrame, dim: DataFrame, brand: str | None) -> DataFra
     })
 
 
-def swap_color_size(df: DataFrame, dim: DataFrame, max_rows: int) -> DataFrame:
+def swap_color_size(df: DataFrame, dim: DataFrame) -> DataFrame:
     """When the colour is a known product size, colour and size change places.
 
-    The size list is a small, bounded set: broadcast after a row-count check (a
-    shuffle join on a handful of colours would put each colour in one task).
+    Rows without a colour get keys that match nothing and spread over the tasks;
+    the few colours that many rows share are split by AQE, unless Spark's own
+    size estimate broadcasts the size list.
     """
     sizes = dim.filter(F.col("product_size").isNotNull()).select(
         F.col("product_size").alias("__size_value")).distinct().withColumn("__is_size", F.lit(True))
-    j = df.join(bounded_broadcast(sizes, max_rows), df["color"] == F.col("__size_value"), "left")
+    key = salted_key(F.col("color"), F.xxhash64("s_no", "item_id", "item_variant"))
+    j = df.withColumn("__color_key", key).join(sizes, F.col("__color_key") == F.col("__size_value"), "left")
     swap = F.coalesce(F.col("__is_size"), F.lit(False))
     return j.withColumns({
         "color": F.when(swap, F.col("size")).otherwise(F.col("color")),
         "size": F.when(swap, F.col("color")).otherwise(F.col("size")),
-    }).drop("__size_value", "__is_size")
+    }).drop("__size_value", "__is_size", "__color_key")
 
 
 def build_items(raw_batch: DataFrame, orders: DataFrame, products: DataFrame,
                 opts: FeedOptions = FeedOptions(), numbered: DataFrame | None = None) -> DataFrame:
     ids = batch_order_ids(raw_batch.select("event_name", "ecommerce_transaction_id"), purchase_only=False)
-    dim = bounded_broadcast(products, opts.broadcast_max_rows)
     ev = item_events(raw_batch, opts, numbered)
-    parts = [browse_items(ev, dim), purchase_items(ev, orders, ids, dim), list_view_items(ev, dim, opts.list_view_brand)]
+    parts = [browse_items(ev, products), purchase_items(ev, orders, ids, products),
+             list_view_items(ev, products, opts.list_view_brand)]
     union = parts[0].select(*ITEMS_COLUMNS)
     for p in parts[1:]:
         union = union.unionByName(p.select(*ITEMS_COLUMNS))
-    return swap_color_size(union, products, opts.broadcast_max_rows).select(*ITEMS_COLUMNS)
+    return swap_color_size(union, products).select(*ITEMS_COLUMNS)

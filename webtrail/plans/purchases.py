@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from webtrail.functions.params import has_params, param
 from webtrail.functions.scalars import unique_session_id, unique_user_id
 from webtrail.plans.common import (acquisition_channel, attach_order_money, batch_money, local_times,
-                                   normalized_traffic, number_batch, session_channel, shopify_order_id,
-                                   traffic_clean)
+                                   normalized_traffic, session_channel, shopify_order_id, traffic_clean, typed_feed)
 from webtrail.plans.events import MONEY_OUT, RAW_COLUMNS, TRAFFIC_OUT
 from webtrail.schema import ACQ_CHANNEL, PURCHASE_PARAM_KEYS, SES_CHANNEL, FeedOptions
 
@@ -24,11 +23,11 @@ def purchase_events(raw_batch: DataFrame) -> DataFrame:
 
 
 def build_purchases(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions = FeedOptions()) -> DataFrame:
-    raw = raw_batch.select(*RAW_COLUMNS)
+    raw = typed_feed(raw_batch.select(*RAW_COLUMNS))
     # the order fact is cut by every transaction id of the batch, purchase or not
     money = batch_money(raw, orders, purchase_only_semi=False)
-    numbered = number_batch(purchase_events(raw))
-    joined = attach_order_money(numbered, money, only_purchases=False)
+    # no row of this table carries a position in the batch, so the purchases are not numbered
+    joined = attach_order_money(purchase_events(raw), money, only_purchases=False)
     ev = joined.filter(has_params("event_params")).withColumns({
         **local_times(raw, opts),
         "user_id": F.trim("user_id"),

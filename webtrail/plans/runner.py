@@ -2,9 +2,11 @@
 
 Daily run (per table: I2 drop newest day, I1 mark, build, I5 sync, I4 write):
 the events, items and sessions tables number the *same* batch the same way, so
-when their marks agree the batch is range-sorted and checkpointed once and
-shared (one shuffle of the batch instead of three).  Sessions are built last:
-their new-user test reads the events and purchases tables just written.
+when their marks agree the batch is range-sorted and staged once and
+shared (one shuffle of the batch instead of three).  All four tables need the order
+lines of the batch: they are cut from the order fact once and stored for the run.
+Sessions are built last: their new-user test reads the events and purchases tables
+just written.  What the run has staged is deleted once all tables are written.
 
 Intraday run: each tail table is built from the provisional feed past the
 newest day of its daily twin (the sessions tail uses the daily sessions mark)
@@ -14,12 +16,14 @@ and fully overwritten (S6).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtrail.operators.new_users import new_users
+from webtrail.operators.orders import batch_order_ids, orders_in_batch
+from webtrail.operators.sequence import staging
 from webtrail.plans import events as ev_plan
 from webtrail.plans import items as it_plan
 from webtrail.plans import sessions as se_plan
@@ -63,19 +67,25 @@ def run_daily_tables(spark: SparkSession, feed: DataFrame, orders: DataFrame, cu
     for p in paths.values():
         inc.drop_latest_day(spark, p)
     marks = {k: inc.high_water_mark(spark, p) for k, p in paths.items()}
-    shared = None
-    if marks["events"] == marks["items"] == marks["sessions"]:
-        shared = number_batch(_after(feed, marks["events"]).select(*SHARED_COLUMNS))
-
-    _write(spark, build_events(_after(feed, marks["events"]), orders, opts, shared), tables.events)
-    _write(spark, build_purchases(_after(feed, marks["purchases"]), orders, opts), tables.purchases)
-    _write(spark, build_items(_after(feed, marks["items"]), orders, products, opts, shared), tables.items)
-
-    stored_events = inc.read_table(spark, tables.events)
-    stored_purchases = inc.read_table(spark, tables.purchases)
-    nu = new_users(stored_events, [stored_events], stored_purchases, customer_types, marks["sessions"])
-    _write(spark, build_sessions(_after(feed, marks["sessions"]), orders, nu, opts, shared), tables.sessions)
-    return marks
+    with staging(spark) as staged:
+        oldest = _after(feed, min(marks.values()))
+        lines_path = f"{staged}/order-lines"
+        lines = orders_in_batch(orders, batch_order_ids(oldest))
+        lines.write.parquet(lines_path)
+        orders = spark.read.schema(lines.schema).parquet(lines_path)
+        shared = None
+        if marks["events"] == marks["items"] == marks["sessions"]:
+            shared = number_batch(_after(feed, marks["events"]).select(*SHARED_COLUMNS))
+
+        _write(spark, build_events(_after(feed, marks["events"]), orders, opts, shared), tables.events)
+        _write(spark, build_purchases(_after(feed, marks["purchases"]), orders, opts), tables.purchases)
+        _write(spark, build_items(_after(feed, marks["items"]), orders, products, opts, shared), tables.items)
+
+        stored_events = inc.read_table(spark, tables.events)
+        stored_purchases = inc.read_table(spark, tables.purchases)
+        nu = new_users(stored_events, [stored_events], stored_purchases, customer_types, marks["sessions"])
+        _write(spark, build_sessions(_after(feed, marks["sessions"]), orders, nu, opts, shared), tables.sessions)
+        return marks
 
 
 def run_intraday_tables(spark: SparkSession, feed: DataFrame, orders: DataFrame, customer_types: DataFrame,
@@ -83,17 +93,18 @@ def run_intraday_tables(spark: SparkSession, feed: DataFrame, orders: DataFrame,
                         ) -> dict[str, dt.date]:
     """Rebuild the four tail tables from the provisional feed (full overwrite)."""
     marks = {k: inc.high_water_mark(spark, p) for k, p in daily.as_dict().items()}
-    ev = build_events(_after(feed, marks["events"]), orders, opts)
-    pu = build_purchases(_after(feed, marks["purchases"]), orders, opts)
-    inc.overwrite_table(ev, tail.events)
-    inc.overwrite_table(pu, tail.purchases)
-    inc.overwrite_table(build_items(_after(feed, marks["items"]), orders, products, opts), tail.items)
-    stored_daily = inc.read_table(spark, daily.events)
-    tail_events = inc.read_table(spark, tail.events)
-    nu = new_users(tail_events, [stored_daily, tail_events], inc.read_table(spark, tail.purchases), customer_types,
-                   marks["sessions"])
-    inc.overwrite_table(build_sessions(_after(feed, marks["sessions"]), orders, nu, opts), tail.sessions)
-    return marks
+    with staging(spark):
+        ev = build_events(_after(feed, marks["events"]), orders, opts)
+        pu = build_purchases(_after(feed, marks["purchases"]), orders, opts)
+        inc.overwrite_table(ev, tail.events)
+        inc.overwrite_table(pu, tail.purchases)
+        inc.overwrite_table(build_items(_after(feed, marks["items"]), orders, products, opts), tail.items)
+        stored_daily = inc.read_table(spark, daily.events)
+        tail_events = inc.read_table(spark, tail.events)
+        nu = new_users(tail_events, [stored_daily, tail_events], inc.read_table(spark, tail.purchases), customer_types,
+                       marks["sessions"], keep_null_user=False)
+        inc.overwrite_table(build_sessions(_after(feed, marks["sessions"]), orders, nu, opts), tail.sessions)
+        return marks
 
 
 def scratch_tables(spark: SparkSession, prefix: str) -> Tables:

@@ -12,10 +12,10 @@
    windows and no join back to the events are needed;
 5. engagement flag, visitor flag and the four channel groupings.
 
-Shuffles: the partial-aggregated combination rollup shuffles on its keys; one
-``repartition(event_date, unique_session_id)`` then serves the gap window, the
-running sum, the session rollup and the engaged-flag window (all cluster on a
-superset of those two columns).
+Shuffles: the combination rollup is partly aggregated before it shuffles on its keys;
+one shuffle on (group, minute) serves the gap and the running sum, and only one row a
+minute is shuffled to carry them through a group; the session rollup is partly
+aggregated again.  A group of any size is spread over its minutes.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from webtrail.functions.timeops import add_millis, millisecond_boundaries, minut
 from webtrail.operators.joins import left_join_salted
 from webtrail.plans.common import (acquisition_channel, attach_order_money, batch_money, local_times,
                                    normalized_traffic, number_batch, session_channel, shopify_order_id,
-                                   traffic_clean)
+                                   traffic_clean, typed_feed)
 from webtrail.schema import (ACQ_CHANNEL, CT, DEVICE_GEO, GCLID, LC, SES_CHANNEL, SESSION_COUNTERS,
                              SESSION_DIMENSIONS, TS_TRAFFIC, FeedOptions)
 
@@ -67,7 +67,7 @@ SESSIONS_COLUMNS = (
 def session_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions,
                    numbered: DataFrame | None = None) -> DataFrame:
     """One cleaned row per event with params: ids, session params, dims, money."""
-    raw = raw_batch.select(*RAW_COLUMNS)
+    raw = typed_feed(raw_batch.select(*RAW_COLUMNS))
     money = batch_money(raw, orders, purchase_only_semi=False, with_unique_items=False)
     numbered = number_batch(raw) if numbered is None else numbered.select(*RAW_COLUMNS, "s_no")
     joined = attach_order_money(numbered, money, only_purchases=True, with_unique_items=False)
@@ -114,59 +114,59 @@ def attribute_rollup(ev: DataFrame) -> DataFrame:
     )
 
 
-def _combo_window() -> Window:
-    return Window.partitionBy("event_date", "unique_session_id", "unique_user_id").orderBy("event_timestamp", "s_no")
+GROUP = ["event_date", "unique_session_id", "unique_user_id"]
+
+
+def _minutes(combos: DataFrame) -> DataFrame:
+    """Combinations keyed by (group, minute), with the previous one of the same minute.
+
+    A (day, session, user) group may hold a large share of all rows (events without any
+    id, a bot).  Its minutes are separate window partitions; what passes from minute to
+    minute is one row each, so no task ever holds a whole group of combinations."""
+    key = F.struct(F.struct(*GROUP).alias("group"), F.date_trunc("minute", "event_timestamp").alias("minute"))
+    w = Window.partitionBy("__k").orderBy("event_timestamp", "s_no")
+    return combos.withColumn("__k", key).withColumns({
+        "__first": F.row_number().over(w) == 1, "__prev": F.lag("event_timestamp").over(w)})
+
+
+def _starts(previous: Column, now: Column) -> Column:
+    """1 where a session starts: no previous time, or too many minute boundaries since."""
+    return F.when(previous.isNull(), 1).when(minute_boundaries(previous, now) > SESSION_GAP_MINUTES, 1).otherwise(0)
+
+
+def _numbered_minutes(combos: DataFrame) -> DataFrame:
+    """Rows with the last time of the minute before (``__before``) and the sessions that start
+    earlier in the group (``__earlier``), and inside the minute up to the row (``__inside``)."""
+    rows = _minutes(combos).withColumn("__start", F.when(F.col("__first"), 0).otherwise(
+        _starts(F.col("__prev"), F.col("event_timestamp"))))
+    run = Window.partitionBy("__k").orderBy("event_timestamp", "s_no").rowsBetween(Window.unboundedPreceding,
+                                                                                     Window.currentRow)
+    rows = rows.withColumn("__inside", F.sum("__start").over(run))
+    # at most 1,441 rows a group: one for each minute of its day, and one without a time
+    minutes = rows.groupBy("__k").agg(F.min("event_timestamp").alias("__lo"), F.max("event_timestamp").alias("__hi"),
+                                      F.sum("__start").alias("__starts"))
+    by_group = Window.partitionBy("__k.group").orderBy(F.col("__k.minute").asc_nulls_first())
+    minutes = minutes.withColumn("__before", F.lag("__hi").over(by_group))
+    minutes = minutes.withColumn("__opens", _starts(F.col("__before"), F.col("__lo")))
+    earlier = F.sum(F.col("__opens") + F.col("__starts")).over(by_group.rowsBetween(Window.unboundedPreceding, -1))
+    minutes = minutes.select("__k", "__before", "__opens", F.coalesce(earlier, F.lit(0)).alias("__earlier"))
+    return rows.join(minutes, "__k")
 
 
 def session_gaps(combos: DataFrame) -> DataFrame:
     """Step 3a: previous combination's first time and the new-session flag."""
-    prev = F.lag("event_timestamp").over(_combo_window())
-    flagged = combos.repartition("event_date", "unique_session_id").withColumn("previous_timestamp", prev)
-    p = F.col("previous_timestamp")
-    return flagged.withColumn("newsession", F.when(p.isNull(), 1).when(
-        minute_boundaries(p, F.col("event_timestamp")) > SESSION_GAP_MINUTES, 1).otherwise(0))
+    rows = _numbered_minutes(combos)
+    return rows.withColumns({
+        "previous_timestamp": F.when(F.col("__first"), F.col("__before")).otherwise(F.col("__prev")),
+        "newsession": F.when(F.col("__first"), F.col("__opens")).otherwise(F.col("__start")),
+    }).drop(*[c for c in rows.columns if c.startswith("__")])
 
 
 def session_index(combos: DataFrame) -> DataFrame:
     """Step 3b: running count of new-session flags numbers the sessions from 1."""
-    run = _combo_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return session_gaps(combos).withColumn("session_index", F.sum("newsession").over(run)) \
-        .drop("previous_timestamp", "newsession")
-
-
-def session_index_split(combos: DataFrame) -> DataFrame:
-    """Step 3 without a window per (day, session, user): for a group holding a
-    large share of all combinations (no ids at all, a bot session).
-
-    Combinations are numbered globally in (group, time, s_no) order (range
-    partitions split a hot group); the previous combination is an equi-join on
-    ``number - 1``; the running count of new-session flags is a global running
-    sum; a group's index is that sum minus the sum at the group's first row, + 1.
-    Same result as :func:`session_index`."""
-    from webtrail.operators.sequence import global_running_sum, global_sequence
-    g = ["event_date", "unique_session_id", "unique_user_id"]
-    order = [F.col(c).asc_nulls_first() for c in g] + [F.col("event_timestamp").asc(), F.col("s_no").asc()]
-    num = global_sequence(combos, order, "__gn")
-    prev = num.select((F.col("__gn") + 1).alias("__gn"), *[F.col(c).alias(f"__p_{c}") for c in g],
-                      F.col("event_timestamp").alias("__p_ts"))
-    j = num.join(prev, "__gn", "left")
-    same = F.coalesce(reduce_and([F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in g]), F.lit(False))
-    flag = F.when(~same, 1).when(minute_boundaries(F.col("__p_ts"), F.col("event_timestamp")) > SESSION_GAP_MINUTES,
-                                 1).otherwise(0)
-    flagged = j.withColumn("__new", flag).drop(*[f"__p_{c}" for c in g], "__p_ts")
-    summed = global_running_sum(flagged, [F.col("__gn").asc()], "__new", "__run")
-    first = summed.groupBy(*g).agg(F.min("__run").alias("__first_run"))
-    out = summed.join(first.withColumnsRenamed({c: f"__f_{c}" for c in g}),
-                      reduce_and([summed[c].eqNullSafe(F.col(f"__f_{c}")) for c in g]), "left")
-    return out.withColumn("session_index", F.col("__run") - F.col("__first_run") + 1).drop(
-        "__gn", "__new", "__run", "__first_run", *[f"__f_{c}" for c in g])
-
-
-def reduce_and(cols):
-    out = cols[0]
-    for c in cols[1:]:
-        out = out & c
-    return out
+    rows = _numbered_minutes(combos)
+    return rows.withColumn("session_index", F.col("__earlier") + F.col("__opens") + F.col("__inside")).drop(
+        *[c for c in rows.columns if c.startswith("__")])
 
 
 def session_rollup(indexed: DataFrame) -> DataFrame:
@@ -211,8 +211,7 @@ def build_sessions(raw_batch: DataFrame, orders: DataFrame, new_user_days: DataF
     """Sessions for the days in ``raw_batch``; ``new_user_days`` is (event_date, unique_user_id)."""
     ev = session_events(raw_batch, orders, opts, numbered)
     combos = attribute_rollup(ev)
-    indexed = session_index_split(combos) if opts.split_hot_sessions else session_index(combos)
-    sessions = session_rollup(indexed)
+    sessions = session_rollup(session_index(combos))
     end = F.col("end_event")
     out = sessions.withColumns({
         "hourofday": F.hour("session_start_timestamp"),

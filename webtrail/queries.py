@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webtrail.functions import rules
+from webtrail.functions import rules, sqlfuncs
 from webtrail.functions.params import has_params, param, param_value
 from webtrail.functions.params import parse_params_json as parse_json_params
 from webtrail.functions.rules import ChannelConfig
@@ -86,11 +86,6 @@ def _item_events(tb: Testbed) -> DataFrame:
     return it.item_events(tb.raw, TB_DAILY)
 
 
-def _mark(df: DataFrame) -> dt.date:
-    """Newest day of a table (one collected date, the daily high-water mark)."""
-    return inc.high_water_mark_df(df).first()[0]
-
-
 def _raw_scalars(df: DataFrame) -> DataFrame:
     return df.select("event_date", F.col("event_timestamp").alias("raw_event_micros"), "event_name",
                      "event_bundle_sequence_id", "user_id", "user_pseudo_id", "ecommerce_transaction_id",
@@ -100,6 +95,23 @@ def _raw_scalars(df: DataFrame) -> DataFrame:
 SES_KEYS = ["event_date", "unique_session_id", "unique_user_id", "session_index"]
 
 
+_JSON_FEEDS: dict = {}
+
+
+def _json_feed(tb: Testbed) -> DataFrame:
+    """The raw feed as an export that holds params and items as JSON text, stored once per
+    application; the params of every 37th event are damaged text."""
+    key = (tb.spark.sparkContext.applicationId, tb.sf_dir)
+    if key not in _JSON_FEEDS:
+        path = inc.scratch_target(tb.spark, "json-feed")
+        text = F.to_json("event_params")
+        bad = F.col("event_bundle_sequence_id") % 37 == 0
+        tb.raw.withColumns({"event_params": F.when(bad, F.concat(F.lit("{damaged"), text)).otherwise(text),
+                            "items": F.to_json("items")}).write.parquet(path)
+        _JSON_FEEDS[key] = path
+    return tb.spark.read.parquet(_JSON_FEEDS[key])
+
+
 # ---------------------------------------------------------------------------
 # whole tables
 # ---------------------------------------------------------------------------
@@ -126,11 +138,8 @@ def sessions_full(tb: Testbed) -> DataFrame:
 
 @query
 def sessions_hot_split(tb: Testbed) -> DataFrame:
-    """Sessions with the skew-proof session index (no window per session group)."""
-    from webtrail.plans.runner import SHARED_COLUMNS
-    numbered = number_batch(tb.raw.select(*SHARED_COLUMNS))
-    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb, numbered), replace(TB_DAILY, split_hot_sessions=True),
-                             numbered)
+    """Sessions numbered on their own: the batch numbering is not shared with the events table."""
+    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb), TB_DAILY)
 
 
 @query
@@ -372,7 +381,8 @@ def _intraday(tb: Testbed) -> dict:
 @query
 def new_users_intraday(tb: Testbed) -> DataFrame:
     d = _intraday(tb)
-    return nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), d["marks"]["sessions"])
+    return nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), d["marks"]["sessions"],
+                        keep_null_user=False)
 
 
 @query
@@ -389,7 +399,7 @@ def purchases_intraday(tb: Testbed) -> DataFrame:
 def sessions_intraday(tb: Testbed) -> DataFrame:
     d = _intraday(tb)
     mark = d["marks"]["sessions"]
-    nui = nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), mark)
+    nui = nu.new_users(d["evi"], [d["evd"], d["evi"]], d["pui"], tb.customer_types(), mark, keep_null_user=False)
     return se.build_sessions(d["feed"].filter(F.col("event_date") > F.lit(mark)), tb.orders(), nui, TB_INTRADAY)
 
 
@@ -546,10 +556,34 @@ def items_purchase(tb: Testbed) -> DataFrame:
 
 @query
 def parse_params_json(tb: Testbed) -> DataFrame:
-    ev = tb.spark.read.parquet(f"{tb.sf_dir}/events.parquet")
-    text = F.concat(F.lit('[{"key": "k", "value": {"int_value": '), F.get_json_object("props", "$.k"), F.lit("}}]"))
-    p = ev.select("event_id", F.explode(parse_json_params(text)).alias("p"))
-    return p.select("event_id", F.col("p")["key"].alias("param_key"), param_value(F.col("p")).alias("param_value"))
+    """Params stored as JSON text, all four value types, every 37th text damaged."""
+    stored = _json_feed(tb).select("event_bundle_sequence_id", "event_params")
+    p = stored.select("event_bundle_sequence_id", F.explode(parse_json_params("event_params")).alias("p"))
+    return p.select("event_bundle_sequence_id", F.col("p")["key"].alias("param_key"),
+                    param_value(F.col("p")).alias("param_value"))
+
+
+@query
+def items_json(tb: Testbed) -> DataFrame:
+    """The items table from a feed that holds params and items as JSON text."""
+    return it.build_items(_json_feed(tb), tb.orders(), tb.products(), TB_DAILY)
+
+
+@query
+def sql_functions(tb: Testbed) -> DataFrame:
+    """The classification functions called from SQL text."""
+    sqlfuncs.register(tb.spark, TB_CHANNELS)
+    ev = _events(tb)
+    acq, ses = ev.select(*_acq_inputs()).distinct(), ev.select(*_ses_inputs()).distinct()
+    return tb.spark.sql("""
+        SELECT 'source' AS fn, value AS s, CAST(NULL AS STRING) AS m, CAST(NULL AS STRING) AS c, CAST(NULL AS STRING) AS p,
+               normalize_source(value) AS result FROM {sources}
+        UNION ALL SELECT 'medium', value, NULL, NULL, NULL, normalize_medium(value) FROM {mediums}
+        UNION ALL SELECT 'acquisition', acq_source, acq_medium, acq_campaign, NULL,
+                         channel_acquisition(acq_source, acq_medium, acq_campaign) FROM {acq}
+        UNION ALL SELECT 'session', ses_source, ses_medium, ses_campaign, ses_platform,
+                         channel_session(ses_source, ses_medium, ses_campaign, ses_platform) FROM {ses}""",
+                        sources=_distinct_values(tb, "source"), mediums=_distinct_values(tb, "medium"), acq=acq, ses=ses)
 
 
 @query
@@ -617,15 +651,51 @@ def schema_sync(tb: Testbed) -> DataFrame:
     return inc.read_table(tb.spark, path).select("event_date", "s_no", "page_title", "label", "currency")
 
 
+@query
+def incremental_one_day(tb: Testbed) -> DataFrame:
+    """A first run on one day, then a run on two: the only stored day is dropped before it."""
+    path = inc.scratch_target(tb.spark, "events")
+    first = tb.raw.agg(F.min("event_date")).first()[0]
+    for n in (0, 1):
+        inc.run_daily(tb.spark, tb.raw.filter(F.col("event_date") <= F.lit(first + dt.timedelta(days=n))),
+                      _events_builder(tb), path)
+    return inc.read_table(tb.spark, path).select(*EVENTS_COLUMNS)
+
+
+_STREAMED: dict = {}
+
+
+def _stream_tails(tb: Testbed):
+    """Raw intraday files streamed into a raw tail table, and the four tail tables rebuilt from it,
+    once per application."""
+    from webtrail.plans.runner import scratch_tables
+    key = (tb.spark.sparkContext.applicationId, tb.sf_dir)
+    if key not in _STREAMED:
+        base = inc.scratch_target(tb.spark, "stream")
+        tb.intraday_feed().repartition("event_date").write.mode("overwrite").parquet(f"{base}/landing")
+        tails = scratch_tables(tb.spark, "tail")
+        stream.refresh_tails(tb.spark, f"{base}/landing", tb.raw.schema, f"{base}/raw_tail", f"{base}/_checkpoint",
+                             tb.orders(), tb.customer_types(), tb.products(), _stored_daily(tb), tails, TB_INTRADAY,
+                             max_files_per_trigger=1)
+        _STREAMED[key] = tails
+    return _STREAMED[key]
+
+
 @query
 def intraday_stream(tb: Testbed) -> DataFrame:
-    """Raw intraday files stream into a raw tail table; the tail events table is rebuilt from it."""
-    spark = tb.spark
-    base = inc.scratch_target(spark, "stream")
-    src = f"{base}/landing"
-    tb.intraday_feed().repartition("event_date").write.mode("overwrite").parquet(src)
-    raw_tail = f"{base}/raw_tail"
-    stream.ingest_raw(spark, src, tb.raw.schema, raw_tail, f"{base}/_checkpoint", max_files_per_trigger=1)
-    ev_mark = inc.high_water_mark(spark, _stored_daily(tb).events)
-    tail = stream.read_raw_tail(spark, raw_tail).select(*tb.raw.columns)
-    return build_events(tail.filter(F.col("event_date") > F.lit(ev_mark)), tb.orders(), TB_INTRADAY)
+    return inc.read_table(tb.spark, _stream_tails(tb).events).select(*EVENTS_COLUMNS)
+
+
+@query
+def purchases_stream(tb: Testbed) -> DataFrame:
+    return inc.read_table(tb.spark, _stream_tails(tb).purchases)
+
+
+@query
+def items_stream(tb: Testbed) -> DataFrame:
+    return inc.read_table(tb.spark, _stream_tails(tb).items)
+
+
+@query
+def sessions_stream(tb: Testbed) -> DataFrame:
+    return inc.read_table(tb.spark, _stream_tails(tb).sessions)

@@ -84,11 +84,6 @@ class FeedOptions:
     zone: str = "America/New_York"
     channels: ChannelConfig = field(default_factory=ChannelConfig)
     list_view_brand: str | None = None
-    # broadcast a lookup side only when it has at most this many rows (checked at run time)
-    broadcast_max_rows: int = 2_000_000
-    # number sessions without a window per (day, session, user) - for feeds where one group
-    # (events without any id, a bot session) holds a large share of all combinations
-    split_hot_sessions: bool = False
 
 
 DAILY = FeedOptions()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,12 +36,15 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "webtr
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests)
-    create a scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``; only a local session without one (tests) gets a
+    scratch folder, as on a cluster each machine would have another."""
     d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            master = spark.sparkContext.master
+            if not re.fullmatch(r"local(\[.*\])?", master):
+                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
             d = tempfile.mkdtemp(prefix="webtrail-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

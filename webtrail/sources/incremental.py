@@ -1,21 +1,26 @@
 """Day-keyed incremental tables (I1-I6, S5, S6) on Parquet in shared storage.
 
-A target is a Parquet directory partitioned by ``event_date``.  A daily run:
+A target is a Parquet directory partitioned by ``event_date``, with its schema stored beside
+the data (``_schema/<version>.json``, which Parquet readers skip).  A daily run:
 
-1. drops the newest stored day, if the table exists (I2) - even when the feed
+1. drops the newest stored day, if the table holds data (I2) - even when the feed
    has no rows for that day, which an overwrite alone would not do;
-2. reads the high-water mark **after** the drop (I1; missing table -> 1900-01-01);
+2. reads the high-water mark **after** the drop (I1; no stored day -> 1900-01-01);
 3. builds every day past the mark from the feed (I3) - the mark is one collected
    date, so the feed scan gets a static partition filter;
-4. syncs the stored schema to the new one (I5: new columns as null, dropped
-   columns removed);
+4. syncs the stored schema to the new one (I5) - a new schema version, no data file
+   is touched: files that lack a column read as null, a dropped column is not read;
 5. writes with dynamic partition overwrite, so a re-run replaces exactly the
    days it produced and leaves the others alone (I4, idempotent).
+
+A table without any stored day (one day that was dropped, or a batch without rows) is
+an empty table with its schema, not a missing one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from typing import Callable
 
@@ -36,13 +41,31 @@ def _fs(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Does the target exist (a directory with data)?"""
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    """Does the target hold data files?"""
+    return bool(stored_days(spark, path))
+
+
+def _schema_versions(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_schema")
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n for n in names if n.endswith(".json"))
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The table's schema: its newest stored version, or the data files' own without one."""
+    versions = _schema_versions(spark, path)
+    if versions:
+        text = spark.read.text(f"{path.rstrip('/')}/_schema/{versions[-1]}", wholetext=True).first()[0]
+        return T.StructType.fromJson(json.loads(text))
+    return spark.read.parquet(path).schema if table_exists(spark, path) else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The table under its stored schema; empty if it holds no data."""
+    schema = stored_schema(spark, path)
+    return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
 
 
 def high_water_mark_df(table: DataFrame) -> DataFrame:
@@ -56,9 +79,9 @@ def _is_data_file(name: str) -> bool:
 
 def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
     """Days that hold data files, from the partition directory listing (no data read)."""
-    if not table_exists(spark, path):
-        return []
     fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return []
     days = []
     prefix = f"{DATE_COL}="
     for st in fs.listStatus(root):
@@ -80,8 +103,6 @@ def high_water_mark(spark: SparkSession, path: str) -> dt.date:
 
 def drop_latest_day(spark: SparkSession, path: str) -> dt.date | None:
     """Delete the newest day's partition; returns the dropped day."""
-    if not table_exists(spark, path):
-        return None
     day = high_water_mark(spark, path)
     if day == NO_MARK:
         return None
@@ -93,29 +114,31 @@ def drop_latest_day(spark: SparkSession, path: str) -> dt.date | None:
 def sync_schema(spark: SparkSession, path: str, target: T.StructType) -> bool:
     """Make the stored table carry exactly ``target``'s columns (new ones null).
 
-    The table is rewritten to a sibling directory and swapped in, never
-    overwritten while it is being read.  Returns whether a rewrite happened.
-    """
-    if not table_exists(spark, path):
+    Writes a new schema version if it differs from the stored one and returns whether it
+    did.  A column keeps its type or gets a wider one that Parquet readers convert to.
+    The version appears by one rename, so a run that stops before it leaves the old
+    schema and one that stops after it the new one, with all data in either case."""
+    stored = stored_schema(spark, path)
+    shape = lambda schema: {f.name: f.dataType for f in schema.fields}
+    versions = _schema_versions(spark, path)
+    if versions and stored is not None and shape(stored) == shape(target):
         return False
-    stored = read_table(spark, path)
-    if [f.name for f in stored.schema.fields if f.name != DATE_COL] == [f.name for f in target.fields if f.name != DATE_COL] \
-            and all(stored.schema[f.name].dataType == f.dataType for f in target.fields if f.name in stored.columns):
-        return False
-    cols = [(F.col(f.name).cast(f.dataType) if f.name in stored.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in target.fields]
-    tmp = f"{path.rstrip('/')}.__sync_{uuid.uuid4().hex}"
-    stored.select(*cols).write.mode("overwrite").partitionBy(DATE_COL).parquet(tmp)
-    fs, p = _fs(spark, path)
-    _, t = _fs(spark, tmp)
-    fs.delete(p, True)
-    fs.rename(t, p)
+    base = f"{path.rstrip('/')}/_schema"
+    fs, final = _fs(spark, f"{base}/{len(versions):06d}.json")
+    _, temporary = _fs(spark, f"{base}/.{uuid.uuid4().hex}")
+    out = fs.create(temporary)
+    out.write(bytearray(json.dumps(T.StructType([T.StructField(f.name, f.dataType) for f in target.fields]).jsonValue())
+                        .encode()))
+    out.close()
+    if not fs.rename(temporary, final):
+        raise OSError(f"another run has just written {final}")
     return True
 
 
 def write_days(df: DataFrame, path: str) -> None:
-    """Dynamic partition overwrite keyed by day."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Dynamic partition overwrite keyed by day.  Rows are rebalanced by day first, so a
+    day becomes a few files whatever the number of tasks, and AQE splits a large day."""
+    (df.hint("rebalance", DATE_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(DATE_COL).parquet(path))
 
 

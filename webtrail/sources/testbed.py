@@ -26,11 +26,15 @@ SETTLE_DAYS = 3
 
 CLICK_NAMES = ["view_item", "add_to_cart", "select_item", "view_search_results", "begin_checkout",
                "remove_from_cart", "add_shipping_info", "add_payment_info", "login", " view_item "]
-SOURCES = ["google", "Facebook ", "fb", "newsletter", "(direct)", "tiktok", "bing", "YouTube",
-           "data not available", None, "instagram", "attentive", "spotify", "klaviyo", "narvar", "api.id.me"]
+SOURCES = ["google", "Facebook ", "fb", "fb-ad 7", "(direct)", "tiktok", "bing", "YouTube",
+           "data not available", None, "instagram", "attentive", "spotify", "klaviyo", "tiktok ads", "api.id.me",
+           "yahoo", "tb12 club", "twitter", "yandex", "en.wikipedia.org", "adwords", "FB Pixel", "breakaway", "mntn",
+           "pinterest", "impact", "podcast", "snapchat", "bluecore", "narvar"]
 MEDIUMS = ["cpc", "organic", "paid_social", "email", "(none)", "paid", "referral", "direct-mail",
-           "affiliate", "sms", None, "web_app", "social_media", "ppc", "tv", "data not available"]
-CAMPAIGNS = ["brand_search", "pmax_us", "display", "pla", "summer sale", None, "demandgen",
+           "affiliate", "sms", None, "web_app", "social_media", "ppc", "tv", "data not available",
+           "aff", "shop", "shop_web", "ema", "Paid Social", "organic instagram", "partnership", "social feed", "koala",
+           "text", "audio", "sm", "link", "directmail", "paid-social"]
+CAMPAIGNS = ["brand_search", "pmax_us", "display", "pla", "summer brand", None, "demandgen",
              "Performance Max Brand", "ebates", "shop_now", "(organic)", "junky", "creator collective",
              "search_generic", "pla_x", "retarget"]
 PLATFORMS = [None, "Google Ads", "Manual", "SA360"]
@@ -212,19 +216,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "geo_region": pick(REGIONS, u % 5),
         "geo_city": pick(CITIES, u % 7),
         "geo_metro": pick(METROS, u % 3),
-        "traffic_source_source": pick(SOURCES, u % 16),
-        "traffic_source_medium": pick(MEDIUMS, (u * 7) % 16),
+        "traffic_source_source": pick(SOURCES, u % 31),
+        "traffic_source_medium": pick(MEDIUMS, (u * 7) % 31),
         "traffic_source_name": pick(CAMPAIGNS, (u * 5 + 3) % 16),
-        "collected_traffic_source_manual_source": F.when(collected, pick(SOURCES, q % 16)),
-        "collected_traffic_source_manual_medium": F.when(collected, pick(MEDIUMS, (q * 3 + 1) % 16)),
+        "collected_traffic_source_manual_source": F.when(collected, pick(SOURCES, q % 31)),
+        "collected_traffic_source_manual_medium": F.when(collected, pick(MEDIUMS, (q * 3 + 1) % 31)),
         "collected_traffic_source_manual_campaign_id": F.when(collected, F.concat(F.lit(" c"), _s(eid % 100))),
         "collected_traffic_source_manual_campaign_name": F.when(collected, pick(CAMPAIGNS, (q * 5) % 16)),
         "collected_traffic_source_manual_source_platform": F.when(collected, pick(PLATFORMS, q % 4)),
         "collected_traffic_source_manual_term": F.when(collected, F.concat(F.lit("Term"), _s(eid % 3))),
         "collected_traffic_source_manual_content": F.when(collected & (eid % 8 != 0), F.lit(" AD ")),
         "collected_traffic_source_gclid": F.when(eid % 6 == 0, F.concat(F.lit("gclid"), _s(u))),
-        "session_traffic_source_last_click_manual_campaign_source": pick(SOURCES, (u + day) % 16),
-        "session_traffic_source_last_click_manual_campaign_medium": pick(MEDIUMS, (u * 3 + day) % 16),
+        "session_traffic_source_last_click_manual_campaign_source": pick(SOURCES, (u + day) % 31),
+        "session_traffic_source_last_click_manual_campaign_medium": pick(MEDIUMS, (u * 3 + day) % 31),
         "session_traffic_source_last_click_manual_campaign_campaign_id": F.concat(F.lit("lc"), _s((u + day) % 10)),
         "session_traffic_source_last_click_manual_campaign_campaign_name": pick(CAMPAIGNS, (u + day * 2) % 16),
         "session_traffic_source_last_click_manual_campaign_source_platform": pick(PLATFORMS, (u + day) % 4),
