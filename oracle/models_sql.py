@@ -172,13 +172,15 @@ def new_users_ctes(n: str, fv_src: str, act_srcs: list[str], pu_src: str, mark:
     out = [f"{n}_fv AS (SELECT DISTINCT event_date, unique_user_id FROM {fv_src} "
            f"WHERE event_name = 'first_visit' AND event_date > {mark})"]
     conds = []
+    # several counts are joined by user and day with plain equality: a null user has no partner and goes
+    same = "IS NOT DISTINCT FROM" if len(act_srcs) == 1 else "="
     for i, src in enumerate(act_srcs):
         out.append(f"{n}_act{i} AS (SELECT t1.event_date, t1.unique_user_id, count(t2.event_name) AS activity "
                    f"FROM {n}_fv t1 LEFT JOIN {src} t2 ON t1.unique_user_id = t2.unique_user_id "
                    "AND t2.event_date BETWEEN t1.event_date - 31 AND t1.event_date - 1 "
                    "GROUP BY t1.unique_user_id, t1.event_date)")
         conds.append(f"EXISTS (SELECT 1 FROM {n}_act{i} a WHERE a.event_date = f.event_date "
-                     f"AND a.unique_user_id IS NOT DISTINCT FROM f.unique_user_id AND a.activity = 0)")
+                     f"AND a.unique_user_id {same} f.unique_user_id AND a.activity = 0)")
     out.append(f"{n}_pc AS (SELECT p.event_date, p.unique_user_id, p.shopify_order_id, ct.customer_type "
                f"FROM {pu_src} p LEFT JOIN customer_type_fact ct ON p.shopify_order_id = ct.shopify_order_id "
                f"AND p.event_date > {mark})")
@@ -292,9 +294,9 @@ def items_ctes(n: str = "it", feed: str = "raw", mark: str = NO_MARK, brand: str
     c, s = _color_size("it['item_variant']", "p.product_family")
     gender = gender_sql("p.externalid", "it['item_name']", "p.gender")
     common_item = (f"trim(it['item_id']) AS item_id, {dimc}, {gender} AS gender, p.strategic_business_unit, "
-                   f"{_blank(chr(105) + 't[' + chr(39) + 'item_list_name' + chr(39) + ']')} AS item_list_name, "
+                   f"{_blank("it['item_list_name']")} AS item_list_name, "
                    "trim(it['item_name']) AS item_name, "
-                   f"{_blank(chr(105) + 't[' + chr(39) + 'item_variant' + chr(39) + ']')} AS item_variant")
+                   f"{_blank("it['item_variant']")} AS item_variant")
     return [
         f"{n}_batch AS (SELECT * FROM {feed} WHERE event_date > {mark})",
         (f"{n}_money AS (SELECT shopify_order_id, CASE WHEN gift_card_flag = 'GIFT CARD' THEN lower(title) ELSE sku END "

@@ -142,13 +142,13 @@ register("channel_wiring", [EV],
 ITEM_DIM_JOIN = "FROM it_items i LEFT JOIN product_dim p ON p.externalid = trim(i.it['item_id'])"
 register("product_gender_rules", [IT],
          f"SELECT DISTINCT p.externalid, it['item_name'] AS item_name_raw, p.gender AS dim_gender, "
-         f"{gender_sql('p.externalid', chr(105) + 't[' + chr(39) + 'item_name' + chr(39) + ']', 'p.gender')} AS gender "
+         f"{gender_sql('p.externalid', "it['item_name']", 'p.gender')} AS gender "
          + ITEM_DIM_JOIN, ["externalid", "item_name_raw", "dim_gender", "gender"])
 register("clean_not_set", [IT],
          "SELECT DISTINCT it['item_list_name'] AS list_name_raw, "
-         f"{M._blank(chr(105) + 't[' + chr(39) + 'item_list_name' + chr(39) + ']')} AS item_list_name, "
+         f"{M._blank("it['item_list_name']")} AS item_list_name, "
          "it['item_variant'] AS variant_raw, "
-         f"{M._blank(chr(105) + 't[' + chr(39) + 'item_variant' + chr(39) + ']')} AS item_variant FROM it_items",
+         f"{M._blank("it['item_variant']")} AS item_variant FROM it_items",
          ["list_name_raw", "item_list_name", "variant_raw", "item_variant"])
 _c, _s = M._color_size("it['item_variant']", "p.product_family")
 register("variant_color_size", [IT],
@@ -265,13 +265,20 @@ register("item_params_pivot", [IT],
          ["s_no", "item_id", "item_product_id", "item_variant_id"])
 register("items_browse", [IT], "SELECT * FROM it_bo", ITEMS_COLUMNS, decimals=ITEM_DEC)
 register("items_purchase", [IT], "SELECT * FROM it_po", ITEMS_COLUMNS, decimals=ITEM_DEC)
-JSON_DDL = ('[{"key":"VARCHAR","value":{"string_value":"VARCHAR","int_value":"VARCHAR",'
-            '"double_value":"VARCHAR","float_value":"VARCHAR"}}]')
 register("parse_params_json", [],
-         "SELECT event_id, p['key'] AS param_key, " + M.value_sql("p", False) + " AS param_value FROM ("
-         "SELECT event_id, unnest(from_json('[{\"key\": \"k\", \"value\": {\"int_value\": ' || "
-         "json_extract_string(props, '$.k') || '}}]', '" + JSON_DDL + "')) AS p FROM events)",
-         ["event_id", "param_key", "param_value"])
+         "SELECT event_bundle_sequence_id, p['key'] AS param_key, " + M.value_sql("p", False) + " AS param_value FROM ("
+         "SELECT event_bundle_sequence_id, unnest(event_params) AS p FROM raw WHERE event_bundle_sequence_id % 37 <> 0)",
+         ["event_bundle_sequence_id", "param_key", "param_value"])
+ITJ = M.items_ctes("itj", "raw_json", brand=TESTBED_LIST_BRAND)
+register("items_json", [["raw_json AS (SELECT * REPLACE (CASE WHEN event_bundle_sequence_id % 37 <> 0 THEN event_params END "
+                         "AS event_params) FROM raw)"], ITJ], "SELECT * FROM itj", ITEMS_COLUMNS, decimals=ITEM_DEC)
+_CALLS = [("source", "normalize_source", ["source_value"], "normalized_source"),
+          ("medium", "normalize_medium", ["medium_value"], "normalized_medium"),
+          ("acquisition", "channel_acquisition", [a for _, a in ACQ_IN], "channel"),
+          ("session", "channel_session", [a for _, a in SES_IN], "channel")]
+ORACLE["sql_functions"] = " UNION ALL ".join(
+    f"SELECT '{fn}' AS fn, " + ", ".join(f"{(a + [None] * 4)[i] or 'CAST(NULL AS VARCHAR)'} AS {x}" for i, x in enumerate("smcp"))
+    + f", {result} AS result FROM ({ORACLE[key]})" for fn, key, a, result in _CALLS)
 register("identity_keys", [EV],
          "SELECT s_no, user_id, user_pseudo_id, unique_user_id, ga_session_id, unique_session_id FROM ev",
          ["s_no", "user_id", "user_pseudo_id", "unique_user_id", "ga_session_id", "unique_session_id"])
@@ -299,3 +306,10 @@ register("schema_sync", [R1],
          "SELECT event_date, s_no, page_title, CAST(NULL AS VARCHAR) AS label, CAST(NULL AS VARCHAR) AS currency "
          "FROM r1", ["event_date", "s_no", "page_title", "label", "currency"])
 register("intraday_stream", [EVD, EVI], "SELECT * FROM evi", EVENTS_COLUMNS)
+TWO_DAYS = M.events_ctes("r0", "raw_two")
+register("incremental_one_day",
+         [["raw_two AS (SELECT * FROM raw WHERE event_date <= (SELECT min(event_date) + 1 FROM raw))"], TWO_DAYS],
+         "SELECT * FROM r0", EVENTS_COLUMNS)
+register("purchases_stream", [PUD, PUI], "SELECT * FROM pui", PURCHASES_COLUMNS)
+register("items_stream", [ITD, ITI], "SELECT * FROM iti", ITEMS_COLUMNS, decimals=ITEM_DEC)
+register("sessions_stream", INTRA + [NUI, SEI], "SELECT * FROM sei", SESSIONS_COLUMNS, decimals=SES_DEC)

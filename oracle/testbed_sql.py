@@ -67,7 +67,7 @@ def ctes() -> list[str]:
     is_p = "e.event_type = 'purchase'"
     sid = f"CAST({u} * 100 + e.dd AS VARCHAR)"
     params = "list_filter([" + ", ".join([
-        f"CASE WHEN {eid} % 19 = 0 THEN {_param('ga_session_id', string=chr(39) + ' ' + chr(39) + ' || ' + sid)}"
+        f"CASE WHEN {eid} % 19 = 0 THEN {_param('ga_session_id', string="' ' || " + sid)}"
         f" ELSE {_param('ga_session_id', int_=sid)} END",
         _param("ga_session_number", int_="CAST(e.dd AS VARCHAR)"),
         _param("engagement_time_msec", int_="CAST(e.k * 100 AS VARCHAR)", when=f"{eid} % 3 <> 0"),
@@ -125,19 +125,19 @@ def ctes() -> list[str]:
         "geo_region": pick(tb.REGIONS, f"{u} % 5"),
         "geo_city": pick(tb.CITIES, f"{u} % 7"),
         "geo_metro": pick(tb.METROS, f"{u} % 3"),
-        "traffic_source_source": pick(tb.SOURCES, f"{u} % 16"),
-        "traffic_source_medium": pick(tb.MEDIUMS, f"({u} * 7) % 16"),
+        "traffic_source_source": pick(tb.SOURCES, f"{u} % 31"),
+        "traffic_source_medium": pick(tb.MEDIUMS, f"({u} * 7) % 31"),
         "traffic_source_name": pick(tb.CAMPAIGNS, f"({u} * 5 + 3) % 16"),
-        "collected_traffic_source_manual_source": f"CASE WHEN {coll} THEN {pick(tb.SOURCES, f'{q} % 16')} END",
-        "collected_traffic_source_manual_medium": f"CASE WHEN {coll} THEN {pick(tb.MEDIUMS, f'({q} * 3 + 1) % 16')} END",
+        "collected_traffic_source_manual_source": f"CASE WHEN {coll} THEN {pick(tb.SOURCES, f'{q} % 31')} END",
+        "collected_traffic_source_manual_medium": f"CASE WHEN {coll} THEN {pick(tb.MEDIUMS, f'({q} * 3 + 1) % 31')} END",
         "collected_traffic_source_manual_campaign_id": f"CASE WHEN {coll} THEN ' c' || CAST({eid} % 100 AS VARCHAR) END",
         "collected_traffic_source_manual_campaign_name": f"CASE WHEN {coll} THEN {pick(tb.CAMPAIGNS, f'({q} * 5) % 16')} END",
         "collected_traffic_source_manual_source_platform": f"CASE WHEN {coll} THEN {pick(tb.PLATFORMS, f'{q} % 4')} END",
         "collected_traffic_source_manual_term": f"CASE WHEN {coll} THEN 'Term' || CAST({eid} % 3 AS VARCHAR) END",
         "collected_traffic_source_manual_content": f"CASE WHEN {coll} AND {eid} % 8 <> 0 THEN ' AD ' END",
         "collected_traffic_source_gclid": f"CASE WHEN {eid} % 6 = 0 THEN 'gclid' || CAST({u} AS VARCHAR) END",
-        "session_traffic_source_last_click_manual_campaign_source": pick(tb.SOURCES, f"({u} + e.dd) % 16"),
-        "session_traffic_source_last_click_manual_campaign_medium": pick(tb.MEDIUMS, f"({u} * 3 + e.dd) % 16"),
+        "session_traffic_source_last_click_manual_campaign_source": pick(tb.SOURCES, f"({u} + e.dd) % 31"),
+        "session_traffic_source_last_click_manual_campaign_medium": pick(tb.MEDIUMS, f"({u} * 3 + e.dd) % 31"),
         "session_traffic_source_last_click_manual_campaign_campaign_id": f"'lc' || CAST(({u} + e.dd) % 10 AS VARCHAR)",
         "session_traffic_source_last_click_manual_campaign_campaign_name": pick(tb.CAMPAIGNS, f"({u} + e.dd * 2) % 16"),
         "session_traffic_source_last_click_manual_campaign_source_platform": pick(tb.PLATFORMS, f"({u} + e.dd) % 4"),
