@@ -35,7 +35,7 @@ def brute(rows):
         own.setdefault((d, p), None)
         for i, line in enumerate((t or "").split("\n")):
             ws = terms(line)
-            if len(set(ws) & vocab) < 2:
+            if len(set(ws) & vocab - ls.FUNCTION_WORDS) < 2:
                 continue
             v = vector(ws)
             c, lic = min((-round(sum(x * m.get(w, 0) for w, x in v.items()) / norm(v) / norm(m), 6), lic) for lic, m in models)

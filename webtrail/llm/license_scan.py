@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine to templates, then nearest-ancestor inheritance by path.
 
-Every line of a file is a passage.  Lines that hold ``min_terms`` different words of the templates
-are scored: words weigh their count times their inverse document frequency (over all files; words
+Every line of a file is a passage.  Lines that hold ``min_terms`` different words of the templates,
+function words apart, are scored: words weigh their count times their inverse document frequency (over all files; words
 outside the templates weigh the templates' mean), and the line's licence is the template of the
 highest cosine, if that reaches ``threshold``.  A file's own licence is its best line's.  A file is
 a licence file if its name says so or if licence lines hold at least ``FILE_SHARE`` of its words; it
@@ -49,6 +49,9 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
 THRESHOLD, MIN_TERMS = 0.6, 2
+#: Words of the templates that any prose holds: a line needs MIN_TERMS others to be scored.
+FUNCTION_WORDS = frozenset("a and any are as at by can either except for in is it may not of or that the this to under with "
+                           "without you".split())
 #: Share of a file's words in licence lines from which it is a licence file.
 FILE_SHARE = 0.25
 #: Names of licence files, in lower case.
@@ -70,6 +73,7 @@ def own_licenses(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
         "template", "license", "term").agg(F.count("*").alias("tf"))
     vocabulary = sorted(r.term for r in words.select("term").distinct().collect())  # the templates' own words
     known = F.array(*[F.lit(x) for x in vocabulary])
+    telling = F.array(*[F.lit(x) for x in vocabulary if x not in FUNCTION_WORDS])
 
     held = files.select(F.explode(F.array_intersect(_terms(F.col("t")), known)).alias("term"))
     held = {r.term: r["count"] for r in held.groupBy("term").count().collect()}  # one row per word of the templates
@@ -83,7 +87,7 @@ def own_licenses(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
 
     lines = files.select("id", "path", F.posexplode(F.split("t", "\n")).alias("line_no", "line"))
     lines = lines.withColumn("terms", _terms(F.col("line"))).filter(
-        F.size(F.array_intersect("terms", known)) >= min_terms).drop("line")
+        F.size(F.array_intersect("terms", telling)) >= min_terms).drop("line")
     lines = lines.withColumn("n_words", F.size("terms"))
     key = ["id", "path", "line_no", "n_words"]
     counted = lines.select(*key, F.explode("terms").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))

@@ -1,8 +1,9 @@
 """DuckDB SQL of the licence scan's query."""
 
-from webtrail.llm.license_scan import FILE_SHARE, LICENCE_NAME, MIN_TERMS, TEMPLATES, THRESHOLD
+from webtrail.llm.license_scan import FILE_SHARE, FUNCTION_WORDS, LICENCE_NAME, MIN_TERMS, TEMPLATES, THRESHOLD
 
 _VALUES = ", ".join("({}, '{}', '{}')".format(i, x, t.replace("'", "''")) for i, (x, t) in enumerate(TEMPLATES))
+_FUNCTION = ", ".join(f"'{x}'" for x in sorted(FUNCTION_WORDS))
 _TERMS = "list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
 
 LICENSE_SQL = f"""
@@ -21,7 +22,7 @@ vectors AS (SELECT license, template, term, w / sqrt(sum(w * w) OVER (PARTITION
 lines AS (SELECT id, path, i - 1 AS line_no, {_TERMS.format('ls[i]')} AS ts
           FROM (SELECT id, path, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT id, path, string_split(t, chr(10)) AS ls FROM files))),
 picked AS (SELECT id, path, line_no, len(ts) AS n_words, ts FROM lines
-           WHERE len(list_intersect(list_distinct(ts), (SELECT list(term) FROM vocab))) >= {MIN_TERMS}),
+           WHERE len(list_intersect(list_distinct(ts), (SELECT list(term) FROM vocab WHERE term NOT IN ({_FUNCTION})))) >= {MIN_TERMS}),
 counted AS (SELECT id, path, line_no, n_words, term, count(*) AS tf
             FROM (SELECT id, path, line_no, n_words, unnest(ts) AS term FROM picked) GROUP BY ALL),
 weighed AS (SELECT c.*, tf * coalesce(idf, (SELECT avg(idf) FROM weights)) AS w FROM counted c LEFT JOIN weights USING (term)),
