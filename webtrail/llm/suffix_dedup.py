@@ -45,8 +45,8 @@ GRAM = 32
 PIECE = 1 << 18
 #: Parts of an anchor that very many documents hold.
 SALTS = 32
-#: Documents sampled to find those anchors, and occurrences among them that make one.
-SAMPLE, FREQUENT = 100_000, 50
+#: Documents sampled to find those anchors (about so many at most), and the share of them that makes one.
+SAMPLE, FREQUENT = 100_000, 1 / 256
 #: Segments sorted together in a task.
 COLLECTION = 1 << 15
 #: Most bits of the filter that picks the segments to sort; 32 MB.
@@ -361,13 +361,13 @@ def _sort_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def frequent_anchors(docs: DataFrame) -> np.ndarray:
-    """Anchors that many documents of a sample of at most about SAMPLE documents hold, sorted.  At most
-    the sample's anchors divided by FREQUENT, whatever the size of the corpus."""
+    """Anchors that more than a share FREQUENT of a sample of about SAMPLE documents hold, sorted: the
+    same share at every size of the corpus, and a bounded number of them."""
     n = docs.count()
-    share = max(16, -(-n // SAMPLE))
+    share = max(1, -(-n // SAMPLE))
     some = docs.filter(F.pmod(F.xxhash64("id", F.lit(4)), F.lit(share)) == 0)
     found = some.mapInArrow(_scan(np.zeros(0, dtype=np.uint64), None, True), "anchor long").groupBy("anchor").count()
-    rows = found.filter(F.col("count") >= min(FREQUENT, max(16, n // share // 50))).select("anchor").toArrow()
+    rows = found.filter(F.col("count") >= max(50, FREQUENT * n / share)).select("anchor").toArrow()
     return np.sort(rows.column(0).to_numpy().view(np.uint64))
 
 
