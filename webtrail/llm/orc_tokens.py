@@ -20,8 +20,8 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +34,11 @@ from webtrail.llm import common
 from webtrail.session import shared_dir
 
 #: Words, and pieces of words, that a process remembers with their ids; a full memory is emptied.
-REMEMBERED = 800_000
+REMEMBERED = 700_000
 #: Words that a tokenizer of the known kind only lowers: printable, and of letters that have one form.
 _PLAIN = regex.compile(r"(?:(?<=\n)|^)[!-~\u00a1-\u017f]+(?=\n|$)").findall
+#: Texts of which lower case is letter by letter, and a sign of special tokens.
+_LATIN, _SPECIAL = regex.compile(r"[\x00-\u00ff]*").fullmatch, regex.compile(r"<\|").search
 OPTIONS = {"compression": "zstd", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
            "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20)}
 _PROBES = ("a b", " a  b ", "don't do n't", "x\n y", "1 23 4.5", "É à ñ ü", "á e ́", "<b> </b> ...!? !", "A\tb c\r\n d")
@@ -89,12 +91,11 @@ class _Memory:
         size = np.fromiter((len(x.ids) for x in found), dtype=np.int64, count=len(found))
         self.add(names, np.fromiter(chain.from_iterable(x.ids for x in found), dtype=np.uint32, count=int(size.sum())), size)
 
-    def take(self, names: Iterable, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(rows of the names, all their ids, where each name's begin; the last entry is their number)."""
-        rows = np.fromiter(map(self.row.__getitem__, names), dtype=np.int64, count=n)
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the rows, where each row's begin; the last entry is their number)."""
         size = self.size[rows]
         total = np.r_[0, np.cumsum(size)]
-        return rows, self.ids[np.repeat(self.first[rows] - total[:-1], size) + np.arange(total[-1])], total
+        return self.ids[np.repeat(self.first[rows] - total[:-1], size) + np.arange(total[-1])], total
 
 
 class Encoder:
@@ -131,7 +132,8 @@ class Encoder:
             unknown = list(set(cut).difference(self.pieces.row))
             as_bytes = [x if x.isascii() else x.translate(self.letters) for x in unknown]
             self.pieces.add_encoded(unknown, self.model.encode_batch(as_bytes, add_special_tokens=False))
-            rows, ids, total = self.pieces.take(cut, len(cut))
+            rows = np.fromiter(map(self.pieces.row.__getitem__, cut), dtype=np.int64, count=len(cut))
+            ids, total = self.pieces.take(rows)
             gaps = np.flatnonzero(rows == 0)  # between the words; a space itself adds no ids
             self.words.add(plain, ids, np.diff(np.r_[0, total[gaps], total[-1]]))
         rest = list(new.difference(plain))
@@ -142,19 +144,25 @@ class Encoder:
         if not self.by_word:
             found = [[*x.ids, *self.end] for x in self.tokenizer.encode_batch(values, add_special_tokens=False)]
             return np.array(list(chain.from_iterable(found)), dtype=np.uint32), np.cumsum([0, *map(len, found)])
-        split = [[*x.replace("\n", " ").split(" "), None] for x in values]
-        new = set(chain.from_iterable(split)).difference(self.words.row)
-        if len(self.words.row) + len(new) > REMEMBERED:
-            self.words = _Memory(None, self.end)
-            new = set(chain.from_iterable(split)).difference(self.words.row)
+        split = [[*self._lowered(x).replace("\n", " ").split(" "), None] for x in values]
+        words = list(chain.from_iterable(split))
+        ends = np.cumsum([0, *map(len, split)])
+        for _ in range(2):
+            rows = np.fromiter(map(self.words.row.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+            missing = np.flatnonzero(rows < 0).tolist()
+            new = set(map(words.__getitem__, missing))
+            if len(self.words.row) + len(new) <= REMEMBERED:
+                break
+            self.words = _Memory(None, self.end)  # full: begin anew, and look again
         if new:
             self._learn(new)
-        ends = np.cumsum([0, *map(len, split)])
-        _, ids, total = self.words.take(chain.from_iterable(split), int(ends[-1]))
+            rows[missing] = [self.words.row[words[k]] for k in missing]
+        ids, total = self.words.take(rows)
         return ids, total[ends]
 
-
-_ENCODERS: dict[tuple, Encoder] = {}
+    def _lowered(self, text: str) -> str:
+        """The text in lower case, where the tokenizer does nothing else to it: one form of a word to know."""
+        return text.lower() if self.cut and _LATIN(text) and not _SPECIAL(text) else text
 
 
 def _encode(path: str, end_id: int | None, at: int, chunk: int = 1 << 21):
@@ -162,13 +170,11 @@ def _encode(path: str, end_id: int | None, at: int, chunk: int = 1 << 21):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        if (path, end_id) not in _ENCODERS:
-            _ENCODERS[path, end_id] = Encoder(path, end_id)
-        encoder = _ENCODERS[path, end_id]
+        encoder = common.kept(f"encoder {path} {end_id}", lambda: Encoder(path, end_id))
         for batch in batches:
-            values = common.texts(batch.column(at))
+            values = [x or "" for x in batch.column(at).to_pylist()]
             for lo, hi in common.chunks(values, chunk):
-                ids, starts = encoder([x.decode("utf-8", "replace") for x in values[lo:hi]])
+                ids, starts = encoder(values[lo:hi])
                 tokens = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.view(np.int32)))
                 rest = [c.slice(lo, hi - lo) for i, c in enumerate(batch.columns) if i != at]
                 yield pa.RecordBatch.from_arrays([*rest, tokens], names=["doc_id", "tokens"])
@@ -193,6 +199,7 @@ def read(spark: SparkSession, path: str, doc_id_type: str = "bigint") -> DataFra
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.forget()
     for batch in batches:
         tokens = batch.column(1)
         ends, ids = tokens.offsets.to_numpy(), tokens.values.to_numpy(zero_copy_only=False).astype("<u4")
