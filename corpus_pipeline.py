@@ -39,8 +39,12 @@ def output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return orc_tokens.export(docs, tokenizer_path(), end_id=END_ID)
 
 
-STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("mix", mix),
-          ("output", output)]
+def _bounded(stage):
+    """The stage with Arrow batches bound by bytes: texts may be very long."""
+    return lambda spark, docs, sf_dir: stage(common.bounded_batches(spark), docs, sf_dir)
+
+
+STAGES = [(stage.__name__, _bounded(stage)) for stage in (language, near_duplicates, decontaminate, mix, output)]
 
 #: SQL cannot express SimHash, PPM and the tokenizer; tests/llm holds the stages against plain versions.
 ORACLE_SQL = None

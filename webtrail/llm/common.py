@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtrail.session import shared_dir
@@ -40,8 +42,8 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(kind).to_pylist()]
 
 
-def chunks(values: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes, one row at least, so that temporaries stay small."""
+def chunks(values: list[bytes] | list[str], limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes (characters), one row at least, so that temporaries stay small."""
     first, held = 0, 0
     for i, x in enumerate(values):
         if held and held + len(x) > limit:
@@ -52,6 +54,36 @@ def chunks(values: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
         yield first, len(values)
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(key: str, make):
+    """What a Python worker builds once and holds until a task asks for something else.  Workers
+    outlive stages, so only one such thing takes memory at a time."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Let go of what an earlier stage's tasks have kept in this worker, and hand its memory back."""
+    if _KEPT:
+        _KEPT.clear()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+#: Bytes of an Arrow batch, which bound what a task holds of long texts in Python and outside the heap.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches bound by bytes and not only by rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, smallest node of its component) that connect what the edges a-b connect."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)

@@ -50,6 +50,7 @@ def _grams(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) of a task: merged as it goes, so a task holds its different grams only."""
+    common.forget()
     held: dict[str, list] = {}
 
     def merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -191,17 +192,6 @@ class Coder:
         return out
 
 
-_CODERS: dict[str, Coder] = {}
-
-
-def _coder(model: Model, key: str) -> Coder:
-    """The lookup tables, built once in a Python worker."""
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(model)
-    return _CODERS[key]
-
-
 def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
     """``docs`` with a struct ``out``: lang, score (0 to 1: the language's share of the probability
     that the models give the text) and bits_per_byte under the language's model."""
@@ -210,7 +200,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "langu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        coder = _coder(model, key) if model.languages else None
+        coder = common.kept(key, lambda: Coder(model)) if model.languages else None
         for batch in batches:
             values = common.texts(batch.column(index))
             n = len(values)

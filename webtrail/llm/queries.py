@@ -14,7 +14,7 @@ END_ID = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return common.bounded_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tokenizer_path() -> str:

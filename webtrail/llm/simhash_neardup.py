@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     """(id, fp long): the SimHash of each row's whole text, as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.forget()
         for batch in batches:
             fps = np.fromiter((fingerprint(x, shingle) for x in common.texts(batch.column(1))), dtype=np.uint64,
                               count=batch.num_rows)

@@ -162,23 +162,12 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) ->
         yield [r.id for r in rows], [r.t.encode() for r in rows]
 
 
-_INDEXES: dict[str, Index] = {}
-
-
-def _index(key: str, block: tuple[list, list[bytes]], masks: tuple[str, ...]) -> Index:
-    """The block's index, built once in a Python worker."""
-    if key not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[key] = Index(*block, masks)
-    return _INDEXES[key]
-
-
 def _scan(docs: DataFrame, text: str, block, masks, window, overlap, schema, emit) -> DataFrame:
     shared, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(key, shared.value, masks)
+        index = common.kept(key, lambda: Index(*shared.value, masks))
         for batch in batches:
             values = common.texts(batch.column(at))
             found = {}
