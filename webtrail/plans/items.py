@@ -204,8 +204,9 @@ def swap_color_size(df: DataFrame, dim: DataFrame) -> DataFrame:
     the few colours that many rows share are split by AQE, unless Spark's own
     size estimate broadcasts the size list.
     """
-    sizes = dim.filter(F.col("product_size").isNotNull()).select(
-        F.col("product_size").alias("__size_value")).distinct().withColumn("__is_size", F.lit(True))
+    # an expression as key: a join on the distinct's own partitioning could not be split by AQE
+    sizes = dim.filter(F.col("product_size").isNotNull()).select("product_size").distinct().select(
+        F.concat("product_size", F.lit("")).alias("__size_value"), F.lit(True).alias("__is_size"))
     key = salted_key(F.col("color"), F.xxhash64("s_no", "item_id", "item_variant"))
     j = df.withColumn("__color_key", key).join(sizes, F.col("__color_key") == F.col("__size_value"), "left")
     swap = F.coalesce(F.col("__is_size"), F.lit(False))
