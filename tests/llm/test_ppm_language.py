@@ -96,3 +96,38 @@ def test_model_is_bounded(spark):
     model = ppm.fit(spark.createDataFrame(rows(), "doc_id long, text string, lang string"), max_nodes=100)
     assert 0 < sum(len(g) for g, _ in model.counts) <= 100
     assert np.isfinite(ppm.Coder(model).bits(["où être".encode(), b"the"])).all()
+
+
+def test_rare_script_beside_a_hot_language(spark):
+    """The hot language has more different grams than any fixed table of 262,144 rows."""
+    import corpus_pipeline
+
+    rnd = random.Random(4)
+    letters = [chr(c) for c in range(33, 127)]
+    hot = [(i, "".join(rnd.choices(letters, k=12000)), "hot") for i in range(40)]
+    words = ["საქართველო", "თბილისი", "მდინარე", "წიგნი"]
+    rare = [(1000 + i, " ".join(rnd.choice(words) for _ in range(30)), "ka") for i in range(12)]
+    docs = spark.createDataFrame(hot + rare, "doc_id long, text string, lang string")
+    train = docs.filter(ppm.fold("doc_id", 4) != 2)
+    model = ppm.fit(train)
+    assert len(model.counts[model.languages.index("hot")][0]) > 1 << 18
+    held = {i for i, t, x in rare} & {r.doc_id for r in docs.filter(ppm.fold("doc_id", 4) == 2).collect()}
+    found = {r.doc_id: r.lang_pred for r in ppm.identify(docs, train).collect()}
+    assert held and {found[i] for i, t, x in rare} == {"ka"}
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert {i for i, t, x in rare} <= kept
+
+
+def test_a_given_bound_leaves_each_language_a_share(spark):
+    data = rows() + [(200 + i, "the and of " * 500, "aa") for i in range(20)] + [(300, "ქვა", "ka")]
+    model = ppm.fit(spark.createDataFrame(data, "doc_id long, text string, lang string"), max_nodes=60)
+    sizes = dict(zip(model.languages, (len(g) for g, _ in model.counts)))
+    assert set(sizes) == {"aa", "bb", "cc", "ka"} and sizes["ka"] == 9 and sum(sizes.values()) == 60
+
+
+def test_search_gives_what_tables_give(spark, monkeypatch):
+    model = ppm.fit(spark.createDataFrame(rows(), "doc_id long, text string, lang string"))
+    texts = [t.encode() for _, t, _ in rows(9)[:12]] + [b"", b"zzz", b"\x00 the"]
+    tables = ppm.Coder(model).bits(texts)
+    monkeypatch.setattr(ppm, "TABLE_CONTEXTS", 0)
+    assert np.array_equal(ppm.Coder(model).bits(texts), tables)

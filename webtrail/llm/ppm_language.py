@@ -7,9 +7,9 @@ different, costs ``-log2(c / (n + d))``; an unseen one costs an escape ``-log2(d
 and is coded in the next shorter context, at last uniformly over 256 bytes.  A text belongs to
 the language that codes it in the fewest bits.
 
-Counting is one aggregation over all labelled texts.  The model keeps the ``max_nodes`` most
-frequent longest contexts with their symbols over all languages, which bounds what is
-collected and broadcast; what falls below is coded through escapes.
+Counting is one aggregation over all labelled texts.  The model holds every language's whole
+tree, however large the others are: what is collected and broadcast grows with the different
+grams (four bytes each), not with the texts.
 
 Null texts and texts without a letter give ``und`` and score 0.  With no labelled text every
 row gives ``und``.  Rows with a null language never train.  Ties between languages go to the
@@ -33,6 +33,8 @@ ORDER = 3
 PAD = b"\0" * ORDER
 UNKNOWN = "und"
 CHUNK = 1 << 20
+#: Contexts of an order up to which its tables (1 KB each) are built; beyond it grams are searched.
+TABLE_CONTEXTS = 1 << 16
 
 
 def _grams(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,33 +86,42 @@ class Model:
     counts: list[tuple[np.ndarray, np.ndarray]]
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_nodes: int = 1 << 18) -> Model:
+def _most_frequent(counts: DataFrame, max_nodes: int) -> DataFrame:
+    """About ``max_nodes`` rows: the most frequent grams of each language within an even share, one
+    at least; what a small language leaves of its share goes to the larger ones."""
+    sizes = sorted((r["count"], r.lang) for r in counts.groupBy("lang").count().collect())
+    out, room = counts.limit(0), max_nodes
+    for k, (size, lang) in enumerate(sizes):
+        share = min(size, max(1, room // (len(sizes) - k)))
+        room -= share
+        out = out.union(counts.filter(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(share))
+    return out
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_nodes: int | None = None) -> Model:
     """Count the context trees of all rows of ``docs`` with a language.
 
-    ``max_nodes`` bounds the longest contexts kept over all languages: those of at least a count
-    that is found from the counts' histogram; shorter contexts are summed from them."""
+    ``max_nodes``, if given, bounds the longest contexts kept over all languages, with an even
+    share for each; shorter contexts are summed from them."""
     rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("t"))
     counts = common.stored(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")), "ppm-counts")
-    # the lowest count whose grams, with all of higher counts, fit: one row per power-of-two step
-    steps = counts.groupBy(F.floor(F.log2("n") * 16).alias("step")).agg(F.count("*").alias("grams"), F.min("n").alias("n"))
-    least, room = None, max_nodes
-    for row in sorted(steps.collect(), key=lambda r: -r.step):
-        room -= row.grams
-        if room < 0:
-            break
-        least = row.n
-    kept = counts.filter(F.col("n") >= F.lit(least).cast("long")).toArrow().to_pandas()
-    languages = sorted(kept["lang"].unique(), key=lambda x: x.encode())
-    out = []
-    for x in languages:
-        own = kept[kept["lang"] == x].sort_values("gram")
-        out.append((own["gram"].to_numpy(np.uint32), own["n"].to_numpy(np.int64)))
-    return Model(languages, out)
+    kept = (counts if max_nodes is None else _most_frequent(counts, max_nodes)).toArrow().combine_chunks()
+    if not kept.num_rows:
+        return Model([], [])
+    code = kept.column("lang").chunk(0).dictionary_encode()
+    at, names = code.indices.to_numpy(), code.dictionary.to_pylist()
+    gram, n = kept.column("gram").to_numpy().astype(np.uint32), kept.column("n").to_numpy()
+    by = np.lexsort((gram, at))
+    ends = np.cumsum(np.bincount(at, minlength=len(names)))
+    trees = {x: (gram[own], n[own]) for x, own in zip(names, np.split(by, ends[:-1]))}
+    languages = sorted(trees, key=lambda x: x.encode())
+    return Model(languages, [trees[x] for x in languages])
 
 
 class Coder:
-    """Code lengths by direct lookup: a trie over all languages' grams for each order."""
+    """Code lengths by direct lookup: a trie over all languages' grams for each order, or, where it
+    would be too wide, the sorted grams."""
 
     def __init__(self, model: Model):
         self.n = len(model.languages)
@@ -137,7 +148,7 @@ class Coder:
                 escape[seen, k] = np.log2((total + kinds)[seen] / kinds[seen])
                 cost[:, k] = escape[at_context, k] + lower[:, k]
                 cost[at, k] = np.log2((total + kinds)[at_context[at]] / c)
-            self.steps.append(self._trie(symbols, order))
+            self.steps.append(self._trie(symbols, order) if len(contexts) <= TABLE_CONTEXTS else symbols)
             self.costs.append(cost)
             self.escapes.append((contexts, escape))
 
@@ -158,8 +169,12 @@ class Coder:
     def _lookup(self, grams: np.ndarray, order: int) -> np.ndarray:
         """Code lengths [gram, language] of each gram's last byte after ``order`` bytes."""
         node = np.zeros(len(grams), dtype=np.int64)
-        known = None
-        for level, table in enumerate(self.steps[order]):
+        known, steps = None, self.steps[order]
+        if isinstance(steps, np.ndarray):
+            own = grams & np.uint32((1 << 8 * (order + 1)) - 1)
+            node = np.searchsorted(steps, own).clip(max=len(steps) - 1)
+            known, steps = steps[node] == own, []
+        for level, table in enumerate(steps):
             byte = grams >> np.uint32(8 * (order - level)) & np.uint32(255)
             node = table[node * 256 + byte]
             if (node < 0).any():
@@ -228,7 +243,7 @@ def fold(doc_id: str, folds: int) -> Column:
 
 
 def identify(docs: DataFrame, train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-             max_nodes: int = 1 << 18) -> DataFrame:
+             max_nodes: int | None = None) -> DataFrame:
     """(id, lang_pred, score, bits_per_byte) of each row of ``docs`` by models of ``train``."""
     model = fit(train, text, lang, max_nodes)
     rows = predict(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")), model, "t", "found")
@@ -237,7 +252,7 @@ def identify(docs: DataFrame, train: DataFrame, doc_id: str = "doc_id", text: st
 
 
 def reject_unknown(docs: DataFrame, train: DataFrame, text: str = "text", lang: str = "lang",
-                   max_bits_per_byte: float = 6.0, max_nodes: int = 1 << 18) -> DataFrame:
+                   max_bits_per_byte: float = 6.0, max_nodes: int | None = None) -> DataFrame:
     """The rows of ``docs``, with their own columns, whose language is known: not ``und``, and coded
     in at most ``max_bits_per_byte`` by the best model (uniform bytes take 8, ordinary prose 2 to 4)."""
     found = "__llm_language"
