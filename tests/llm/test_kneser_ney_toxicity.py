@@ -82,3 +82,13 @@ def test_nothing_to_learn_from(spark, rows, want):
     new = spark.createDataFrame([(7, "a"), (8, None)], "doc_id long, text string")
     assert [r.score for r in kn.score(new, model).collect()] == [want, want]
     assert kn.score(new.limit(0), model).collect() == []
+
+
+def test_a_rare_toxic_word_beside_many_frequent_pairs(spark):
+    """More ordinary pairs than any fixed table of 262,144 rows, each more frequent than the toxic word."""
+    n = 520
+    every_pair = " ".join(" ".join([f"w{i}", *(f"w{i} w{j}" for j in range(i + 1, n))]) for i in range(n))
+    rows = [(0, every_pair)] * 16 + [(1, f"w{k} scum") for k in range(12)]
+    model = kn.count(spark.createDataFrame(rows, "label int, t string").repartition(4))
+    assert len(model.word) + len(model.pair) > 1 << 18
+    assert model.ratios([b"w3 scum"])[0, 0] > 1

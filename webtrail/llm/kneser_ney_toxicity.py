@@ -11,9 +11,8 @@ that of its most toxic passage, down to one word in its context, and that of the
 logistic curve, fitted on labelled texts that the counts left out, makes them a score.
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased, held as 64-bit
-hashes.  Counts cover all labelled texts of the training folds; of them the model keeps the
-expressions with evidence, at most ``max_expressions`` (the most frequent), which bounds what is
-collected and broadcast.
+hashes.  Counts cover all labelled texts of the training folds; of them the model keeps all
+expressions with evidence, so what is collected and broadcast grows with those.
 
 Null and empty texts have both ratios 0 and get the curve's value there.  Rows without a label of
 0 or 1 don't train.  Without labelled texts of both classes the score is the share of toxic ones,
@@ -128,7 +127,7 @@ def _kept(n: np.ndarray, sure: float) -> np.ndarray:
     return np.maximum(n - DISCOUNT - sure * np.sqrt(n), 0.0)
 
 
-def count(labelled: DataFrame, sure: float = SURE, max_expressions: int = 1 << 18) -> Model:
+def count(labelled: DataFrame, sure: float = SURE) -> Model:
     """The models' log-ratios from rows (label 0 or 1, t)."""
     counts = common.stored(labelled.select("label", "t").mapInArrow(
         _count, "v long, w long, n0 long, n1 long").groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")),
@@ -140,17 +139,8 @@ def count(labelled: DataFrame, sure: float = SURE, max_expressions: int = 1 << 1
         *(F.coalesce(F.sum(F.when(F.col("v") == 0, keeps(c))), F.lit(0.0)).alias(f"k{c}") for c in ("n0", "n1"))).first()
     if not totals.n0 or not totals.n1:
         return Model()
-    telling = counts.filter((keeps("n0") > 0) | (keeps("n1") > 0))
-    steps = telling.groupBy(F.floor(F.log2(F.col("n0") + F.col("n1")) * 16).alias("step")).agg(
-        F.count("*").alias("n"), F.min(F.col("n0") + F.col("n1")).alias("least"))
-    least, room = None, max_expressions
-    for row in sorted(steps.collect(), key=lambda r: -r.step):
-        room -= row.n
-        if room < 0:
-            break
-        least = row.least
-    kept = common.stored(telling.filter(F.col("n0") + F.col("n1") >= F.lit(least).cast("long")), "toxic-kept")
-    own = common.small_side(kept.filter("v = 0").select(F.col("w").alias("own")), max_expressions)
+    kept = common.stored(counts.filter((keeps("n0") > 0) | (keeps("n1") > 0)), "toxic-kept")
+    own = common.small_side(kept.filter("v = 0").select(F.col("w").alias("own")), 1 << 18)
     continued = counts.filter("v != 0").join(own, F.col("w") == F.col("own")).groupBy("w").count()
     table = kept.join(continued.withColumnRenamed("count", "kinds"), "w", "left").toArrow().to_pandas()
 
@@ -201,12 +191,12 @@ def _ratios(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def fit(counted: DataFrame, left_out: DataFrame, text: str = "text", label: str = "label", sure: float = SURE,
-        max_expressions: int = 1 << 18, curve_texts: int = CURVE_TEXTS) -> Model:
+        curve_texts: int = CURVE_TEXTS) -> Model:
     """Models of all rows of ``counted``, and the curve from about ``curve_texts`` rows of ``left_out``
     at most: an even share by the hash of their texts."""
     rows = lambda df: df.filter(F.col(label).isin(0, 1)).select(F.col(label).cast("int").alias("label"),
                                                                 F.col(text).alias("t"))
-    model = count(rows(counted), sure, max_expressions)
+    model = count(rows(counted), sure)
     sample = rows(left_out)
     n = sample.count()
     if n > curve_texts:  # an even share by hash, a little below the bound
