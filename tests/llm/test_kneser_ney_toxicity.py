@@ -1,10 +1,12 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from webtrail.llm import kneser_ney_toxicity as kn
+from webtrail.llm.spaced_seeds import words
 
 
 def corpus(n=1500, seed=1):
@@ -92,3 +94,30 @@ def test_a_rare_toxic_word_beside_many_frequent_pairs(spark):
     model = kn.count(spark.createDataFrame(rows, "label int, t string").repartition(4))
     assert len(model.word) + len(model.pair) > 1 << 18
     assert model.ratios([b"w3 scum"])[0, 0] > 1
+
+
+def test_all_folds_but_the_held_out_one_are_counted(spark, tmp_path, monkeypatch):
+    """The query's model has what only fold 4's texts hold, and nothing of fold 0's."""
+    from webtrail.llm import queries
+
+    rows = corpus(400)
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    rows = [(i, t + (f" only{fold(i)}" * 30 if y else ""), y) for i, t, y in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", "toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    models = []
+    plain = kn.score
+    monkeypatch.setattr(kn, "score", lambda docs, model, *a: models.append(model) or plain(docs, model, *a))
+    assert queries.op8_kneser_ney_toxicity(spark, str(tmp_path)).count() == 400
+    known = set(models[0].word.tolist())
+    assert [int(words([f"only{k}".encode()]).hashes[0]) in known for k in range(5)] == [False, True, True, True, True]
+    labelled = [r for r in rows if fold(r[0]) in (1, 2, 3, 4)]
+    whole = kn.count(spark.createDataFrame([(y, t) for _, t, y in labelled], "label int, t string"))
+    assert np.array_equal(models[0].word, whole.word) and np.allclose(models[0].pair_ratio, whole.pair_ratio)
+    left = [kn.count(spark.createDataFrame([(y, t) for i, t, y in labelled if fold(i) != k], "label int, t string"))
+            for k in (1, 2, 3, 4)]
+    x = np.array([left[fold(i) - 1].ratios([t.encode()])[0] for i, t, _ in labelled])
+    y = np.array([float(y) for _, _, y in labelled])
+    by = np.lexsort((y, x[:, 1], x[:, 0]))
+    assert np.allclose(models[0].curve, kn._fit_curve(x[by], y[by]), rtol=1e-4)

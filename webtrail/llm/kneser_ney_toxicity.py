@@ -8,7 +8,8 @@ share and says nothing about the class, and only expressions with enough evidenc
 
 A text is judged by two length-normalised log-likelihood ratios (toxic against ordinary, per word):
 that of its most toxic passage, down to one word in its context, and that of the whole text.  A
-logistic curve, fitted on labelled texts that the counts left out, makes them a score.
+logistic curve, fitted on labelled texts that the counts left out, makes them a score; by
+cross-fitting, each fold is judged by the counts of the others, and the model counts them all.
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased, held as 64-bit
 hashes.  Counts cover all labelled texts of the training folds; of them the model keeps all
@@ -22,12 +23,12 @@ Null and empty texts have both ratios 0 and get the curve's value there.  Rows w
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webtrail.llm import common
@@ -52,33 +53,44 @@ def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(v, w, n0, n1) of a task: bigrams, and words with v = 0."""
-    held: list[tuple] = []
+def _counter(kinds: int):
+    """For rows (kind below ``kinds``, t): a task's (v, w, c0, c1, ...), counts by kind of bigrams, and of words
+    with v = 0."""
 
     def merge(parts: list[tuple]) -> tuple[np.ndarray, ...]:
-        v, w, n0, n1 = (np.concatenate(x) for x in zip(*parts))
+        v, w, *n = (np.concatenate(x) for x in zip(*parts))
         by = np.lexsort((w, v))
-        v, w, n0, n1 = v[by], w[by], n0[by], n1[by]
+        v, w = v[by], w[by]
         if not len(v):
-            return v, w, n0, n1
+            return v, w, *n
         first = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])])
-        return v[first], w[first], np.add.reduceat(n0, first), np.add.reduceat(n1, first)
+        return v[first], w[first], *(np.add.reduceat(x[by], first, dtype=np.int32) for x in n)
 
-    for batch in batches:
-        labels, values = batch.column(0).to_numpy(), common.texts(batch.column(1))
-        for label in (0, 1):
-            own = [values[i] for i in np.flatnonzero(labels == label)]
-            for lo, hi in common.chunks(own, CHUNK):
-                found = words(own[lo:hi])
-                one = np.ones(len(found.hashes), dtype=np.int64)
-                n = (one * 0, one) if label else (one, one * 0)
-                part = merge([(_contexts(found), found.hashes, *n), (found.hashes * np.uint64(0), found.hashes, *n)])
-                held.append(part)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            kind, values = batch.column(0).to_numpy(), common.texts(batch.column(1))
+            for lo, hi in common.chunks(values, CHUNK):
+                found = words(values[lo:hi])
+                of = kind[lo:hi][found.text]
+                n = [(of == k).astype(np.int32) for k in range(kinds)]
+                held.append(merge([(_contexts(found), found.hashes, *n), (found.hashes * np.uint64(0), found.hashes, *n)]))
                 if len(held) > 8:
                     held = [merge(held)]
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in merge(held)], names=["v", "w", "n0", "n1"])
+        if held:
+            v, w, *n = merge(held)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (v.view(np.int64), w.view(np.int64), *n)],
+                                             names=["v", "w", *(f"c{k}" for k in range(kinds))])
+
+    return run
+
+
+def _counts(rows: DataFrame, kinds: int) -> DataFrame:
+    """Stored (v, w, c0, c1, ...) of all rows (kind, t)."""
+    names = [f"c{k}" for k in range(kinds)]
+    return common.stored(rows.select("kind", "t").mapInArrow(
+        _counter(kinds), "v long, w long, " + ", ".join(f"{c} int" for c in names)).groupBy("v", "w").agg(
+        *(F.sum(c).alias(c) for c in names)), "toxic-counts")
 
 
 @dataclass
@@ -129,9 +141,11 @@ def _kept(n: np.ndarray, sure: float) -> np.ndarray:
 
 def count(labelled: DataFrame, sure: float = SURE) -> Model:
     """The models' log-ratios from rows (label 0 or 1, t)."""
-    counts = common.stored(labelled.select("label", "t").mapInArrow(
-        _count, "v long, w long, n0 long, n1 long").groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")),
-        "toxic-counts")
+    return _model(_counts(labelled.withColumnRenamed("label", "kind"), 2).toDF("v", "w", "n0", "n1"), sure)
+
+
+def _model(counts: DataFrame, sure: float) -> Model:
+    """The models' log-ratios from (v, w, n0, n1)."""
     keeps = lambda c: F.greatest(F.col(c) - DISCOUNT - sure * F.sqrt(c), F.lit(0.0))
     totals = counts.agg(
         F.count_if(F.col("v") != 0).alias("kinds"),
@@ -190,20 +204,27 @@ def _ratios(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                                          names=["id", "passage", "whole"])
 
 
-def fit(counted: DataFrame, left_out: DataFrame, text: str = "text", label: str = "label", sure: float = SURE,
-        curve_texts: int = CURVE_TEXTS) -> Model:
-    """Models of all rows of ``counted``, and the curve from about ``curve_texts`` rows of ``left_out``
-    at most: an even share by the hash of their texts."""
-    rows = lambda df: df.filter(F.col(label).isin(0, 1)).select(F.col(label).cast("int").alias("label"),
-                                                                F.col(text).alias("t"))
-    model = count(rows(counted), sure)
-    sample = rows(left_out)
-    n = sample.count()
-    if n > curve_texts:  # an even share by hash, a little below the bound
-        sample = sample.filter(F.pmod(F.xxhash64("t", F.lit(8)), F.lit(1 << 20)) < int((1 << 20) * 0.9 * curve_texts / n))
-    found = sample.select(F.col("label").alias("id"), "t").mapInArrow(
+def _labelled(df: DataFrame, text: str, label: str, *more: Column) -> DataFrame:
+    return df.filter(F.col(label).isin(0, 1)).select(F.col(label).cast("int").alias("label"), F.col(text).alias("t"), *more)
+
+
+def _sample(rows: DataFrame, curve_texts: int) -> DataFrame:
+    """About ``curve_texts`` of the rows at most: an even share by the hash of their texts."""
+    n = rows.count()
+    if n <= curve_texts:
+        return rows
+    # a little below the bound
+    return rows.filter(F.pmod(F.xxhash64("t", F.lit(8)), F.lit(1 << 20)) < int((1 << 20) * 0.9 * curve_texts / n))
+
+
+def _judged(model: Model, rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(labels, ratios) of rows (label, t)."""
+    found = rows.select(F.col("label").alias("id"), "t").mapInArrow(
         lambda batches: _ratios(model, batches), "id int, passage double, whole double").toArrow()
-    y, x = found.column(0).to_numpy().astype(float), np.c_[found.column(1).to_numpy(), found.column(2).to_numpy()]
+    return found.column(0).to_numpy().astype(float), np.c_[found.column(1).to_numpy(), found.column(2).to_numpy()]
+
+
+def _with_curve(model: Model, y: np.ndarray, x: np.ndarray) -> Model:
     # in order of their values, so that sums, and so the curve, do not depend on how rows arrive
     by = np.lexsort((y, x[:, 1], x[:, 0]))
     model.prior = float(y.mean()) if len(y) else 0.0
@@ -212,6 +233,32 @@ def fit(counted: DataFrame, left_out: DataFrame, text: str = "text", label: str
     return model
 
 
+def fit(counted: DataFrame, left_out: DataFrame, text: str = "text", label: str = "label", sure: float = SURE,
+        curve_texts: int = CURVE_TEXTS) -> Model:
+    """Models of all rows of ``counted``, and the curve from about ``curve_texts`` rows of ``left_out``
+    at most: an even share by the hash of their texts."""
+    model = count(_labelled(counted, text, label), sure)
+    return _with_curve(model, *_judged(model, _sample(_labelled(left_out, text, label), curve_texts)))
+
+
+def cross_fit(labelled: DataFrame, fold: Column, folds: Sequence[int], text: str = "text", label: str = "label",
+              sure: float = SURE, curve_texts: int = CURVE_TEXTS) -> Model:
+    """Models of all rows of ``labelled`` in ``folds``.  The curve is from about ``curve_texts`` of them at
+    most, each judged by models of the other folds.  Texts are counted once, by fold and label."""
+    place = F.coalesce(*(F.when(fold == f, i) for i, f in enumerate(folds)))
+    rows = _labelled(labelled, text, label, place.alias("place")).filter("place is not null")
+    counts = _counts(rows.withColumn("kind", F.col("place") * 2 + F.col("label")), 2 * len(folds))
+
+    def model(left_out: int | None) -> Model:
+        own = [i for i in range(len(folds)) if i != left_out]
+        n = [sum((F.col(f"c{2 * i + k}") for i in own), F.lit(0)).alias(f"n{k}") for k in (0, 1)]
+        return _model(counts.select("v", "w", *n).filter("n0 + n1 > 0"), sure)
+
+    sample = _sample(rows, curve_texts)
+    judged = [_judged(model(i), sample.filter(F.col("place") == i)) for i in range(len(folds))]
+    return _with_curve(model(None), *(np.concatenate(x) for x in zip(*judged)))
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, score, passage, whole): one row for each row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
