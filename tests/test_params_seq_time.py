@@ -2,7 +2,8 @@
 
 import datetime as dt
 
-from pyspark.sql import Window
+import pytest
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from conftest import p
@@ -64,6 +65,20 @@ def test_global_sequence_equals_row_number_with_a_hot_timestamp(spark):
     assert j.count() == 3000 and j.filter("s_no != rn").count() == 0
 
 
+@pytest.mark.parametrize("asked,written", [(4, 19), (19, 4), (6, 1)])
+def test_global_sequence_when_the_stage_has_other_partitions_than_asked_for(spark, monkeypatch, asked, written):
+    plain = DataFrame.repartitionByRange
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda df, n, *by: plain(df, written, *by))
+    df = spark.range(1000).withColumn("ts", (F.col("id") * 7) % 101)
+    got = global_sequence(df, [F.col("ts"), F.col("id")], num_partitions=asked).orderBy("s_no").collect()
+    assert [r.s_no for r in got] == list(range(1, 1001))
+    assert [(r.ts, r.id) for r in got] == sorted((i * 7 % 101, i) for i in range(1000))
+
+
+def test_global_sequence_of_no_rows(spark):
+    assert global_sequence(spark.range(0), [F.col("id")]).collect() == []
+
+
 def _ntz(spark, pairs):
     return spark.createDataFrame([(dt.datetime.fromisoformat(a), dt.datetime.fromisoformat(b)) for a, b in pairs],
                                  "a timestamp_ntz, b timestamp_ntz")

@@ -8,9 +8,11 @@ An unpartitioned window moves every row into one task.  Instead:
 2. number rows inside each partition (``monotonically_increasing_id`` minus the
    partition's base, which is ``partition_id << 33``);
 3. stage the rows with partition id and local number as Parquet in the shared folder;
-4. count rows per partition from the staged id column - one number per partition,
-   bounded by the partition count, not by the data - and turn them into running offsets;
-5. add the offset of each row's partition as a literal array lookup.
+4. count the rows of each partition that was *written*, from the staged id column alone (a
+   constant per file, so a few bytes of it), and store running offsets - one row a partition,
+   bounded by the number of tasks, not by the data.  Nothing relies on the number of ranges
+   asked for: Spark may have run the stage with more or fewer;
+5. join each row's partition with its offset (a broadcast of 16 bytes a task).
 
 Range bounds are sampled from the input, so two evaluations of step 1 can disagree when
 the upstream partitioning differs.  The ids are therefore stored values: every branch
@@ -27,13 +29,14 @@ import contextlib
 import uuid
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webtrail.session import shared_dir
 
 _PID = "__seq_pid"
 _LOCAL = "__seq_local"
+_OFFSET = "__seq_offset"
 #: Bytes of input (as Spark knows them from its files) a range is meant to hold, and the most ranges.
 RANGE_BYTES, MAX_RANGES = 128 << 20, 50_000
 
@@ -81,12 +84,12 @@ def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no"
     local = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     path = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
-    local.write.parquet(path)
-    staged = spark.read.schema(local.schema).parquet(path)
-    counts = dict(staged.groupBy(_PID).count().collect())
-    offsets, run = [], 0
-    for pid in range(n):
-        offsets.append(run)
-        run += counts.get(pid, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
-    return staged.withColumn(out, off + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL)
+    local.write.parquet(f"{path}/rows")
+    staged = spark.read.schema(local.schema).parquet(f"{path}/rows")
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select(_PID, F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias(_OFFSET))
+    offsets.write.parquet(f"{path}/offsets")
+    offsets = spark.read.schema(offsets.schema).parquet(f"{path}/offsets")
+    return (staged.join(F.broadcast(offsets), _PID)
+            .withColumn(out, F.col(_OFFSET) + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL, _OFFSET))
