@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webtrail.llm import (common, embedding_neardup, kneser_ney_toxicity, license_scan, mixture, orc_tokens, ppm_language,
-                          secret_scan, simhash_neardup, spaced_seeds, suffix_dedup)
+from webtrail.llm import (common, embedding_neardup, importance_resampling, kneser_ney_toxicity, license_scan, mixture,
+                          orc_tokens, ppm_language, secret_scan, simhash_neardup, spaced_seeds, suffix_dedup, trie_dedup)
 from webtrail.llm.license_sql import LICENSE_SQL
 
 #: The id that ends a document in token files.
@@ -87,9 +87,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"), label)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_trie_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_dedup.owners(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_entropy_mixture, op2_orc_tokens, op3_spaced_seeds, op4_suffix_dedup, op5_embedding_neardup, op6_license_scan,
-    op7_ppm_language, op8_kneser_ney_toxicity, op9_simhash_neardup, op10_secret_scan)}
+    op7_ppm_language, op8_kneser_ney_toxicity, op9_simhash_neardup, op10_secret_scan,
+    op12_importance_resampling, op13_trie_dedup)}
+
+OWNERS_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS words FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY words) AS keep_id, count(*) OVER (PARTITION BY words) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY words) AS kept, sha256(words) AS text_sha256
+FROM texts
+"""
 
 #: What SQL can express; the others are held against plain versions in tests/llm.
-ORACLE: dict[str, str] = {"op6_license_scan": LICENSE_SQL}
+ORACLE: dict[str, str] = {"op6_license_scan": LICENSE_SQL, "op13_trie_dedup": OWNERS_SQL}
