@@ -7,6 +7,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from webtrail.llm import importance_resampling as ir
+from webtrail.llm.queries import QUERIES
 
 
 def plain(rows, target, percent=5, least=20):
@@ -55,6 +56,14 @@ def test_draw_equals_the_plain_version(spark):
     assert got == want and sum(r[4] is not None for r in want) >= 10
 
 
+def test_registered_query_equals_the_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    target = [r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    got = QUERIES["op12_importance_resampling"](spark, folder)
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows, target)
+
+
 def test_pieces_give_the_features_of_the_whole_text():
     rnd = random.Random(2)
     for _ in range(200):

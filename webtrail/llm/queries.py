@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webtrail.llm import (common, embedding_neardup, importance_resampling, kneser_ney_toxicity, license_scan, mixture,
-                          orc_tokens, ppm_language, secret_scan, simhash_neardup, spaced_seeds, suffix_dedup, trie_dedup)
+from webtrail.llm import (common, conversation_repair, embedding_neardup, importance_resampling, kneser_ney_toxicity,
+                          license_scan, mixture, orc_tokens, ppm_language, secret_scan, simhash_neardup, spaced_seeds,
+                          suffix_dedup, trie_dedup)
 from webtrail.llm.license_sql import LICENSE_SQL
 
 #: The id that ends a document in token files.
@@ -87,6 +88,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"), label)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    found = conversation_repair.report(rows.select(F.col("conv_id").alias("conv")), conversation_repair.damage(rows))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -98,7 +105,7 @@ def op13_trie_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_entropy_mixture, op2_orc_tokens, op3_spaced_seeds, op4_suffix_dedup, op5_embedding_neardup, op6_license_scan,
     op7_ppm_language, op8_kneser_ney_toxicity, op9_simhash_neardup, op10_secret_scan,
-    op12_importance_resampling, op13_trie_dedup)}
+    op11_conversation_repair, op12_importance_resampling, op13_trie_dedup)}
 
 OWNERS_SQL = r"""
 WITH texts AS (
