@@ -90,6 +90,7 @@ def cols(*names) -> str:
 register("events_wide", [EV], "SELECT * FROM ev", EVENTS_COLUMNS)
 register("purchases", [PU], "SELECT * FROM pu", PURCHASES_COLUMNS)
 register("new_users", [EV, PU, NU], "SELECT * FROM nu", ["event_date", "unique_user_id"])
+register("new_users_stored_days", [EV, PU, NU], "SELECT * FROM nu", ["event_date", "unique_user_id"])
 register("sessions_full", SES_ALL, "SELECT * FROM se", SESSIONS_COLUMNS, decimals=SES_DEC)
 register("sessions_hot_split", SES_ALL, "SELECT * FROM se", SESSIONS_COLUMNS, decimals=SES_DEC)
 register("items_union", [IT], "SELECT * FROM it", ITEMS_COLUMNS, decimals=ITEM_DEC)
@@ -219,6 +220,7 @@ register("first_last_touch", SES_ALL, f"SELECT {cols(*SES_KEYS, *FL)} FROM se",
 FINAL = SES_KEYS + ["session_start_timestamp", "last_event_s_no", "user_id", "user_pseudo_id", "ga_session_id",
                     "engagement_time_msec"] + COUNTERS + ["orders"] + MONEY_SUMS
 register("session_final", SES_ALL, f"SELECT {cols(*FINAL)} FROM se_final", FINAL, decimals=SES_DEC)
+register("high_water_mark_listing", [EVD], f"SELECT {EV_MARK} AS high_water_mark", ["high_water_mark"])
 register("high_water_mark", [EVD], f"SELECT {EV_MARK} AS high_water_mark", ["high_water_mark"])
 PIVOT = ["s_no", "ga_session_id"] + EVENT_PARAM_KEYS
 register("pivot_params", [EV], f"SELECT {cols(*PIVOT)} FROM ev", PIVOT)
@@ -307,9 +309,13 @@ register("schema_sync", [R1],
          "FROM r1", ["event_date", "s_no", "page_title", "label", "currency"])
 register("intraday_stream", [EVD, EVI], "SELECT * FROM evi", EVENTS_COLUMNS)
 TWO_DAYS = M.events_ctes("r0", "raw_two")
+FIRST_DAY = "(SELECT coalesce(max(event_date), DATE '1900-01-01') FROM r0 WHERE event_date < (SELECT max(event_date) FROM r0))"
+LATER_DAYS = M.events_ctes("r3", "raw", FIRST_DAY)
 register("incremental_one_day",
-         [["raw_two AS (SELECT * FROM raw WHERE event_date <= (SELECT min(event_date) + 1 FROM raw))"], TWO_DAYS],
-         "SELECT * FROM r0", EVENTS_COLUMNS)
+         [["raw_two AS (SELECT * FROM raw WHERE event_date <= (SELECT min(event_date) + 1 FROM raw))"], TWO_DAYS, LATER_DAYS],
+         f"SELECT * FROM r0 WHERE event_date <= {FIRST_DAY} UNION ALL SELECT * FROM r3", EVENTS_COLUMNS)
 register("purchases_stream", [PUD, PUI], "SELECT * FROM pui", PURCHASES_COLUMNS)
 register("items_stream", [ITD, ITI], "SELECT * FROM iti", ITEMS_COLUMNS, decimals=ITEM_DEC)
 register("sessions_stream", INTRA + [NUI, SEI], "SELECT * FROM sei", SESSIONS_COLUMNS, decimals=SES_DEC)
+SES_DAYS = [c for c in SESSIONS_COLUMNS if c != "last_event_s_no"]
+register("sessions_stream_days", INTRA + [NUI, SEI], f"SELECT {cols(*SES_DAYS)} FROM sei", SES_DAYS, decimals=SES_DEC)

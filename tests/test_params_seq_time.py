@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from conftest import p
-from webtrail.functions.params import PARAMS_DDL, explode_params, has_params, param, parse_params_json
+from webtrail.functions.params import PARAMS_DDL, explode_params, has_params, param, parse_params_json, widen_params
 from webtrail.functions.timeops import millisecond_boundaries, minute_boundaries, to_local
 from webtrail.operators.sequence import global_sequence
 from pyspark.sql import types as T
@@ -49,6 +49,16 @@ def test_widening_equals_explode_and_pivot(spark):
     assert sorted(fast.collect()) == sorted(slow.select("id", "a", "b").collect())
 
 
+def test_one_pass_widening_equals_the_expression_per_key(spark):
+    rows = [[p("a", "9"), p("a", "10"), p("b", int_="3")], [p("a", None), p("a", " x ")], [p(None, "lost"), p("", "y"), p("b", "z")],
+            [p("c", None)], [], None, [p("b", "1"), p("b", None), p("b", "1"), p("a", double="1.5")]]
+    df = _params_df(spark, rows)
+    keys = ["a", "b", "c"]
+    got = widen_params(df, "params", keys).select("id", *[f"__p_{k}" for k in keys]).collect()
+    want = df.select("id", *[param("params", k) for k in keys]).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_parse_params_json_keeps_integer_digits(spark):
     df = spark.createDataFrame([('[{"key":"n","value":{"int_value":1700000000}}]',)], "t string")
     got = df.select(F.explode(parse_params_json("t")).alias("x")).select(F.col("x.value.int_value")).first()[0]

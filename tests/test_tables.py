@@ -252,3 +252,17 @@ def test_a_hot_product_and_colour_are_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_sessions_are_found_and_built_like_the_others(spark):
+    from webtrail.plans.common import number_batch
+    from webtrail.plans.sessions import RAW_COLUMNS, hot_sessions
+    rows = [("2024-01-01 %02d:%02d:00" % (8 + i // 50, i % 50), "page_view", {"sid": "1"}) for i in range(120)]
+    ev = _session_rows(spark, rows)
+    numbered = number_batch(ev.select(*RAW_COLUMNS))
+    assert hot_sessions(numbered, 1000) is None
+    assert hot_sessions(numbered, 100).count() == 1
+    nu = spark.createDataFrame([], "event_date date, unique_user_id string")
+    args = (ev, orders(spark, []), nu, DAILY)
+    cold, hot = (sorted(map(repr, build_sessions(*args, hot_rows=n).collect())) for n in (1000, 100))
+    assert cold == hot and len(cold) >= 1

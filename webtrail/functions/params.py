@@ -1,10 +1,9 @@
 """Key/value parameter arrays: typed-value coalesce, widening to columns, JSON parsing.
 
 A parameter array is ``ARRAY<STRUCT<key, value: STRUCT<string_value, int_value,
-double_value, float_value>>>``.  Widening one key to a column is a pure
-expression over the array (``filter`` + ``transform`` + ``array_max``), so the
-"pivot with max on duplicate keys" needs no explode and no shuffle: each event
-row stays where it is.
+double_value, float_value>>>``.  Widening keys to columns is a pure expression over
+the array, so the "pivot with max on duplicate keys" needs no explode and no shuffle:
+each event row stays where it is.
 """
 
 from __future__ import annotations
@@ -51,11 +50,22 @@ def has_params(params: Column | str) -> Column:
     return F.size(arr) > 0
 
 
-def widen_params(df: DataFrame, params: str, keys: Iterable[str], trim_values: bool = False,
-                 prefix: str = "p_") -> DataFrame:
-    """Add one column per key (``prefix + key``) and drop rows whose array is empty or null."""
-    cols = {prefix + k: param(params, k, trim_values) for k in keys}
-    return df.filter(has_params(params)).withColumns(cols)
+def widen_params(df: DataFrame, params: str, keys: Iterable[str], prefix: str = "__p_") -> DataFrame:
+    """Add one column per key (``prefix + key``), each as :func:`param` gives it.
+
+    The array is read once: it becomes a map of key to value, and a key is looked up in
+    generated code.  Only an array that repeats a key is sorted, so that each key's last value is its
+    maximum.  For a few keys :func:`param` is faster."""
+    pairs, keys_col, repeats = "__pairs", F.col("__pairs")["key"], F.col("__repeats")
+    entry = lambda p: F.struct(F.coalesce(p["key"], F.lit("")).alias("key"),
+                               F.when(p["key"].isNotNull(), param_value(p)).alias("value"))
+    out = df.withColumn(pairs, F.transform(params, entry))
+    out = out.withColumn("__repeats", F.size(F.array_distinct(keys_col)) < F.size(pairs))
+    out = out.withColumn(pairs, F.when(repeats, F.array_sort(pairs)).otherwise(F.col(pairs)))
+    last = F.filter(pairs, lambda p, i: ~F.coalesce(F.get(F.col(pairs), i + 1)["key"] == p["key"], F.lit(False)))
+    out = out.withColumn("__map", F.map_from_entries(F.when(repeats, last).otherwise(F.col(pairs))))
+    return out.withColumns({prefix + k: F.try_element_at("__map", F.lit(k)) for k in keys}).drop(
+        pairs, "__repeats", "__map")
 
 
 def explode_params(df: DataFrame, params: str, key_col: str = "param_key", value_col: str = "param_value",

@@ -27,12 +27,21 @@ def first_visit_users(events: DataFrame, mark) -> DataFrame:
             .select("event_date", "unique_user_id").distinct())
 
 
+def user_days(events: DataFrame) -> DataFrame:
+    """Distinct (event_date, user) with at least one named event (``count(event_name) > 0``): what a run
+    stores of its days, so that later look-backs need not read their events again."""
+    return (events.filter(F.col("event_name").isNotNull() & F.col("unique_user_id").isNotNull())
+            .select("event_date", "unique_user_id").distinct())
+
+
+def _in_reach(days: DataFrame, mark) -> DataFrame:
+    """The days that a look-back from past ``mark`` can reach: a static bound on the scanned partitions."""
+    return days.filter(F.col("event_date") > F.date_sub(F.lit(mark), LOOKBACK_DAYS))
+
+
 def active_days(events: DataFrame, mark) -> DataFrame:
-    """Distinct (user, day) with at least one named event (``count(event_name) > 0``) on the days
-    that a look-back from past ``mark`` can reach: a static bound on the scanned day partitions."""
-    return (events.filter((F.col("event_date") > F.date_sub(F.lit(mark), LOOKBACK_DAYS))
-                          & F.col("event_name").isNotNull() & F.col("unique_user_id").isNotNull())
-            .select("unique_user_id", F.col("event_date").alias("active_date")).distinct())
+    """(user, active day) of the events in reach."""
+    return user_days(_in_reach(events, mark)).select("unique_user_id", F.col("event_date").alias("active_date"))
 
 
 def users_with_lookback_activity(fv: DataFrame, activity: DataFrame) -> DataFrame:
@@ -50,18 +59,21 @@ def returning_buyers(purchases: DataFrame, customer_types: DataFrame, mark) -> D
 
 
 def new_users(first_visit_events: DataFrame, activity_events: Sequence[DataFrame], purchases: DataFrame,
-              customer_types: DataFrame, mark, keep_null_user: bool = True) -> DataFrame:
+              customer_types: DataFrame, mark, keep_null_user: bool = True,
+              stored_activity: Sequence[DataFrame] = ()) -> DataFrame:
     """(event_date, unique_user_id) of new users for days past ``mark``.
 
     ``activity_events`` lists every events table whose look-back activity
-    disqualifies a user (the daily table; intraday adds the provisional one).
+    disqualifies a user (the daily table; intraday adds the provisional one);
+    ``stored_activity`` lists tables of :func:`user_days` that stand in for events.
     A null user never matches any activity: the daily rule keeps it (no activity
     found), the intraday rule drops it (no count to compare with zero).
     """
     fv = first_visit_users(first_visit_events, mark)
     if not keep_null_user:
         fv = fv.filter(F.col("unique_user_id").isNotNull())
-    activity = reduce(lambda a, b: a.unionByName(b), [active_days(e, mark) for e in activity_events]).distinct()
+    stored = [_in_reach(a, mark).select("unique_user_id", F.col("event_date").alias("active_date")) for a in stored_activity]
+    activity = reduce(lambda a, b: a.unionByName(b), [active_days(e, mark) for e in activity_events] + stored)
     seen = users_with_lookback_activity(fv, activity)
     out = fv.join(seen, ["unique_user_id", "event_date"], "left_anti")
     out = out.join(returning_buyers(purchases, customer_types, mark), ["unique_user_id", "event_date"], "left_anti")

@@ -27,9 +27,20 @@ def batch_order_ids(raw_batch: DataFrame, purchase_only: bool = False) -> DataFr
     return ids.filter(F.col("shopify_order_id").isNotNull()).distinct()
 
 
-def orders_in_batch(orders: DataFrame, ids: DataFrame) -> DataFrame:
-    """Order lines of kept orders (US sales) whose id appears in ``ids`` (left semi join)."""
+def id_bounds(ids: DataFrame) -> tuple[str | None, str | None]:
+    """Least and greatest id of the batch (one row is collected); read from stored ids."""
+    return tuple(ids.agg(F.min("shopify_order_id"), F.max("shopify_order_id")).first())
+
+
+def orders_in_batch(orders: DataFrame, ids: DataFrame, bounds: tuple[str | None, str | None] | None = None) -> DataFrame:
+    """Order lines of kept orders (US sales) whose id appears in ``ids`` (left semi join).
+
+    ``bounds`` of the ids become filters of the scan: ids grow with time, so the row groups of
+    orders long before the batch are skipped by their statistics instead of read and joined."""
     kept = orders.filter((F.col("sale_kind") == SALE_KIND_ORDER) & (F.col("country") == COUNTRY))
+    if bounds is not None:
+        low, high = bounds
+        kept = kept.filter(F.lit(False) if low is None else F.col("shopify_order_id").between(low, high))
     return kept.join(ids, "shopify_order_id", "left_semi")
 
 

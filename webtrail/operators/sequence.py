@@ -72,6 +72,13 @@ def staging(spark: SparkSession):
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder of the run in progress and read back."""
+    spark, path = df.sparkSession, f"{staged_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no",
                     num_partitions: int | None = None) -> DataFrame:
     """Append ``out`` = 1-based position of each row in ``order_by`` order.
@@ -79,17 +86,12 @@ def global_sequence(df: DataFrame, order_by: Sequence[Column], out: str = "s_no"
     ``order_by`` must be a total order for a deterministic result (add a
     tie-break column); ties get distinct, arbitrary numbers otherwise.
     """
-    spark, n = df.sparkSession, num_partitions or _num_ranges(df)
-    ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    ranged = df.repartitionByRange(num_partitions or _num_ranges(df), *order_by).sortWithinPartitions(*order_by)
     local = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    path = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
-    local.write.parquet(f"{path}/rows")
-    staged = spark.read.schema(local.schema).parquet(f"{path}/rows")
+    rows = staged(local)
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"))
     offsets = counts.select(_PID, F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias(_OFFSET))
-    offsets.write.parquet(f"{path}/offsets")
-    offsets = spark.read.schema(offsets.schema).parquet(f"{path}/offsets")
-    return (staged.join(F.broadcast(offsets), _PID)
+    return (rows.join(F.broadcast(staged(offsets)), _PID)
             .withColumn(out, F.col(_OFFSET) + F.col(_LOCAL) + F.lit(1)).drop(_PID, _LOCAL, _OFFSET))

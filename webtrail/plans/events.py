@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webtrail.functions.params import has_params, param
+from webtrail.functions.params import has_params, widen_params
 from webtrail.functions.scalars import unique_session_id, unique_user_id
 from webtrail.plans.common import (acquisition_channel, attach_order_money, batch_money, local_times,
                                    normalized_traffic, number_batch, session_channel, shopify_order_id,
@@ -53,16 +53,12 @@ def build_events(raw_batch: DataFrame, orders: DataFrame, opts: FeedOptions = Fe
     """Events table for the days in ``raw_batch`` (already cut at the watermark)."""
     ev = cleaned_events(raw_batch, orders, opts, numbered).filter(has_params("event_params"))
     # params: max over duplicates first, trim after
-    sid_raw = param("event_params", "ga_session_id")
-    widened = ev.withColumns({
-        "__sid_raw": sid_raw,
-        **{f"__p_{k}": param("event_params", k) for k in EVENT_PARAM_KEYS},
-    })
+    widened = widen_params(ev, "event_params", dict.fromkeys(["ga_session_id", *EVENT_PARAM_KEYS]))
     out = widened.withColumns({
         "hourofday": F.hour("event_timestamp"),
         "unique_user_id": unique_user_id("user_pseudo_id", "user_id"),
-        "ga_session_id": F.trim("__sid_raw"),
-        "unique_session_id": unique_session_id("__sid_raw", "user_pseudo_id", "user_id"),
+        "ga_session_id": F.trim("__p_ga_session_id"),
+        "unique_session_id": unique_session_id("__p_ga_session_id", "user_pseudo_id", "user_id"),
         **{k: F.trim(f"__p_{k}") for k in EVENT_PARAM_KEYS},
         **normalized_traffic(),
     })

@@ -77,13 +77,26 @@ def item_events(raw_batch: DataFrame, opts: FeedOptions, numbered: DataFrame | N
     }).select(*EVENT_COLUMNS, "items")
 
 
+def unique_products(dim: DataFrame) -> DataFrame:
+    """The dimension, which must hold each ``externalid`` once: a repeated one would double items and
+    money, so the run that reads it fails and names it.  The check shuffles the dimension on the key
+    that the join uses anyway."""
+    values = [c for c in dim.columns if c != "externalid"]
+    found = dim.filter(F.col("externalid").isNotNull()).groupBy("externalid").agg(
+        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*values)).alias("__v"))
+    message = F.concat(F.lit("product dimension: externalid "), F.col("externalid"), F.lit(" is not unique"))
+    key = F.when(F.col("__n") == 1, F.col("externalid")).otherwise(F.raise_error(message).cast("string"))
+    return found.select(key.alias("externalid"), "__v.*")
+
+
 def _product(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Left join of the product dimension on trim(item_id) (J8) and the gender rule.
 
     Items without an id get keys of their own that match nothing, so they spread over
     the tasks; a best seller's rows are split by AQE (a left join may split its left
     side).  Whether the dimension is broadcast is left to Spark's size estimate."""
-    d = dim.select("externalid", *DIM_COLUMNS, F.col("gender").alias("__dim_gender"), "strategic_business_unit")
+    d = unique_products(dim).select("externalid", *DIM_COLUMNS, F.col("gender").alias("__dim_gender"),
+                                    "strategic_business_unit")
     key = salted_key(F.trim("__item_id_raw"), F.xxhash64("s_no", "__item_name_raw"))
     j = df.withColumn("__product_key", key).join(d, F.col("__product_key") == d["externalid"], "left").drop("__product_key")
     return j.withColumn("gender", product_gender(F.col("externalid"), F.col("__item_name_raw"), F.col("__dim_gender")))

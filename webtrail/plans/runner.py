@@ -4,26 +4,30 @@ Daily run (per table: I2 drop newest day, I1 mark, build, I5 sync, I4 write):
 the events, items and sessions tables number the *same* batch the same way, so
 when their marks agree the batch is range-sorted and staged once and
 shared (one shuffle of the batch instead of three).  All four tables need the order
-lines of the batch: they are cut from the order fact once and stored for the run.
+lines of the batch: they are cut from the order fact once (its scan is bounded by the least and
+greatest id of the batch) and stored for the run.
 Sessions are built last: their new-user test reads the events and purchases tables
-just written.  What the run has staged is deleted once all tables are written.
+just written.  If ``Tables.activity`` is set, the run also keeps (day, user) rows of its events
+there, and the 31-day look-back reads them instead of the events.  What the run has staged is
+deleted once all tables are written.
 
 Intraday run: each tail table is built from the provisional feed past the
 newest day of its daily twin (the sessions tail uses the daily sessions mark)
-and fully overwritten (S6).
+and fully overwritten (S6), or only some of its days are rebuilt.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webtrail.operators.new_users import new_users
-from webtrail.operators.orders import batch_order_ids, orders_in_batch
-from webtrail.operators.sequence import staging
+from webtrail.operators.new_users import new_users, user_days
+from webtrail.operators.orders import batch_order_ids, id_bounds, orders_in_batch
+from webtrail.operators.sequence import staged, staging
 from webtrail.plans import events as ev_plan
 from webtrail.plans import items as it_plan
 from webtrail.plans import sessions as se_plan
@@ -35,6 +39,8 @@ from webtrail.plans.sessions import build_sessions
 from webtrail.schema import DAILY, INTRADAY, FeedOptions
 from webtrail.sources import incremental as inc
 
+#: Later than any day.
+NO_DAY = dt.date(9999, 12, 31)
 SHARED_COLUMNS = list(dict.fromkeys(ev_plan.RAW_COLUMNS + it_plan.RAW_COLUMNS + se_plan.RAW_COLUMNS))
 
 
@@ -46,6 +52,8 @@ class Tables:
     purchases: str
     items: str
     sessions: str
+    #: Kept activity days, not one of the four tables.
+    activity: str | None = None
 
     def as_dict(self) -> dict[str, str]:
         return {"events": self.events, "purchases": self.purchases, "items": self.items, "sessions": self.sessions}
@@ -60,6 +68,20 @@ def _write(spark: SparkSession, df: DataFrame, path: str) -> None:
     inc.write_days(df, path)
 
 
+def keep_activity(spark: SparkSession, events: DataFrame, path: str, mark: dt.date) -> None:
+    """Bring the stored activity days up to the events table, whose days past ``mark`` were just rebuilt:
+    those days are dropped first, then every day past the last kept one is added."""
+    inc.drop_days(spark, path, [d for d in inc.stored_days(spark, path) if d > mark])
+    _write(spark, user_days(_after(events, inc.high_water_mark(spark, path))), path)
+
+
+def _activity(spark: SparkSession, tables: Tables) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Where the daily look-back finds active days: (events tables, stored activity tables)."""
+    if tables.activity and inc.table_exists(spark, tables.activity):
+        return [], [inc.read_table(spark, tables.activity)]
+    return [inc.read_table(spark, tables.events)], []
+
+
 def run_daily_tables(spark: SparkSession, feed: DataFrame, orders: DataFrame, customer_types: DataFrame,
                      products: DataFrame, tables: Tables, opts: FeedOptions = DAILY) -> dict[str, dt.date]:
     """One daily run of events, purchases, items and sessions; returns each table's mark."""
@@ -67,12 +89,10 @@ def run_daily_tables(spark: SparkSession, feed: DataFrame, orders: DataFrame, cu
     for p in paths.values():
         inc.drop_latest_day(spark, p)
     marks = {k: inc.high_water_mark(spark, p) for k, p in paths.items()}
-    with staging(spark) as staged:
+    with staging(spark):
         oldest = _after(feed, min(marks.values()))
-        lines_path = f"{staged}/order-lines"
-        lines = orders_in_batch(orders, batch_order_ids(oldest))
-        lines.write.parquet(lines_path)
-        orders = spark.read.schema(lines.schema).parquet(lines_path)
+        ids = staged(batch_order_ids(oldest))
+        orders = staged(orders_in_batch(orders, ids, id_bounds(ids)))
         shared = None
         if marks["events"] == marks["items"] == marks["sessions"]:
             shared = number_batch(_after(feed, marks["events"]).select(*SHARED_COLUMNS))
@@ -83,29 +103,52 @@ def run_daily_tables(spark: SparkSession, feed: DataFrame, orders: DataFrame, cu
 
         stored_events = inc.read_table(spark, tables.events)
         stored_purchases = inc.read_table(spark, tables.purchases)
-        nu = new_users(stored_events, [stored_events], stored_purchases, customer_types, marks["sessions"])
+        if tables.activity:
+            keep_activity(spark, stored_events, tables.activity, marks["events"])
+        events, stored = _activity(spark, tables)
+        nu = new_users(stored_events, events, stored_purchases, customer_types, marks["sessions"], stored_activity=stored)
         _write(spark, build_sessions(_after(feed, marks["sessions"]), orders, nu, opts, shared), tables.sessions)
         return marks
 
 
 def run_intraday_tables(spark: SparkSession, feed: DataFrame, orders: DataFrame, customer_types: DataFrame,
-                        products: DataFrame, daily: Tables, tail: Tables, opts: FeedOptions = INTRADAY
-                        ) -> dict[str, dt.date]:
-    """Rebuild the four tail tables from the provisional feed (full overwrite)."""
+                        products: DataFrame, daily: Tables, tail: Tables, opts: FeedOptions = INTRADAY,
+                        days: Collection[dt.date] | None = None) -> dict[str, dt.date]:
+    """Rebuild the four tail tables from the provisional feed (full overwrite).
+
+    With ``days``, only those days are rebuilt, and in the sessions table also every later day, as a
+    user seen on one day is not new on the next 31; the files of other days stay as they are.  Days
+    that the daily table holds by now are dropped.  As in a daily run, ``s_no`` numbers the rows that
+    are built together."""
     marks = {k: inc.high_water_mark(spark, p) for k, p in daily.as_dict().items()}
+
+    def part(name: str) -> DataFrame:
+        rows = _after(feed, marks[name])
+        if days is None:
+            return rows
+        first = min(days, default=NO_DAY)
+        return rows.filter(F.col("event_date") >= F.lit(first) if name == "sessions" else F.col("event_date").isin(*days))
+
+    def put(name: str, df: DataFrame) -> None:
+        path = tail.as_dict()[name]
+        if days is None:
+            inc.overwrite_table(df, path)
+            return
+        _write(spark, df, path)
+        inc.drop_days(spark, path, [d for d in inc.stored_days(spark, path) if d <= marks[name]])
+
     with staging(spark):
-        ev = build_events(_after(feed, marks["events"]), orders, opts)
-        pu = build_purchases(_after(feed, marks["purchases"]), orders, opts)
-        inc.overwrite_table(ev, tail.events)
-        inc.overwrite_table(pu, tail.purchases)
-        inc.overwrite_table(build_items(_after(feed, marks["items"]), orders, products, opts), tail.items)
-        stored_daily = inc.read_table(spark, daily.events)
+        put("events", build_events(part("events"), orders, opts))
+        put("purchases", build_purchases(part("purchases"), orders, opts))
+        put("items", build_items(part("items"), orders, products, opts))
         tail_events = inc.read_table(spark, tail.events)
-        nu = new_users(tail_events, [stored_daily, tail_events], inc.read_table(spark, tail.purchases), customer_types,
-                       marks["sessions"], keep_null_user=False)
-        inc.overwrite_table(build_sessions(_after(feed, marks["sessions"]), orders, nu, opts), tail.sessions)
+        events, stored = _activity(spark, daily)
+        nu = new_users(tail_events, [*events, tail_events], inc.read_table(spark, tail.purchases), customer_types,
+                       marks["sessions"], keep_null_user=False, stored_activity=stored)
+        put("sessions", build_sessions(part("sessions"), orders, nu, opts))
         return marks
 
 
-def scratch_tables(spark: SparkSession, prefix: str) -> Tables:
-    return Tables(*[inc.scratch_target(spark, f"{prefix}-{n}") for n in ("events", "purchases", "items", "sessions")])
+def scratch_tables(spark: SparkSession, prefix: str, activity: bool = False) -> Tables:
+    names = ("events", "purchases", "items", "sessions", *(["activity"] if activity else []))
+    return Tables(*[inc.scratch_target(spark, f"{prefix}-{n}") for n in names])

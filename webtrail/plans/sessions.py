@@ -12,10 +12,15 @@
    windows and no join back to the events are needed;
 5. engagement flag, visitor flag and the four channel groupings.
 
-Shuffles: the combination rollup is partly aggregated before it shuffles on its keys;
-one shuffle on (group, minute) serves the gap and the running sum, and only one row a
-minute is shuffled to carry them through a group; the session rollup is partly
-aggregated again.  A group of any size is spread over its minutes.
+Shuffles: the events are dealt once by (day, session), and the combinations with their distinct
+orders, the gaps, the index, the session rollup and the engagement totals all reuse that (any
+key that holds day and session is clustered by it).  Few events share all 33 keys, so a partial
+aggregate in front of a shuffle on them saves next to nothing (README has the times).
+
+One (day, session) may hold a large share of all rows: events without any id, a bot.  Such
+sessions are found beforehand by a narrow count and take the other path: partial aggregates, and
+windows on (group, minute) with one row a minute carried through the group.  Both paths are
+exact; the count only decides where a session is built.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from webtrail.functions.params import has_params, param
 from webtrail.functions.scalars import unique_session_id, unique_user_id
 from webtrail.functions.timeops import add_millis, millisecond_boundaries, minute_boundaries
 from webtrail.operators.joins import left_join_salted
+from webtrail.operators.sequence import staged
 from webtrail.plans.common import (acquisition_channel, attach_order_money, batch_money, local_times,
                                    normalized_traffic, number_batch, session_channel, shopify_order_id,
                                    traffic_clean, typed_feed)
@@ -37,6 +43,8 @@ from webtrail.schema import (ACQ_CHANNEL, CT, DEVICE_GEO, GCLID, LC, SES_CHANNEL
 SESSION_GAP_MINUTES = 30
 ENGAGED_MIN_PAGE_VIEWS = 1
 ENGAGED_MIN_MSEC = 10_000
+#: Events of one (day, session) from which it is spread over several tasks.
+HOT_ROWS = 200_000
 NEW, RETURNING = "NEW", "RETURNING"
 
 TRAFFIC_IN = (TS_TRAFFIC + [CT + c for c in ("source", "medium", "campaign_id", "campaign_name", "source_platform")]
@@ -169,6 +177,14 @@ def session_index(combos: DataFrame) -> DataFrame:
         *[c for c in rows.columns if c.startswith("__")])
 
 
+def session_index_together(combos: DataFrame) -> DataFrame:
+    """:func:`session_index` where no group is large: windows over whole groups."""
+    w = Window.partitionBy(*GROUP).orderBy("event_timestamp", "s_no")
+    start = _starts(F.lag("event_timestamp").over(w), F.col("event_timestamp"))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return combos.withColumn("__start", start).withColumn("session_index", F.sum("__start").over(run)).drop("__start")
+
+
 def session_rollup(indexed: DataFrame) -> DataFrame:
     """Step 4: one row per session with first/last attributes, sums and the end event.
 
@@ -206,20 +222,57 @@ def engaged_flag() -> Column:
     return F.when(F.coalesce(cond, F.lit(False)), 1).otherwise(0)
 
 
+def hot_sessions(numbered: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Stored (event_date, unique_session_id) of sessions with more than ``hot_rows`` events, None if there
+    are none.  A session's events are one visitor's, so a count by visitor over every 16th row of three
+    narrow columns comes first; params are read for the rows of large visitors alone, mostly none."""
+    every = max(1, min(16, hot_rows // 1000))
+    pseudo, user = F.trim(F.col("user_pseudo_id").cast("string")), F.trim("user_id")
+    rows = numbered.withColumn("__visitor", F.struct("event_date", unique_user_id(pseudo, user).alias("user")))
+    visitors = (rows.filter(F.col("s_no") % every == 0).groupBy("__visitor").count()
+                .filter(F.col("count") * every > hot_rows // 2).select("__visitor"))
+    visitors = staged(visitors)
+    if visitors.isEmpty():
+        return None
+    # at most one row for each hot_rows / 2 events
+    rows = rows.join(F.broadcast(visitors), "__visitor", "left_semi")
+    session = unique_session_id(param("event_params", "ga_session_id", trim_values=True), pseudo, user)
+    hot = staged(rows.groupBy("event_date", session.alias("unique_session_id")).count().filter(F.col("count") > hot_rows)
+                 .drop("count"))
+    return None if hot.isEmpty() else hot
+
+
+def _sessions(ev: DataFrame, together: bool) -> DataFrame:
+    combos = attribute_rollup(ev.repartition("event_date", "unique_session_id") if together else ev)
+    indexed = session_index_together(combos) if together else session_index(combos)
+    return session_rollup(indexed).withColumn("engaged_session_flag", engaged_flag())
+
+
+def all_sessions(ev: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Steps 2 to 4 and the engagement flag, ``hot`` sessions on a path of their own."""
+    if hot is None:
+        return _sessions(ev, together=True)
+    # at most one row for each hot_rows events; a session is a whole (day, session), so it is built on one path
+    key = F.struct("event_date", "unique_session_id")
+    marked = ev.withColumn("__s", key).join(F.broadcast(hot.select(key.alias("__s"), F.lit(True).alias("__hot"))), "__s", "left")
+    is_hot = F.col("__hot").isNotNull()
+    rest = _sessions(marked.filter(~is_hot).drop("__s", "__hot"), together=True)
+    return rest.unionByName(_sessions(marked.filter(is_hot).drop("__s", "__hot"), together=False))
+
+
 def build_sessions(raw_batch: DataFrame, orders: DataFrame, new_user_days: DataFrame,
-                   opts: FeedOptions = FeedOptions(), numbered: DataFrame | None = None) -> DataFrame:
+                   opts: FeedOptions = FeedOptions(), numbered: DataFrame | None = None,
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sessions for the days in ``raw_batch``; ``new_user_days`` is (event_date, unique_user_id)."""
+    if numbered is None:
+        numbered = number_batch(typed_feed(raw_batch.select(*RAW_COLUMNS)))
     ev = session_events(raw_batch, orders, opts, numbered)
-    combos = attribute_rollup(ev)
-    sessions = session_rollup(session_index(combos))
+    sessions = all_sessions(ev, hot_sessions(numbered, hot_rows))
     end = F.col("end_event")
     out = sessions.withColumns({
         "hourofday": F.hour("session_start_timestamp"),
         "session_end_timestamp": add_millis(end["ts"], end["ms"]),
-    }).withColumns({
-        "time_on_site": millisecond_boundaries(F.col("session_start_timestamp"), F.col("session_end_timestamp")),
-        "engaged_session_flag": engaged_flag(),
-    })
+    }).withColumn("time_on_site", millisecond_boundaries(F.col("session_start_timestamp"), F.col("session_end_timestamp")))
     nu = new_user_days.select("unique_user_id", "event_date", F.lit(True).alias("__is_new"))
     out = left_join_salted(out, nu, [F.col("unique_user_id"), F.col("event_date")], ["unique_user_id", "event_date"],
                            salt=F.col("last_event_s_no"))

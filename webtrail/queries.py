@@ -25,7 +25,8 @@ from webtrail.functions.scalars import blank_to_null, lower_trim
 from webtrail.functions.scalars import variant_color_size as split_variant
 from webtrail.functions.timeops import to_local
 from webtrail.operators import new_users as nu
-from webtrail.operators.orders import batch_order_ids, orders_in_batch
+from webtrail.operators.orders import batch_order_ids, id_bounds, orders_in_batch
+from webtrail.operators.sequence import staged
 from webtrail.plans import items as it
 from webtrail.plans import sessions as se
 from webtrail.plans.common import batch_money, number_batch
@@ -138,8 +139,10 @@ def sessions_full(tb: Testbed) -> DataFrame:
 
 @query
 def sessions_hot_split(tb: Testbed) -> DataFrame:
-    """Sessions numbered on their own: the batch numbering is not shared with the events table."""
-    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb), TB_DAILY)
+    """Sessions of more than three events take the path of hot sessions, the rest the other one."""
+    from webtrail.plans.runner import SHARED_COLUMNS
+    numbered = number_batch(tb.raw.select(*SHARED_COLUMNS))
+    return se.build_sessions(tb.raw, tb.orders(), _new_users(tb, numbered), TB_DAILY, numbered, hot_rows=3)
 
 
 @query
@@ -278,7 +281,8 @@ def join_order_money_all(tb: Testbed) -> DataFrame:
 
 @query
 def semi_orders_in_batch(tb: Testbed) -> DataFrame:
-    return orders_in_batch(tb.orders(), batch_order_ids(tb.raw))
+    ids = staged(batch_order_ids(tb.raw))
+    return orders_in_batch(tb.orders(), ids, id_bounds(ids))
 
 
 @query
@@ -468,6 +472,27 @@ def high_water_mark(tb: Testbed) -> DataFrame:
     return inc.high_water_mark_df(inc.read_table(tb.spark, _stored_daily(tb).events))
 
 
+@query
+def high_water_mark_listing(tb: Testbed) -> DataFrame:
+    """The mark as the runner takes it: from the names of the stored day folders."""
+    mark = inc.high_water_mark(tb.spark, _stored_daily(tb).events)
+    return tb.spark.range(1).select(F.lit(mark).alias("high_water_mark"))
+
+
+@query
+def new_users_stored_days(tb: Testbed) -> DataFrame:
+    """New users by the kept activity days: a run over the settled days, then one over the whole feed, which
+    drops and redoes the newest of them."""
+    from webtrail.plans.runner import keep_activity
+    path = inc.scratch_target(tb.spark, "activity")
+    settled = tb.daily_feed().agg(F.max("event_date")).first()[0]
+    ev = _events(tb)
+    keep_activity(tb.spark, ev.filter(F.col("event_date") <= F.lit(settled)), path, NO_MARK)
+    keep_activity(tb.spark, ev, path, settled - dt.timedelta(days=1))
+    return nu.new_users(ev, [], _purchases(tb), tb.customer_types(), NO_MARK,
+                        stored_activity=[inc.read_table(tb.spark, path)])
+
+
 @query
 def pivot_params(tb: Testbed) -> DataFrame:
     return _events(tb).select("s_no", "ga_session_id", *EVENT_PARAM_KEYS)
@@ -653,12 +678,13 @@ def schema_sync(tb: Testbed) -> DataFrame:
 
 @query
 def incremental_one_day(tb: Testbed) -> DataFrame:
-    """A first run on one day, then a run on two: the only stored day is dropped before it."""
+    """A first run on one day, one on two (the only stored day is dropped before it), one on the whole feed."""
     path = inc.scratch_target(tb.spark, "events")
     first = tb.raw.agg(F.min("event_date")).first()[0]
     for n in (0, 1):
         inc.run_daily(tb.spark, tb.raw.filter(F.col("event_date") <= F.lit(first + dt.timedelta(days=n))),
                       _events_builder(tb), path)
+    inc.run_daily(tb.spark, tb.raw, _events_builder(tb), path)
     return inc.read_table(tb.spark, path).select(*EVENTS_COLUMNS)
 
 
@@ -699,3 +725,17 @@ def items_stream(tb: Testbed) -> DataFrame:
 @query
 def sessions_stream(tb: Testbed) -> DataFrame:
     return inc.read_table(tb.spark, _stream_tails(tb).sessions)
+
+
+@query
+def sessions_stream_days(tb: Testbed) -> DataFrame:
+    """The sessions tail after two refreshes, the second of which rebuilds only what its files touch.
+    ``s_no`` numbers the rows built together, so it is left out."""
+    from webtrail.plans.runner import scratch_tables
+    base, tails = inc.scratch_target(tb.spark, "stream-days"), scratch_tables(tb.spark, "tail-days")
+    feed, newest = tb.intraday_feed(), tb.intraday_feed().agg(F.max("event_date")).first()[0]
+    for now in (F.col("event_date") < F.lit(newest), F.col("event_date") == F.lit(newest)):
+        feed.filter(now).write.mode("append").parquet(f"{base}/landing")
+        stream.refresh_tails(tb.spark, f"{base}/landing", tb.raw.schema, f"{base}/raw_tail", f"{base}/_checkpoint",
+                             tb.orders(), tb.customer_types(), tb.products(), _stored_daily(tb), tails, TB_INTRADAY)
+    return inc.read_table(tb.spark, tails.sessions).drop("last_event_s_no")

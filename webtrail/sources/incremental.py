@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from typing import Callable
+from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,8 +77,9 @@ def _is_data_file(name: str) -> bool:
     return not (name.startswith("_") or name.startswith("."))
 
 
-def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
-    """Days that hold data files, from the partition directory listing (no data read)."""
+def stored_days(spark: SparkSession, path: str, nested: bool = False) -> list[dt.date]:
+    """Days that hold data files, from the partition directory listing (no data read); ``nested``: days
+    that hold further partitions."""
     fs, root = _fs(spark, path)
     if not fs.exists(root):
         return []
@@ -87,7 +88,7 @@ def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix):
-            if any(_is_data_file(f.getPath().getName()) for f in fs.listStatus(st.getPath())):
+            if any(_is_data_file(f.getPath().getName()) and f.isDirectory() == nested for f in fs.listStatus(st.getPath())):
                 days.append(dt.date.fromisoformat(name[len(prefix):]))
     return sorted(days)
 
@@ -106,16 +107,58 @@ def drop_latest_day(spark: SparkSession, path: str) -> dt.date | None:
     day = high_water_mark(spark, path)
     if day == NO_MARK:
         return None
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{DATE_COL}={day.isoformat()}")
-    fs.delete(p, True)
+    drop_days(spark, path, [day])
     return day
 
 
+_INTEGERS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 20}
+
+
+def readable_as(stored: T.DataType, target: T.DataType) -> bool:
+    """Whether Spark's Parquet reader gives ``target`` from files that hold ``stored``: the same type or one
+    that holds all its values.  Narrower types, and text for numbers, fail only when old files are read."""
+    if isinstance(stored, T.ArrayType) and isinstance(target, T.ArrayType):
+        return readable_as(stored.elementType, target.elementType)
+    if isinstance(stored, T.MapType) and isinstance(target, T.MapType):
+        return readable_as(stored.keyType, target.keyType) and readable_as(stored.valueType, target.valueType)
+    if isinstance(stored, T.StructType) and isinstance(target, T.StructType):
+        fields = {f.name: f.dataType for f in stored.fields}
+        return all(readable_as(fields[f.name], f.dataType) for f in target.fields if f.name in fields)
+    if stored in _INTEGERS:
+        digits = _INTEGERS[stored]
+        if target in _INTEGERS:
+            return _INTEGERS[target] >= digits
+        if isinstance(target, T.DecimalType):
+            return target.precision - target.scale >= max(digits, 10)
+        return target == T.DoubleType() and digits <= 10
+    if isinstance(stored, T.DecimalType) and isinstance(target, T.DecimalType):
+        more = target.scale - stored.scale
+        return more >= 0 and target.precision - stored.precision >= more
+    wider = {T.FloatType(): T.DoubleType(), T.DateType(): T.TimestampNTZType()}
+    return stored == target or wider.get(stored) == target
+
+
+def _check_types(spark: SparkSession, path: str, target: T.StructType) -> None:
+    """Refuse a target whose column some stored version holds in a type that cannot be read as the new one
+    (a column that was dropped for a while may still be in old files)."""
+    if not table_exists(spark, path):
+        return
+    base = f"{path.rstrip('/')}/_schema"
+    held = [T.StructType.fromJson(json.loads(read_text(spark, f"{base}/{v}"))) for v in _schema_versions(spark, path)]
+    wanted = {f.name: f.dataType for f in target.fields}
+    for schema in held or [stored_schema(spark, path)]:
+        for f in schema.fields:
+            if f.name in wanted and not readable_as(f.dataType, wanted[f.name]):
+                raise TypeError(f"{path} holds column {f.name} as {f.dataType.simpleString()}, which cannot be read as "
+                                f"{wanted[f.name].simpleString()}; rewrite the table first")
+
+
 def sync_schema(spark: SparkSession, path: str, target: T.StructType) -> bool:
     """Make the stored table carry exactly ``target``'s columns (new ones null).
 
     Writes a new schema version if it differs from the stored one and returns whether it
-    did.  A column keeps its type or gets a wider one that Parquet readers convert to.
+    did.  A column keeps its type or gets a wider one that Parquet readers convert to; any
+    other change is refused before the version is written.
     The version appears by one rename, so a run that stops before it leaves the old
     schema and one that stops after it the new one, with all data in either case."""
     stored = stored_schema(spark, path)
@@ -123,6 +166,7 @@ def sync_schema(spark: SparkSession, path: str, target: T.StructType) -> bool:
     versions = _schema_versions(spark, path)
     if versions and stored is not None and shape(stored) == shape(target):
         return False
+    _check_types(spark, path, target)
     base = f"{path.rstrip('/')}/_schema"
     fs, final = _fs(spark, f"{base}/{len(versions):06d}.json")
     _, temporary = _fs(spark, f"{base}/.{uuid.uuid4().hex}")
@@ -143,8 +187,32 @@ def write_days(df: DataFrame, path: str) -> None:
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    """Full refresh (the intraday tables)."""
-    df.write.mode("overwrite").parquet(path)
+    """Full refresh (the intraday tables), laid out by day like the daily ones."""
+    (df.hint("rebalance", DATE_COL).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(DATE_COL).parquet(path))
+    sync_schema(df.sparkSession, path, df.schema)
+
+
+def drop_days(spark: SparkSession, path: str, days: Iterable[dt.date]) -> None:
+    for day in days:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{DATE_COL}={day.isoformat()}")
+        fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole; a stop in between leaves none."""
+    fs, final = _fs(spark, path)
+    _, temporary = _fs(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(temporary)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(final, False)
+    fs.rename(temporary, final)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    return spark.read.text(path, wholetext=True).first()[0] if fs.exists(p) else None
 
 
 def run_daily(spark: SparkSession, feed: DataFrame, build: Callable[[DataFrame], DataFrame], path: str) -> dt.date:
