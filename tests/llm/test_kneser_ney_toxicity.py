@@ -41,42 +41,76 @@ def test_held_out_accuracy_and_edge_cases(spark):
     assert got[5004].score > 0.5 and got[None].score > 0.5
 
 
-def test_ratios_against_plain_formulas(spark):
+@pytest.mark.parametrize("sure,sure_pair", [(0.0, 0.0), (1.0, 1.5), (2.0, 6.0)])
+def test_ratios_against_plain_formulas(spark, sure, sure_pair):
     rnd = random.Random(3)
     rows = [(int(k % 3 == 0), " ".join(rnd.choice("abcdefgh") + (rnd.choice("xyz") if k % 3 == 0 else "")
                                        for _ in range(60))) for k in range(60)]
-    model = kn.count(spark.createDataFrame(rows, "label int, t string"), sure=1.0)
-    n = [{}, {}]
+    rows += [(1, "a rare word"), (1, "one rare expression"), (0, "a b c"), (0, "")]
+    model = kn.count(spark.createDataFrame(rows, "label int, t string").repartition(3), sure, sure_pair)
     pairs = [{}, {}]
     for y, t in rows:
         last = None
         for w in t.split():
-            n[y][w] = n[y].get(w, 0) + 1
             pairs[y][last, w] = pairs[y].get((last, w), 0) + 1
             last = w
     kinds = set(pairs[0]) | set(pairs[1])
-    keep = lambda c: max(c - 0.75 - c ** 0.5, 0)
-    total = [sum(x.values()) for x in n]
-    lam = [1 - sum(map(keep, n[k].values())) / total[k] for k in (0, 1)]
+    total = [sum(x.values()) for x in pairs]
+    continued = lambda of, w: sum(x[1] == w for x in of)
 
     def p(k, w):
-        return keep(n[k].get(w, 0)) / total[k] + lam[k] * sum(x[1] == w for x in kinds) / len(kinds)
+        rest = 0.75 * len({x[1] for x in pairs[k]}) / len(pairs[k])
+        return max(continued(pairs[k], w) - 0.75, 0) / len(pairs[k]) + rest * continued(kinds, w) / len(kinds)
 
     def q(k, v, w):
-        if v is None:
+        after = [m for (a, _), m in pairs[k].items() if a == v]
+        if not after:
             return p(k, w)
-        c = n[k].get(v, 0)
-        gamma = 1 - sum(keep(m) for (a, _), m in pairs[k].items() if a == v) / c if c else 1.0
-        return (keep(pairs[k].get((v, w), 0)) / c if c else 0) + gamma * p(k, w)
-
-    for text in ("a bx c", "ax ay az", "h g f e d c b a", "a"):
-        words, last, each = text.split(), None, []
-        for w in words:
-            each.append(np.log(q(1, last, w) / q(0, last, w)) - np.log(lam[1] / lam[0]))
-            last = w
+        return max(pairs[k].get((v, w), 0) - 0.75, 0) / sum(after) + 0.75 * len(after) / sum(after) * p(k, w)
+
+    def weight(n, of, sure):
+        parts = [x * np.log(x * sum(of) / (sum(n) * t)) for x, t in zip(n, of) if x]
+        g = max(2 * sum(parts), 0) ** 0.5
+        return 1 - sure / g if g > sure else 0
+
+    def worth(v, w):
+        n = [x.get((v, w), 0) for x in pairs]
+        if sum(n) and weight(n, total, sure_pair):
+            return weight(n, total, sure_pair) * np.log(q(1, v, w) / q(0, v, w))
+        n = [continued(x, w) for x in pairs]
+        return weight(n, [len(x) for x in pairs], sure) * np.log(p(1, w) / p(0, w)) if sum(n) else 0
+
+    for text in ("a bx c", "ax ay az", "h g f e d c b a", "a", "a rare word", "unknown", "so rare"):
+        each = [worth(v, w) for v, w in zip([None, *text.split()], text.split())]
         assert np.allclose(model.ratios([text.encode()])[0], [max(each), sum(each) / len(each)]), text
 
 
+def test_counts_of_hot_words_in_parts(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(4), " ".join(x for _ in range(rnd.randint(0, 300)) for x in (f"u{rnd.randrange(200)}", "the")))
+            for _ in range(80)] + [(1, None), (2, "")]
+    table = spark.createDataFrame(rows, "kind int, t string").repartition(5)
+    hot = kn._hot(table)
+    code = lambda w: int(words([w.encode()]).hashes.view(np.int64)[0])
+    assert hot[code("the")] > 1
+    want = {}
+    for k, t in rows:
+        for v, w in zip([None, *(t or "").split()], (t or "").split()):
+            want.setdefault((code(v) if v else 1, code(w)), [0] * 4)[k] += 1
+    assert {(r.v, r.w): [r.c0, r.c1, r.c2, r.c3] for r in kn._counts(table, 4).collect()} == want
+    places = table.select("kind", "t").mapInArrow(kn._counter(4, hot), "w long, part int, vs array<long>, ns array<int>").filter(
+        F.col("w") == code("the")).select("part").distinct().count()
+    assert places > 1
+
+
+def test_an_expression_seen_twice_in_toxic_texts(spark):
+    rows = corpus(600)
+    rare = [(9000, rows[0][1] + " oaf", 1), (9001, rows[1][1] + " oaf", 1)]
+    ratio = lambda more: kn.count(spark.createDataFrame(
+        [(y, t) for _, t, y in rows + more], "label int, t string")).ratios([b"you oaf"])[0, 0]
+    assert ratio([]) == 0 < ratio(rare)
+
+
 @pytest.mark.parametrize("rows,want", [([], 0.0), ([(1, "a b", 0)], 0.0), ([(1, "a b", 1)], 1.0), ([(1, None, None)], 0.0)])
 def test_nothing_to_learn_from(spark, rows, want):
     docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
@@ -87,13 +121,13 @@ def test_nothing_to_learn_from(spark, rows, want):
 
 
 def test_a_rare_toxic_word_beside_many_frequent_pairs(spark):
-    """More ordinary pairs than any fixed table of 262,144 rows, each more frequent than the toxic word."""
-    n = 520
+    """More telling pairs than any fixed table of 262,144 rows, beside one toxic word of few texts."""
+    n = 740
     every_pair = " ".join(" ".join([f"w{i}", *(f"w{i} w{j}" for j in range(i + 1, n))]) for i in range(n))
-    rows = [(0, every_pair)] * 16 + [(1, f"w{k} scum") for k in range(12)]
-    model = kn.count(spark.createDataFrame(rows, "label int, t string").repartition(4))
+    rows = [(0, every_pair)] * 4 + [(1, every_pair[::-1])] * 4 + [(1, f"w{k} scum") for k in range(12)]
+    model = kn.count(spark.createDataFrame(rows, "label int, t string").repartition(4), sure_pair=2.0)
     assert len(model.word) + len(model.pair) > 1 << 18
-    assert model.ratios([b"w3 scum"])[0, 0] > 1
+    assert model.ratios([b"w3 scum"])[0, 0] > 0.3
 
 
 def test_all_folds_but_the_held_out_one_are_counted(spark, tmp_path, monkeypatch):
