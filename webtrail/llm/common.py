@@ -70,6 +70,7 @@ def forget() -> None:
     """Let go of what an earlier stage's tasks have kept in this worker, and hand its memory back."""
     if _KEPT:
         _KEPT.clear()
+        pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # only glibc has it
             ctypes.CDLL(None).malloc_trim(0)
 

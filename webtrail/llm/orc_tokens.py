@@ -104,7 +104,8 @@ class Encoder:
     New words of plain Latin letters, digits and signs are cut by the tokenizer's own pattern, and
     its model encodes each different piece; other words pass through the whole tokenizer."""
 
-    def __init__(self, path: str, end_id: int | None):
+    def __init__(self, path: str, end_id: int | None, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = splits_at_spaces(self.tokenizer)
         self.end = [] if end_id is None else [end_id]
@@ -127,7 +128,7 @@ class Encoder:
                 plain = [w for w in plain if not any(t in w for t in self.special)]
         if plain:
             cut = self.cut(" ".join(plain).lower())
-            if len(self.pieces.row) > REMEMBERED:
+            if len(self.pieces.row) > self.remembered:
                 self.pieces = _Memory(" ", [])
             unknown = list(set(cut).difference(self.pieces.row))
             as_bytes = [x if x.isascii() else x.translate(self.letters) for x in unknown]
@@ -151,7 +152,7 @@ class Encoder:
             rows = np.fromiter(map(self.words.row.get, words, repeat(-1)), dtype=np.int64, count=len(words))
             missing = np.flatnonzero(rows < 0).tolist()
             new = set(map(words.__getitem__, missing))
-            if len(self.words.row) + len(new) <= REMEMBERED:
+            if len(self.words.row) + len(new) <= self.remembered:
                 break
             self.words = _Memory(None, self.end)  # full: begin anew, and look again
         if new:
@@ -165,12 +166,12 @@ class Encoder:
         return text.lower() if self.cut and _LATIN(text) and not _SPECIAL(text) else text
 
 
-def _encode(path: str, end_id: int | None, at: int, chunk: int = 1 << 21):
+def _encode(path: str, end_id: int | None, at: int, remembered: int, chunk: int = 1 << 21):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        encoder = common.kept(f"encoder {path} {end_id}", lambda: Encoder(path, end_id))
+        encoder = common.kept(f"encoder {path} {end_id} {remembered}", lambda: Encoder(path, end_id, remembered))
         for batch in batches:
             values = [x or "" for x in batch.column(at).to_pylist()]
             for lo, hi in common.chunks(values, chunk):
@@ -183,13 +184,14 @@ def _encode(path: str, end_id: int | None, at: int, chunk: int = 1 << 21):
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-          end_id: int | None = None) -> None:
-    """Encode every row of ``docs`` and write (doc_id, tokens array<int>) as ORC files in ascending id order."""
+          end_id: int | None = None, remembered: int = REMEMBERED) -> None:
+    """Encode every row of ``docs`` and write (doc_id, tokens array<int>) as ORC files in ascending id order.
+    ``remembered``: words that a process keeps with their ids; fewer take less memory and more time."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
     order = [F.col("doc_id"), F.xxhash64("t")]
     kind = rows.schema["doc_id"].dataType.simpleString()
     encoded = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _encode(tokenizer, end_id, 1), f"doc_id {kind}, tokens array<int>")
+        _encode(tokenizer, end_id, 1, remembered), f"doc_id {kind}, tokens array<int>")
     encoded.write.options(**OPTIONS).orc(path)
 
 
@@ -227,9 +229,9 @@ def index(spark: SparkSession, path: str, doc_id_type: str = "bigint") -> DataFr
 
 
 def export(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = None,
-           path: str | None = None) -> DataFrame:
+           path: str | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """Write ``docs`` as token files (a new folder of the shared one unless ``path`` is given), and
     return :func:`index` of what the files hold."""
     path = path or shared_dir(docs.sparkSession, "llm", f"tokens-{uuid.uuid4().hex}")
-    write(docs, path, tokenizer, doc_id, text, end_id)
+    write(docs, path, tokenizer, doc_id, text, end_id, remembered)
     return index(docs.sparkSession, path, docs.schema[doc_id].dataType.simpleString())
