@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from webtrail.llm import common, mixture, orc_tokens, ppm_language, simhash_neardup, spaced_seeds
 from webtrail.llm.queries import END_ID, tokenizer_path
 
+#: Words that a process of the last stage remembers: fewer than alone, as the stages before it leave less room.
+REMEMBERED = 150_000
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those without a letter, or that no language's model codes
@@ -36,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mixed documents, and their index read from the files."""
-    return orc_tokens.export(docs, tokenizer_path(), end_id=END_ID)
+    return orc_tokens.export(docs, tokenizer_path(), end_id=END_ID, remembered=REMEMBERED)
 
 
 def _bounded(stage):
