@@ -8,14 +8,20 @@ hit's diagonal, and a text is contaminated by an item where ``window`` consecuti
 at least ``overlap`` of their positions.  The default masks hit every 13 words with any two
 substitutions, so that no such window is missed at the default overlap.
 
-Items of fewer words than ``window`` are one window as a whole; items shorter than every mask
-cannot be told from chance and match nothing.  Null and empty texts and items match nothing.
+Items of fewer words than ``window`` are one window as a whole, with masks of their own over the
+whole item: its places are dealt into two classes more than the substitutions it may have, and
+each mask ignores as many classes as there may be substitutions, so one mask is always hit.
+Items of fewer than ``min_words`` words match nothing: :func:`find_leaks` takes all lengths,
+:func:`decontaminate` by default five words and more, as a word or two say nothing of a leak.
+
+Null and empty texts and items match nothing.
 Repeated texts match each by itself; items with equal texts all match.  Empty tables give no
 matches; extra columns are passed by.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +37,8 @@ from webtrail.llm import common
 MASKS = ("11001011", "111011")
 WINDOW = 13
 OVERLAP = 0.8
+#: Words of an item that :func:`decontaminate` takes for a passage.
+MIN_WORDS = 5
 #: Most words of test items held at once (16 bytes each, and a seed for each mask); more go in blocks.
 BLOCK_WORDS = 1 << 20
 CHUNK = 1 << 20
@@ -97,26 +105,41 @@ def _seeds(w: Words, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return out[at], at
 
 
+def short_masks(size: int, overlap: float) -> list[str]:
+    """Masks over a whole item of ``size`` words, one of which agrees whichever words are substituted."""
+    free = max(k for k in range(size + 1) if size - k >= overlap * size)
+    classes = min(size, free + 2) if free else 1
+    return ["".join("0" if i % classes in gone else "1" for i in range(size))
+            for gone in itertools.combinations(range(classes), free)]
+
+
 class Index:
     """Seeds of a block of test items, sorted, with a bit table that most training seeds fail."""
 
     BITS = 20
 
-    def __init__(self, ids: list, values: list[bytes], masks: tuple[str, ...]):
-        self.ids, self.w, self.masks = ids, words(values), masks
+    def __init__(self, ids: list, values: list[bytes], masks: tuple[str, ...], window: int = WINDOW,
+                 overlap: float = OVERLAP, min_words: int = 1):
+        self.ids, self.w = ids, words(values)
         self.sizes = np.diff(np.r_[self.w.first, len(self.w.hashes)])
-        self.tables = []
-        for mask in masks:
-            seeds, at = _seeds(self.w, mask)
-            order = np.argsort(seeds, kind="stable")
-            table = np.zeros(1 << self.BITS, dtype=bool)
-            table[seeds >> np.uint64(64 - self.BITS)] = True
-            self.tables.append((seeds[order], at[order], table))
-
-    def hits(self, w: Words) -> np.ndarray:
+        size = self.sizes[self.w.text]  # of each word's item
+        self.tables = [self._table(mask, size >= max(window, min_words)) for mask in masks]
+        self.short = [self._table(mask, size == n) for n in np.unique(self.sizes).tolist()
+                      if max(1, min_words) <= n < window for mask in short_masks(n, overlap)]
+
+    def _table(self, mask: str, own: np.ndarray) -> tuple:
+        """The mask with its seeds in items of the words ``own``, where they begin, and the bit table."""
+        seeds, at = _seeds(self.w, mask)
+        seeds, at = seeds[own[at]], at[own[at]]
+        order = np.argsort(seeds, kind="stable")
+        table = np.zeros(1 << self.BITS, dtype=bool)
+        table[seeds >> np.uint64(64 - self.BITS)] = True
+        return mask, seeds[order], at[order], table
+
+    def hits(self, w: Words, tables: list[tuple]) -> np.ndarray:
         """Different (text, item, diagonal) of seeds that agree; diagonal: text's word less item's."""
-        found = []
-        for mask, (seeds, places, table) in zip(self.masks, self.tables):
+        found = [np.zeros((0, 3), dtype=np.int64)]
+        for mask, seeds, places, table in tables:
             own, at = _seeds(w, mask)
             maybe = np.flatnonzero(table[own >> np.uint64(64 - self.BITS)])
             own, at = own[maybe], at[maybe]
@@ -127,12 +150,28 @@ class Index:
             found.append(np.stack([w.text[a], self.w.text[b], a - w.first[w.text[a]] - b + self.w.first[self.w.text[b]]], 1))
         return np.unique(np.concatenate(found), axis=0)
 
+    def _short_matches(self, w: Words, overlap: float) -> dict[tuple[int, int], tuple]:
+        """:meth:`matches` of items that are one window: the best place of each in each text, the first of equals."""
+        text, item, diagonal = self.hits(w, self.short).T
+        if not len(text):
+            return {}
+        here, there, size = w.first[text] + diagonal, self.w.first[item], self.sizes[item]
+        same = np.zeros(len(text), dtype=np.int64)
+        for k in range(int(size.max())):
+            inside = np.flatnonzero(size > k)
+            same[inside] += w.hashes[here[inside] + k] == self.w.hashes[there[inside] + k]
+        good = np.flatnonzero(same >= overlap * size)
+        good = good[np.lexsort((diagonal[good], -same[good], item[good], text[good]))]
+        pair = np.stack([text[good], item[good]], 1)
+        good = good[np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(axis=1)][: len(good)])]
+        return {(int(text[i]), int(item[i])): (int(same[i]), int(size[i]), int(w.starts[here[i]]),
+                                              int(w.ends[here[i] + size[i] - 1])) for i in good}
+
     def matches(self, w: Words, window: int, overlap: float) -> dict[tuple[int, int], tuple]:
         """(text, item) -> (agreeing words, words, first byte, last byte) of the best window."""
-        best: dict[tuple[int, int], tuple] = {}
-        sizes = np.diff(np.r_[w.first, len(w.hashes)])
-        for text, item, diagonal in self.hits(w).tolist():
-            size = min(window, int(self.sizes[item]))
+        best = self._short_matches(w, overlap) if self.short else {}
+        sizes, size = np.diff(np.r_[w.first, len(w.hashes)]), window
+        for text, item, diagonal in self.hits(w, self.tables).tolist():
             lo, hi = max(0, diagonal), min(int(sizes[text]), diagonal + int(self.sizes[item]))
             if hi - lo < size:
                 continue
@@ -162,12 +201,12 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) ->
         yield [r.id for r in rows], [r.t.encode() for r in rows]
 
 
-def _scan(docs: DataFrame, text: str, block, masks, window, overlap, schema, emit) -> DataFrame:
+def _scan(docs: DataFrame, text: str, block, masks, window, overlap, min_words, schema, emit) -> DataFrame:
     shared, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = common.kept(key, lambda: Index(*shared.value, masks))
+        index = common.kept(key, lambda: Index(*shared.value, masks, window, overlap, min_words))
         for batch in batches:
             values = common.texts(batch.column(at))
             found = {}
@@ -181,7 +220,7 @@ def _scan(docs: DataFrame, text: str, block, masks, window, overlap, schema, emi
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                item_id: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = MASKS, window: int = WINDOW,
-               overlap: float = OVERLAP, block_words: int = BLOCK_WORDS) -> DataFrame:
+               overlap: float = OVERLAP, block_words: int = BLOCK_WORDS, min_words: int = 1) -> DataFrame:
     """One row for each text and item that match: (doc_id, item_id, n_same, n_words, first_byte, end_byte).
 
     ``n_same`` of ``n_words`` agree in the best window; the bytes span all windows of its diagonal
@@ -201,14 +240,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
     out = None
     for block in _blocks(benchmark, item_id, item_text, block_words):
-        part = _scan(rows, "t", block, masks, window, overlap, schema, emit)
+        part = _scan(rows, "t", block, masks, window, overlap, min_words, schema, emit)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", masks: tuple[str, ...] = MASKS, window: int = WINDOW,
-                  overlap: float = OVERLAP, block_words: int = BLOCK_WORDS) -> DataFrame:
+                  overlap: float = OVERLAP, block_words: int = BLOCK_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs``, with their own columns, that match no item."""
 
     def emit(batch, index, found):
@@ -217,5 +256,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         return batch.filter(pa.array(clean))
 
     for block in _blocks(benchmark, item_id, item_text, block_words):
-        docs = _scan(docs, text, block, masks, window, overlap, docs.schema, emit)
+        docs = _scan(docs, text, block, masks, window, overlap, min_words, docs.schema, emit)
     return docs
