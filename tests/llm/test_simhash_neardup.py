@@ -95,3 +95,16 @@ def test_components_of_long_chains(spark):
                                   "a long, b long").repartition(4)
     got = {r.node: r.component for r in common.components(edges).collect()}
     assert got == {**{i: 0 for i in range(n)}, 1000: 1000, 1001: 1000}
+
+
+def test_keep_one_against_brute_force(spark):
+    """What the pipeline's stage keeps: of each group the row of the smallest id, with its own columns."""
+    rnd = random.Random(9)
+    base = [" ".join(rnd.choice(["ka", "lo", "mi", "ru", "so", "te"]) for _ in range(60)) for _ in range(8)]
+    rows = [(i, rnd.choice(base) if i % 3 else f"alone {i} " + rnd.choice(base)) for i in range(40)] + [(50, None), (51, ""), (52, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("own"))
+    comps = brute_components([d for d, _ in rows], [brute_fingerprint(t) for _, t in rows], 4)
+    kept = sh.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [d for (d, _), c in zip(rows, comps) if d == c]
+    assert sh.keep_one(docs.limit(0)).collect() == []
