@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtrail.llm import (common, conversation_repair, embedding_neardup, importance_resampling, kneser_ney_toxicity,
@@ -24,6 +24,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _path() -> Column:
+    """Each source as a file tree of nested numbered folders, which stands in for the paths that the
+    table ``documents`` does not have."""
+    folder = lambda n: F.concat(F.lit("d"), F.floor(F.col("doc_id") / n).cast("string"))
+    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), folder(1000), folder(50),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+
+
 def op1_entropy_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.balance(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3)
 
@@ -45,13 +53,8 @@ def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each source as a file tree of nested numbered folders, which stands in for the paths that the
-    table does not have."""
     docs = _table(spark, sf_dir, "documents")
-    folder = lambda n: F.concat(F.lit("d"), F.floor(F.col("doc_id") / n).cast("string"))
-    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), folder(1000), folder(50),
-                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return license_scan.scan(docs.withColumn("path", path), "doc_id", "path", "text")
+    return license_scan.scan(docs.withColumn("path", _path()), "doc_id", "path", "text")
 
 
 def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,14 +81,8 @@ def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled by findings of known formats: provider key ids, long hexadecimal values that are assigned
-    to a telling name (secrets), and plain numbers (none)."""
-    value, before = F.col("candidate"), F.col("before")
-    hexadecimal = value.rlike("^[0-9a-f]{16,64}$") & value.rlike("[a-f]")
-    label = (F.when(value.rlike("^AKIA[0-9A-Z]{16}$"), 1)
-             .when(hexadecimal & before.rlike("(?i)(password|token|secret)[\"' ]*[=:][\"' ]*$"), 1)
-             .when(value.rlike("^[0-9+/_-]+$"), 0))
-    return secret_scan.scan(_table(spark, sf_dir, "documents"), label)
+    docs = _table(spark, sf_dir, "documents").withColumn("path", _path())
+    return secret_scan.scan(docs, secret_scan.known_formats(), path="path")
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Secret scans: a random forest that removes false positives among candidate strings.
 
-A candidate is a run of at least ``MIN_LENGTH`` letters, digits, ``_``, ``+``, ``/`` or ``-`` with
-a digit.  Its features: length, shares of digits, upper-case letters and hexadecimal characters,
+A candidate is a value of ``MIN_VALUE`` characters or more that is assigned to a telling name
+(``password: correct-horse``, ``token = 'p@ss!w0rd'``, also over two or three words), or else a run of
+at least ``MIN_LENGTH`` letters, digits, ``_``, ``+``, ``/`` or ``-`` with a digit.  Its features: length, shares of digits, upper-case letters and hexadecimal characters,
 character transitions (changes between lower case, upper case, digits and signs), different
 characters, Shannon entropy, dictionary coverage (the share of it in letter runs that are words of
 at least ``MIN_DOCUMENTS`` documents), its path (depth, and whether it names tests or examples) and
-its neighbouring words (telling names and assignments before it, placeholders around it).  The
+its neighbouring words (telling names and assignments before it, placeholders around it; of what
+stands before and after it, the nearest ``CONTEXT`` characters of two words and of one).  The
 forest is trained on labelled findings, at most ``max_findings`` of them; dictionary counts cover
 all documents.
 
@@ -29,10 +31,23 @@ from pyspark.sql import functions as F
 from webtrail.llm import common
 
 MIN_LENGTH = 12
+MIN_VALUE = 4
 MIN_DOCUMENTS = 3
+CONTEXT = 100
 CANDIDATE = rf"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{{{MIN_LENGTH},}}"
 #: Words before a candidate that name a secret; words around it that stand for an example.
 NAMES = r"(?i)(pass(word|wd)?|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer|aws)"
+#: A name that a value is assigned to, its end (``db_password_2``, ``["token"]``), and the sign between.
+_NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_.-]?key|access[_.-]?key|private[_.-]?key|credentials?|bearer)"
+_END, _SIGN, _QUOTE = r"[A-Za-z0-9_.-]{0,20}[\"'\]]{0,2}", r"(?:=>|:=|[=:])", r"[\"'`]?"
+_VALUE = rf"[^\x20\x09-\x0D\"'`,;=:<>(){{}}\[\]&|\\]{{{MIN_VALUE},}}"
+#: An assignment with its value within one word, one whose value follows, and a name whose sign follows.
+ASSIGNED = f"{_NAME}{_END}{_SIGN}{_QUOTE}{_VALUE}"
+OPEN_SIGN, OPEN_NAME = rf"{_NAME}{_END}[\x20]?{_SIGN}{_QUOTE}$", f"{_NAME}{_END}$"
+#: A finding in a word that starts with what the words before it leave open.
+FINDING = f"(?<={_NAME}{_END}{_SIGN}{_QUOTE}){_VALUE}|{CANDIDATE}"
+#: What a text with a finding holds.
+ANY = rf"{CANDIDATE}|{_NAME}{_END}[\x20\x09-\x0D]*{_SIGN}[\x20\x09-\x0D]*{_QUOTE}{_VALUE}"
 PLACEHOLDERS = r"(?i)(example|sample|dummy|placeholder|changeme|redacted|test)"
 PATHS = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|docs?)([/_.\-]|$)"
 FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_changes", "f_different", "f_entropy", "f_dictionary",
@@ -42,18 +57,34 @@ FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_changes", "f_differen
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(id, path, word_no, place, candidate, before, after): every candidate with the words around it."""
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
-    rows = docs.select(F.col(doc_id).alias("id"), where.alias("path"), F.col(text).alias("t")).filter(F.col("t").rlike(CANDIDATE))
-    words = F.split("t", r"[\x20\x09-\x0D]+")
-    rows = rows.select("id", "path", words.alias("words"))
+    rows = docs.select(F.col(doc_id).alias("id"), where.alias("path"), F.col(text).alias("t")).filter(F.col("t").rlike(ANY))
+    rows = rows.select("id", "path", F.split("t", r"[\x20\x09-\x0D]+").alias("words"))
     at = lambda i: F.when((i >= 0) & (i < F.size("words")), F.element_at("words", (i + 1).cast("int")))
-    found = F.filter(F.transform("words", lambda x, i: F.when(x.rlike(CANDIDATE), F.struct(
-        i.cast("int").alias("word_no"), x.alias("word"), F.concat_ws(" ", at(i - 2), at(i - 1)).alias("left"),
-        F.coalesce(at(i + 1), F.lit("")).alias("after")))), lambda x: x.isNotNull())
-    rows = rows.select("id", "path", F.explode(found).alias("w")).select("id", "path", "w.*")
-    rows = rows.select("id", "path", "word_no", "word", "left", "after",
-                       F.posexplode(F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), F.lit(1))).alias("place", "candidate"))
-    inside = F.expr("substring(word, 1, greatest(instr(word, candidate) - 1, 0))")
-    return rows.select("id", "path", "word_no", "place", "candidate", F.concat_ws(" ", "left", inside).alias("before"), "after")
+    near = lambda i: F.coalesce(F.right(at(i), F.lit(CONTEXT)), F.lit(""))
+
+    def found(word: Column, i: Column) -> Column:
+        left = F.concat_ws(" ", near(i - 2), near(i - 1))
+        opened = F.when(left.rlike(OPEN_SIGN), "token=").when(
+            word.rlike(f"^{_SIGN}") & near(i - 1).rlike(OPEN_NAME), "token").otherwise("")
+        held = word.rlike(f"{CANDIDATE}|{ASSIGNED}") | ((opened != "") & word.rlike(_VALUE))
+        return F.when(held, F.struct(
+            i.cast("int").alias("word_no"), word.alias("word"), opened.alias("opened"), left.alias("left"),
+            F.coalesce(F.left(at(i + 1), F.lit(CONTEXT)), F.lit("")).alias("after")))
+
+    rows = rows.select("id", "path", F.explode(F.filter(F.transform("words", found), lambda x: x.isNotNull())).alias("w"))
+    rows = rows.select("id", "path", "w.*").withColumn("whole", F.concat("opened", "word"))
+    rows = rows.withColumns({"hits": F.regexp_extract_all("whole", F.lit(f"({FINDING})"), F.lit(1)),
+                             "parts": F.split("whole", FINDING, -1)})
+    # of the word, what stands before each finding: the parts between, each after the finding before it
+    opening = F.zip_with(F.concat(F.array(F.lit("")), "hits"), "parts", lambda hit, part: F.right(F.concat(hit, part), F.lit(CONTEXT)))
+    rows = rows.withColumn("opening", opening)
+    inside = lambda k: F.concat_ws("", F.slice("opening", F.greatest(k - 1, F.lit(1)), F.least(k + 1, F.lit(3))))
+    rows = rows.select("id", "path", "word_no", "left", "opened", "after", F.posexplode(F.transform(
+        "hits", lambda hit, k: F.struct(hit.alias("candidate"), inside(k).alias("inside")))).alias("place", "hit"))
+    # what the words before left open stands in them already
+    inside = F.when(F.col("place") <= 2, F.expr("substring(hit.inside, length(opened) + 1)")).otherwise(F.col("hit.inside"))
+    before = F.ltrim(F.right(F.concat_ws(" ", "left", inside), F.lit(2 * CONTEXT)))
+    return rows.select("id", "path", "word_no", "place", F.col("hit.candidate").alias("candidate"), before.alias("before"), "after")
 
 
 def _share(x: Column, pattern: str) -> Column:
@@ -102,6 +133,21 @@ def features(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
         "f_placeholder": near.rlike(PLACEHOLDERS).cast("double")}).drop("covered")
 
 
+def known_formats() -> Column:
+    """A label over the columns of :func:`features`, from formats that tell.  Secrets: provider key ids
+    and hexadecimal values assigned to a telling name.  None: plain numbers, placeholders, one plain word
+    that is assigned, and, away from telling names, hashes, UUIDs and identifiers made of words."""
+    value, bare = F.col("candidate"), (F.col("f_named") == 0) & (F.col("f_assigned") == 0)
+    hexadecimal = value.rlike("^([0-9a-f]{16,64}|[0-9A-F]{16,64})$") & value.rlike("[A-Fa-f]") & value.rlike("[0-9]")
+    return (F.when(value.rlike("^[0-9+/_-]+$") | value.rlike(PLACEHOLDERS), 0)
+            .when(value.rlike("^AKIA[0-9A-Z]{16}$"), 1)
+            .when(hexadecimal & (F.col("f_named") == 1) & (F.col("f_assigned") == 1), 1)
+            .when(value.rlike("^[A-Za-z]?[a-z]+$") & (F.col("f_dictionary") == 1), 0)
+            .when(bare & hexadecimal & F.length(value).isin(32, 40, 56, 64), 0)
+            .when(bare & value.rlike("(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"), 0)
+            .when(bare & (F.col("f_dictionary") >= 0.5), 0))
+
+
 def score(found: DataFrame, labelled: DataFrame, max_findings: int = 20_000, trees: int = 30, depth: int = 6,
           seed: int = 10) -> DataFrame:
     """``found`` with ``score``: the forest's probability of a secret.  ``labelled``: findings with their
