@@ -37,14 +37,12 @@ ODD = [(900, None), (901, ""), (902, "no candidate, 123"), (903, "alpha " * 5000
 
 
 def plain(text):
-    """(word number, place, value): FINDING in each word, with the start that the two words before leave open."""
-    words = re.split(r"[\x20\x09-\x0D]+", text) if text else []
-    for i, w in enumerate(words):
-        before = [words[k][-ss.CONTEXT:] if k >= 0 else "" for k in (i - 2, i - 1)]
-        opened = ("token=" if regex.search(ss.OPEN_SIGN, " ".join(before)) else
-                  "token" if regex.match(ss._SIGN, w) and regex.search(ss.OPEN_NAME, before[1]) else "")
-        for k, m in enumerate(regex.finditer(ss.FINDING, opened + w)):
-            yield i, k, m.group()
+    """(word number, place within the word, value) of every FINDING."""
+    last, k = None, 0
+    for m in regex.finditer(ss.FINDING, text or ""):
+        word = len(re.findall(r"[\x20\x09-\x0D]+", text[:m.start()]))
+        last, k = word, k + 1 if word == last else 0
+        yield word, k, m.group()
 
 
 NAMED = [(1000, "password: correct-horse-battery and more", "correct-horse-battery"), (1001, "x password=hunter2 y", "hunter2"),
@@ -72,9 +70,9 @@ def test_context_of_repeated_findings(spark):
                                  "doc_id long, text string")
     got = ss.candidates(docs).orderBy("word_no", "place").collect()
     assert [r.place for r in got] == [0, 1, 2, *range(2000)]
-    assert got[0].before == f"{'x' * 100} one " and got[0].after == "two"
-    assert got[1].before.endswith(f" one {value},password=") and got[2].candidate == f"{value}/{other}"
-    assert got[2].before.endswith(f"password={value};") and max(len(r.before) for r in got) <= 2 * ss.CONTEXT
+    assert got[0].before == f"{'x' * 95} one " and got[2].after == "two"
+    assert got[1].before == f"{value},password=" and got[2].candidate == f"{value}/{other}"
+    assert got[2].before == f"{value};" and max(len(r.before) for r in got) <= ss.CONTEXT
 
 
 def test_known_formats(spark):

@@ -1,13 +1,14 @@
 """Secret scans: a random forest that removes false positives among candidate strings.
 
 A candidate is a value of ``MIN_VALUE`` characters or more that is assigned to a telling name
-(``password: correct-horse``, ``token = 'p@ss!w0rd'``, also over two or three words), or else a run of
+(``password: correct-horse``, ``token = 'p@ss!w0rd'``, with up to four white-space characters around the sign), or else a run of
 at least ``MIN_LENGTH`` letters, digits, ``_``, ``+``, ``/`` or ``-`` with a digit.  Its features: length, shares of digits, upper-case letters and hexadecimal characters,
 character transitions (changes between lower case, upper case, digits and signs), different
 characters, Shannon entropy, dictionary coverage (the share of it in letter runs that are words of
 at least ``MIN_DOCUMENTS`` documents), its path (depth, and whether it names tests or examples) and
 its neighbouring words (telling names and assignments before it, placeholders around it; of what
-stands before and after it, the nearest ``CONTEXT`` characters of two words and of one).  The
+stands before it, two words and its own, no further back than the finding before, and of what stands
+after it one word, both within the nearest ``CONTEXT`` characters).  The
 forest is trained on labelled findings, at most ``max_findings`` of them; dictionary counts cover
 all documents.
 
@@ -25,13 +26,14 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webtrail.llm import common
 
 MIN_LENGTH = 12
 MIN_VALUE = 4
+_SPACE, _WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
 MIN_DOCUMENTS = 3
 CONTEXT = 100
 CANDIDATE = rf"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{{{MIN_LENGTH},}}"
@@ -39,15 +41,10 @@ CANDIDATE = rf"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{{{MIN_L
 NAMES = r"(?i)(pass(word|wd)?|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer|aws)"
 #: A name that a value is assigned to, its end (``db_password_2``, ``["token"]``), and the sign between.
 _NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_.-]?key|access[_.-]?key|private[_.-]?key|credentials?|bearer)"
-_END, _SIGN, _QUOTE = r"[A-Za-z0-9_.-]{0,20}[\"'\]]{0,2}", r"(?:=>|:=|[=:])", r"[\"'`]?"
+_END, _SIGN, _QUOTE, _GAP = r"[A-Za-z0-9_.-]{0,20}[\"'\]]{0,2}", r"(?:=>|:=|[=:])", r"[\"'`]?", r"[\x20\x09-\x0D]{0,4}"
 _VALUE = rf"[^\x20\x09-\x0D\"'`,;=:<>(){{}}\[\]&|\\]{{{MIN_VALUE},}}"
-#: An assignment with its value within one word, one whose value follows, and a name whose sign follows.
-ASSIGNED = f"{_NAME}{_END}{_SIGN}{_QUOTE}{_VALUE}"
-OPEN_SIGN, OPEN_NAME = rf"{_NAME}{_END}[\x20]?{_SIGN}{_QUOTE}$", f"{_NAME}{_END}$"
-#: A finding in a word that starts with what the words before it leave open.
-FINDING = f"(?<={_NAME}{_END}{_SIGN}{_QUOTE}){_VALUE}|{CANDIDATE}"
-#: What a text with a finding holds.
-ANY = rf"{CANDIDATE}|{_NAME}{_END}[\x20\x09-\x0D]*{_SIGN}[\x20\x09-\x0D]*{_QUOTE}{_VALUE}"
+#: A finding.  The short look behind spares the long one at most places.
+FINDING = f"(?<=[=:>]{_GAP}{_QUOTE})(?<={_NAME}{_END}{_GAP}{_SIGN}{_GAP}{_QUOTE}){_VALUE}|{CANDIDATE}"
 PLACEHOLDERS = r"(?i)(example|sample|dummy|placeholder|changeme|redacted|test)"
 PATHS = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|docs?)([/_.\-]|$)"
 FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_changes", "f_different", "f_entropy", "f_dictionary",
@@ -57,34 +54,25 @@ FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_changes", "f_differen
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(id, path, word_no, place, candidate, before, after): every candidate with the words around it."""
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
-    rows = docs.select(F.col(doc_id).alias("id"), where.alias("path"), F.col(text).alias("t")).filter(F.col("t").rlike(ANY))
-    rows = rows.select("id", "path", F.split("t", r"[\x20\x09-\x0D]+").alias("words"))
-    at = lambda i: F.when((i >= 0) & (i < F.size("words")), F.element_at("words", (i + 1).cast("int")))
-    near = lambda i: F.coalesce(F.right(at(i), F.lit(CONTEXT)), F.lit(""))
-
-    def found(word: Column, i: Column) -> Column:
-        left = F.concat_ws(" ", near(i - 2), near(i - 1))
-        opened = F.when(left.rlike(OPEN_SIGN), "token=").when(
-            word.rlike(f"^{_SIGN}") & near(i - 1).rlike(OPEN_NAME), "token").otherwise("")
-        held = word.rlike(f"{CANDIDATE}|{ASSIGNED}") | ((opened != "") & word.rlike(_VALUE))
-        return F.when(held, F.struct(
-            i.cast("int").alias("word_no"), word.alias("word"), opened.alias("opened"), left.alias("left"),
-            F.coalesce(F.left(at(i + 1), F.lit(CONTEXT)), F.lit("")).alias("after")))
-
-    rows = rows.select("id", "path", F.explode(F.filter(F.transform("words", found), lambda x: x.isNotNull())).alias("w"))
-    rows = rows.select("id", "path", "w.*").withColumn("whole", F.concat("opened", "word"))
-    rows = rows.withColumns({"hits": F.regexp_extract_all("whole", F.lit(f"({FINDING})"), F.lit(1)),
-                             "parts": F.split("whole", FINDING, -1)})
-    # of the word, what stands before each finding: the parts between, each after the finding before it
-    opening = F.zip_with(F.concat(F.array(F.lit("")), "hits"), "parts", lambda hit, part: F.right(F.concat(hit, part), F.lit(CONTEXT)))
-    rows = rows.withColumn("opening", opening)
-    inside = lambda k: F.concat_ws("", F.slice("opening", F.greatest(k - 1, F.lit(1)), F.least(k + 1, F.lit(3))))
-    rows = rows.select("id", "path", "word_no", "left", "opened", "after", F.posexplode(F.transform(
-        "hits", lambda hit, k: F.struct(hit.alias("candidate"), inside(k).alias("inside")))).alias("place", "hit"))
-    # what the words before left open stands in them already
-    inside = F.when(F.col("place") <= 2, F.expr("substring(hit.inside, length(opened) + 1)")).otherwise(F.col("hit.inside"))
-    before = F.ltrim(F.right(F.concat_ws(" ", "left", inside), F.lit(2 * CONTEXT)))
-    return rows.select("id", "path", "word_no", "place", F.col("hit.candidate").alias("candidate"), before.alias("before"), "after")
+    rows = docs.select(F.col(doc_id).alias("id"), where.alias("path"), F.col(text).alias("t")).filter(F.col("t").rlike(FINDING))
+    rows = rows.select("id", "path", F.monotonically_increasing_id().alias("row"), F.split("t", FINDING, -1).alias("parts"),
+                       F.regexp_extract_all("t", F.lit(f"({FINDING})"), F.lit(1)).alias("hits"))
+    # each finding with the part of the text before it, the finding before that, and the part after it
+    rows = rows.select("id", "path", "row", F.posexplode(F.zip_with(
+        F.zip_with("hits", F.concat(F.array(F.lit("")), "hits"), lambda hit, last: F.struct(hit.alias("hit"), last.alias("last"))),
+        F.zip_with("parts", F.slice("parts", 2, F.size("parts")), lambda part, rest: F.struct(
+            F.right(part, F.lit(CONTEXT)).alias("part"), F.left(rest, F.lit(CONTEXT)).alias("rest"),
+            F.size(F.split(part, _SPACE)).alias("words"))),
+        lambda x, y: F.struct(x["hit"].alias("candidate"), x["last"].alias("last"), y["part"].alias("part"),
+                              y["rest"].alias("rest"), y["words"].alias("words")))).alias("no", "x"))
+    rows = rows.filter("x.candidate is not null").select("id", "path", "row", "no", "x.*")
+    so_far = Window.partitionBy("row").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("word_no", F.sum(F.col("words") - 1).over(so_far).cast("int"))
+    rows = rows.withColumn("place", (F.row_number().over(Window.partitionBy("row", "word_no").orderBy("no")) - 1).cast("int"))
+    before = F.right(F.concat("last", "part"), F.lit(CONTEXT))
+    return rows.select("id", "path", "word_no", "place", "candidate",
+                       F.regexp_extract(before, f"(?:{_WORD}*{_SPACE}){{0,2}}{_WORD}*$", 0).alias("before"),
+                       F.regexp_extract("rest", f"^{_WORD}*{_SPACE}({_WORD}+)", 1).alias("after"))
 
 
 def _share(x: Column, pattern: str) -> Column:
