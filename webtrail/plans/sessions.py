@@ -234,8 +234,8 @@ def hot_sessions(numbered: DataFrame, hot_rows: int) -> DataFrame | None:
     visitors = staged(visitors)
     if visitors.isEmpty():
         return None
-    # at most one row for each hot_rows / 2 events
-    rows = rows.join(F.broadcast(visitors), "__visitor", "left_semi")
+    # at most one row for each hot_rows / 2 events: broadcast if Spark finds the stored rows small, else shuffled
+    rows = rows.join(visitors, "__visitor", "left_semi")
     session = unique_session_id(param("event_params", "ga_session_id", trim_values=True), pseudo, user)
     hot = staged(rows.groupBy("event_date", session.alias("unique_session_id")).count().filter(F.col("count") > hot_rows)
                  .drop("count"))
@@ -254,7 +254,7 @@ def all_sessions(ev: DataFrame, hot: DataFrame | None) -> DataFrame:
         return _sessions(ev, together=True)
     # at most one row for each hot_rows events; a session is a whole (day, session), so it is built on one path
     key = F.struct("event_date", "unique_session_id")
-    marked = ev.withColumn("__s", key).join(F.broadcast(hot.select(key.alias("__s"), F.lit(True).alias("__hot"))), "__s", "left")
+    marked = ev.withColumn("__s", key).join(hot.select(key.alias("__s"), F.lit(True).alias("__hot")), "__s", "left")
     is_hot = F.col("__hot").isNotNull()
     rest = _sessions(marked.filter(~is_hot).drop("__s", "__hot"), together=True)
     return rest.unionByName(_sessions(marked.filter(is_hot).drop("__s", "__hot"), together=False))
