@@ -31,6 +31,7 @@ from webtrail.plans import items as it
 from webtrail.plans import sessions as se
 from webtrail.plans.common import batch_money, number_batch
 from webtrail.plans.events import EVENTS_COLUMNS, TRAFFIC_OUT, build_events, cleaned_events
+from webtrail.plans.events import RAW_COLUMNS as EVENTS_RAW
 from webtrail.plans.purchases import build_purchases
 from webtrail.present import present
 from webtrail.schema import (CT, DAILY, EVENT_PARAM_KEYS, INTRADAY, ITEM_PARAM_KEYS, LC, SESSION_COUNTERS)
@@ -42,6 +43,8 @@ TB_CHANNELS = ChannelConfig(partnership_campaigns=TESTBED_PARTNERSHIP)
 TB_DAILY = replace(DAILY, channels=TB_CHANNELS, list_view_brand=TESTBED_LIST_BRAND)
 TB_INTRADAY = replace(INTRADAY, channels=TB_CHANNELS, list_view_brand=TESTBED_LIST_BRAND)
 NO_MARK = inc.NO_MARK
+# what events and sessions read of a batch that is numbered for both (items are the widest column, and neither reads them)
+SESSION_BATCH = list(dict.fromkeys(EVENTS_RAW + se.RAW_COLUMNS))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,8 +73,7 @@ def _new_users(tb: Testbed, numbered: DataFrame | None = None) -> DataFrame:
 
 def _sessions(tb: Testbed) -> DataFrame:
     """Sessions of a first daily run; the events table it reads shares the batch numbering."""
-    from webtrail.plans.runner import SHARED_COLUMNS
-    numbered = number_batch(tb.raw.select(*SHARED_COLUMNS))
+    numbered = number_batch(tb.raw.select(*SESSION_BATCH))
     return se.build_sessions(tb.raw, tb.orders(), _new_users(tb, numbered), TB_DAILY, numbered)
 
 
@@ -140,8 +142,7 @@ def sessions_full(tb: Testbed) -> DataFrame:
 @query
 def sessions_hot_split(tb: Testbed) -> DataFrame:
     """Sessions of more than three events take the path of hot sessions, the rest the other one."""
-    from webtrail.plans.runner import SHARED_COLUMNS
-    numbered = number_batch(tb.raw.select(*SHARED_COLUMNS))
+    numbered = number_batch(tb.raw.select(*SESSION_BATCH))
     return se.build_sessions(tb.raw, tb.orders(), _new_users(tb, numbered), TB_DAILY, numbered, hot_rows=3)
 
 
