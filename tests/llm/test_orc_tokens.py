@@ -83,3 +83,15 @@ def test_small_tables(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [tuple(r) for r in orc_tokens.export(docs, tokenizer_path(), end_id=2).collect()]
     assert got == [(1, 0, 1, zlib.crc32(b"\2\0\0\0"))] * len(rows)
+
+
+def test_pieces_are_encoded_as_lines_of_one_text(monkeypatch):
+    """Each piece as the model alone encodes it, over several texts of lines; none is an empty result."""
+    monkeypatch.setattr(orc_tokens, "LINES", 3)
+    encoder = orc_tokens.Encoder(tokenizer_path(), 2)
+    pieces = ["hello", "x", "7", "internationalization", "zqxjkvw", "cafÃ©", "'s", "Ã", "!"]
+    ids, size = encoder._piece_ids(pieces)
+    alone = [encoder.model.encode(x, add_special_tokens=False).ids for x in pieces]
+    assert size.tolist() == list(map(len, alone)) and ids.tolist() == [i for x in alone for i in x]
+    none = encoder._piece_ids([])
+    assert none[0].size == none[1].size == 0

@@ -35,6 +35,8 @@ from webtrail.session import shared_dir
 
 #: Words, and pieces of words, that a process remembers with their ids; a full memory is emptied.
 REMEMBERED = 700_000
+#: Pieces that the model encodes at once, as lines of one text.
+LINES = 2_000
 #: Words that a tokenizer of the known kind only lowers: printable, and of letters that have one form.
 _PLAIN = regex.compile(r"(?:(?<=\n)|^)[!-~\u00a1-\u017f]+(?=\n|$)").findall
 #: Texts of which lower case is letter by letter, and a sign of special tokens.
@@ -88,8 +90,9 @@ class _Memory:
         self.ids = np.r_[self.ids, ids]
 
     def add_encoded(self, names: list[str], found: list) -> None:
-        size = np.fromiter((len(x.ids) for x in found), dtype=np.int64, count=len(found))
-        self.add(names, np.fromiter(chain.from_iterable(x.ids for x in found), dtype=np.uint32, count=int(size.sum())), size)
+        ids = [x.ids for x in found]
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        self.add(names, np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(size.sum())), size)
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids of the rows, where each row's begin; the last entry is their number)."""
@@ -115,7 +118,8 @@ class Encoder:
         self.letters = _Letters()
         if pattern:
             bare = json.loads(self.tokenizer.to_str())
-            bare |= {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+            lines = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+            bare |= {"normalizer": None, "pre_tokenizer": lines, "post_processor": None, "added_tokens": []}
             self.model = Tokenizer.from_str(json.dumps(bare))
         self.words, self.pieces = _Memory(None, self.end), _Memory(" ", [])  # None: a text's end; a space has no ids
 
@@ -132,7 +136,7 @@ class Encoder:
                 self.pieces = _Memory(" ", [])
             unknown = list(set(cut).difference(self.pieces.row))
             as_bytes = [x if x.isascii() else x.translate(self.letters) for x in unknown]
-            self.pieces.add_encoded(unknown, self.model.encode_batch(as_bytes, add_special_tokens=False))
+            self.pieces.add(unknown, *self._piece_ids(as_bytes))
             rows = np.fromiter(map(self.pieces.row.__getitem__, cut), dtype=np.int64, count=len(cut))
             ids, total = self.pieces.take(rows)
             gaps = np.flatnonzero(rows == 0)  # between the words; a space itself adds no ids
@@ -140,6 +144,17 @@ class Encoder:
         rest = list(new.difference(plain))
         self.words.add_encoded(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False))
 
+    def _piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, how many each has).  Pieces hold no line break and go to the model as lines of
+        one text, which it cuts there: a result for each piece would cost more than the encoding."""
+        ids, size = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
+        for lo in range(0, len(pieces), LINES):
+            part = pieces[lo:lo + LINES]
+            found = self.model.encode("\n".join(part), add_special_tokens=False)
+            ids.append(np.array(found.ids, dtype=np.uint32))
+            size.append(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(size)
+
     def __call__(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin; the last entry is their number)."""
         if not self.by_word:
