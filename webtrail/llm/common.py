@@ -70,9 +70,14 @@ def forget() -> None:
     """Let go of what an earlier stage's tasks have kept in this worker, and hand its memory back."""
     if _KEPT:
         _KEPT.clear()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-            ctypes.CDLL(None).malloc_trim(0)
+        trim()
+
+
+def trim() -> None:
+    """Hand memory that is free in this worker back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 #: Bytes of an Arrow batch, which bound what a task holds of long texts in Python and outside the heap.

@@ -35,6 +35,8 @@ from webtrail.session import shared_dir
 
 #: Words, and pieces of words, that a process remembers with their ids; a full memory is emptied.
 REMEMBERED = 700_000
+#: Characters of texts that are taken apart at once.
+CHUNK = 1 << 21
 #: Pieces that the model encodes at once, as lines of one text.
 LINES = 2_000
 #: Words that a tokenizer of the known kind only lowers: printable, and of letters that have one form.
@@ -121,6 +123,8 @@ class Encoder:
             lines = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
             bare |= {"normalizer": None, "pre_tokenizer": lines, "post_processor": None, "added_tokens": []}
             self.model = Tokenizer.from_str(json.dumps(bare))
+            del bare
+        common.trim()  # the tokenizer's file as Python values
         self.words, self.pieces = _Memory(None, self.end), _Memory(" ", [])  # None: a text's end; a space has no ids
 
     def _learn(self, new: set[str]) -> None:
@@ -181,7 +185,7 @@ class Encoder:
         return text.lower() if self.cut and _LATIN(text) and not _SPECIAL(text) else text
 
 
-def _encode(path: str, end_id: int | None, at: int, remembered: int, chunk: int = 1 << 21):
+def _encode(path: str, end_id: int | None, at: int, remembered: int, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -199,14 +203,15 @@ def _encode(path: str, end_id: int | None, at: int, remembered: int, chunk: int
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-          end_id: int | None = None, remembered: int = REMEMBERED) -> None:
+          end_id: int | None = None, remembered: int = REMEMBERED, chunk: int = CHUNK) -> None:
     """Encode every row of ``docs`` and write (doc_id, tokens array<int>) as ORC files in ascending id order.
-    ``remembered``: words that a process keeps with their ids; fewer take less memory and more time."""
+    ``remembered``: words that a process keeps with their ids; ``chunk``: characters of texts that it takes
+    apart at once.  Less of either takes less memory and more time."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
     order = [F.col("doc_id"), F.xxhash64("t")]
     kind = rows.schema["doc_id"].dataType.simpleString()
     encoded = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _encode(tokenizer, end_id, 1, remembered), f"doc_id {kind}, tokens array<int>")
+        _encode(tokenizer, end_id, 1, remembered, chunk), f"doc_id {kind}, tokens array<int>")
     encoded.write.options(**OPTIONS).orc(path)
 
 
@@ -244,9 +249,9 @@ def index(spark: SparkSession, path: str, doc_id_type: str = "bigint") -> DataFr
 
 
 def export(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int | None = None,
-           path: str | None = None, remembered: int = REMEMBERED) -> DataFrame:
+           path: str | None = None, remembered: int = REMEMBERED, chunk: int = CHUNK) -> DataFrame:
     """Write ``docs`` as token files (a new folder of the shared one unless ``path`` is given), and
     return :func:`index` of what the files hold."""
     path = path or shared_dir(docs.sparkSession, "llm", f"tokens-{uuid.uuid4().hex}")
-    write(docs, path, tokenizer, doc_id, text, end_id, remembered)
+    write(docs, path, tokenizer, doc_id, text, end_id, remembered, chunk)
     return index(docs.sparkSession, path, docs.schema[doc_id].dataType.simpleString())
