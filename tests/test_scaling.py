@@ -7,6 +7,7 @@ from webtrail import queries
 from webtrail.operators.sequence import RANGE_BYTES, _num_ranges
 from webtrail.plans import sessions as se
 from webtrail.schema import ORDER_FACT_DDL
+from webtrail.session import BROADCAST_BYTES, limit_broadcasts
 from webtrail.sources import testbed
 
 BROADCAST = 10 << 20
@@ -101,3 +102,34 @@ def test_session_final_deals_the_events_once(spark):
     minutes = se.session_rollup(se.session_index(se.attribute_rollup(ev))).select(found.columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, minutes.collect()))
     assert found.count() == 6
+
+
+def _sides(spark, tmp_path, rows):
+    """The plan of a join whose one side has ``rows`` rows, which Spark knows once they were shuffled."""
+    path = str(tmp_path / f"side{rows}")
+    spark.range(rows, numPartitions=2).select(F.sha2(F.col("id").cast("string"), 256).alias("k")).write.parquet(path)
+    ids = spark.read.parquet(path)
+    joined = ids.join(ids.distinct().withColumnRenamed("k", "o"), F.col("k") == F.col("o"))
+    counted = joined.agg(F.count("o"))
+    assert counted.collect()[0][0] == rows
+    return counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_small_sides_go_through_the_driver(spark, tmp_path):
+    assert "BroadcastHashJoin" in _sides(spark, tmp_path, 1_000)
+    assert "BroadcastHashJoin" not in _sides(spark, tmp_path, 40_000)  # some 3 MB, under Spark's own limit
+
+
+def test_a_lower_limit_of_the_session_stays(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        limit_broadcasts(spark)
+        assert spark.conf.get(name) == str(BROADCAST_BYTES)
+        for given, kept in (("10m", str(BROADCAST_BYTES)), ("256k", "256k"), ("-1", "-1"), ("-1b", "-1b")):
+            spark.conf.set(name, given)
+            limit_broadcasts(spark)
+            assert spark.conf.get(name) == kept
+    finally:
+        spark.conf.set(name, before)
