@@ -1,5 +1,7 @@
 """Steps that must scale with real tables: size estimates, what is shuffled, what is broadcast."""
 
+import datetime as dt
+
 from conftest import frame, p, raw
 from pyspark.sql import functions as F
 
@@ -133,3 +135,18 @@ def test_a_lower_limit_of_the_session_stays(spark):
             assert spark.conf.get(name) == kept
     finally:
         spark.conf.set(name, before)
+
+
+def test_the_feed_is_read_without_the_lookups(spark, tmp_path):
+    event = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i, 3), 5, "click", 1.0, '{"k": 1}') for i in range(5)], event
+                          ).write.parquet(f"{tmp_path}/events.parquet")
+    line = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+            "l_extendedprice double, l_discount double")
+    spark.createDataFrame([(1, 8, 1, 1, 3.0, 20.0, 0.0)], line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(8, "socks", "B1", "X", 3)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+                          ).write.parquet(f"{tmp_path}/part.parquet")
+    tb = testbed.Testbed(spark, str(tmp_path))  # there are no orders and no customers to derive lookups from
+    assert [r["normalized_source"] for r in queries.normalize_source(tb).filter("source_value = 'data not available'").collect()]
+    assert sorted(r[0] for r in tb.raw.select(F.size("items")).collect()) == [0, 0, 0, 0, 1]
+    assert tb.cutoff == dt.date(2024, 1, 2) and tb.daily_feed().count() == 2 and tb.intraday_feed().count() == 4

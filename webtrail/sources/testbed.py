@@ -325,36 +325,38 @@ def settled_cutoff(spark: SparkSession, sf_dir: str):
     return last - _dt.timedelta(days=SETTLE_DAYS)
 
 
-# Derived input tables already written in this application: (app id, sf_dir) -> paths.
-_WRITTEN: dict[tuple[str, str], dict[str, str]] = {}
+# How each derived input table is made.
+DERIVED = {"raw": raw_events, "orders": order_fact, "customer_types": customer_type_fact, "products": product_dim}
 
+# Derived input tables already written in this application: (app id, sf_dir, name) -> path.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+# Last settled days already found in this application: (app id, sf_dir) -> day.
+_CUTOFFS: dict = {}
 
-def _write_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the derived inputs once per application into the shared checkpoint folder.
+
+def _written_input(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Path of one derived input, written once per application into the shared checkpoint folder when
+    it is first read: a query that reads the feed alone does not pay for the order fact.
 
     They stand for the stored export and lookup tables the builders read in
     production: the raw feed is partitioned by ``event_date`` (so watermark
     filters prune whole days), the lookups are plain Parquet.
     """
     from webtrail.session import shared_dir
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
         import hashlib
-        base = shared_dir(spark, "webtrail-inputs", hashlib.sha1(sf_dir.encode()).hexdigest()[:12])
-        paths = {n: f"{base}/{n}" for n in ("raw", "orders", "customer_types", "products")}
-        raw_events(spark, sf_dir).write.mode("overwrite").partitionBy("event_date").parquet(paths["raw"])
-        order_fact(spark, sf_dir).write.mode("overwrite").parquet(paths["orders"])
-        customer_type_fact(spark, sf_dir).write.mode("overwrite").parquet(paths["customer_types"])
-        product_dim(spark, sf_dir).write.mode("overwrite").parquet(paths["products"])
-        paths["cutoff"] = settled_cutoff(spark, sf_dir).isoformat()
-        _WRITTEN[key] = paths
+        path = shared_dir(spark, "webtrail-inputs", hashlib.sha1(sf_dir.encode()).hexdigest()[:12], name)
+        out = DERIVED[name](spark, sf_dir).write.mode("overwrite")
+        (out.partitionBy("event_date") if name == "raw" else out).parquet(path)
+        _WRITTEN[key] = path
     return _WRITTEN[key]
 
 
 class Testbed:
     """All inputs of the builders, derived from one driver data directory.
 
-    ``materialize=True`` (default) reads the derived tables written once per
+    ``materialize=True`` (default) reads the derived tables, each written once per
     application; ``False`` derives them lazily in every plan.
     """
 
@@ -363,23 +365,22 @@ class Testbed:
         self.sf_dir = sf_dir
         self.materialize = materialize
 
-    def _paths(self) -> dict[str, str]:
-        return _write_inputs(self.spark, self.sf_dir)
-
     @property
     def raw(self) -> DataFrame:
         if not self.materialize:
             return raw_events(self.spark, self.sf_dir)
-        df = self.spark.read.parquet(self._paths()["raw"])
+        df = self.spark.read.parquet(_written_input(self.spark, self.sf_dir, "raw"))
         cols = [c for c in df.columns if c != "event_date"]
         return df.select("event_date", *cols)
 
     @property
     def cutoff(self):
-        import datetime as _dt
         if not self.materialize:
             return settled_cutoff(self.spark, self.sf_dir)
-        return _dt.date.fromisoformat(self._paths()["cutoff"])
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _CUTOFFS:
+            _CUTOFFS[key] = settled_cutoff(self.spark, self.sf_dir)
+        return _CUTOFFS[key]
 
     def daily_feed(self) -> DataFrame:
         """Settled days only (what the daily tables were built from)."""
@@ -389,16 +390,16 @@ class Testbed:
         """Provisional feed: the last day of the settled feed and every later day."""
         return self.raw.filter(F.col("event_date") >= F.lit(self.cutoff))
 
-    def _lookup(self, name: str, derive) -> DataFrame:
+    def _lookup(self, name: str) -> DataFrame:
         if not self.materialize:
-            return derive(self.spark, self.sf_dir)
-        return self.spark.read.parquet(self._paths()[name])
+            return DERIVED[name](self.spark, self.sf_dir)
+        return self.spark.read.parquet(_written_input(self.spark, self.sf_dir, name))
 
     def orders(self) -> DataFrame:
-        return self._lookup("orders", order_fact)
+        return self._lookup("orders")
 
     def customer_types(self) -> DataFrame:
-        return self._lookup("customer_types", customer_type_fact)
+        return self._lookup("customer_types")
 
     def products(self) -> DataFrame:
-        return self._lookup("products", product_dim)
+        return self._lookup("products")
