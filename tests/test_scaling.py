@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from webtrail import queries
 from webtrail.operators.sequence import RANGE_BYTES, _num_ranges
+from webtrail.plans import common, items
 from webtrail.plans import sessions as se
 from webtrail.schema import ORDER_FACT_DDL
 from webtrail.session import BROADCAST_BYTES, limit_broadcasts
@@ -150,3 +151,21 @@ def test_the_feed_is_read_without_the_lookups(spark, tmp_path):
     assert [r["normalized_source"] for r in queries.normalize_source(tb).filter("source_value = 'data not available'").collect()]
     assert sorted(r[0] for r in tb.raw.select(F.size("items")).collect()) == [0, 0, 0, 0, 1]
     assert tb.cutoff == dt.date(2024, 1, 2) and tb.daily_feed().count() == 2 and tb.intraday_feed().count() == 4
+
+
+def test_items_are_numbered_without_the_params(spark, monkeypatch):
+    item = {"item_id": "a", "item_params": [p("item_product_id", string="7")]}
+    feed = raw(spark, [{"ts": "2024-01-01 10:00:00", "user_pseudo_id": "u", "event_name": n, "event_bundle_sequence_id": 1,
+                        "event_params": ps, "items": i} for n, ps, i in (
+        ("view_item", [p("ga_session_id", string=" s1 "), p("coupon", string="x"), p("coupon", string=" y ")], [item]),
+        ("view_item", [p("ga_session_id", string="s2")], [item]), ("view_item", [], [item]), ("view_item", None, [item]),
+        ("scroll", [p("ga_session_id", string="s3")], []))])
+    shared = common.number_batch(feed)
+    dealt, number = [], common.global_sequence
+    monkeypatch.setattr(common, "global_sequence", lambda df, *a: dealt.append(df.columns) or number(df, *a))
+    alone = items.item_events(feed, queries.TB_DAILY)
+    assert len(dealt) == 1 and "event_params" not in dealt[0]
+    wanted = items.item_events(feed, queries.TB_DAILY, shared)
+    assert alone.columns == wanted.columns and alone.count() == 2
+    assert sorted(map(str, alone.collect())) == sorted(map(str, wanted.collect()))
+    assert {(r["ga_session_id"], r["coupon"]) for r in alone.collect()} == {("s1", "y"), ("s2", None)}

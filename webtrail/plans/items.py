@@ -60,15 +60,17 @@ def typed_items(items: Column) -> Column:
 def item_events(raw_batch: DataFrame, opts: FeedOptions, numbered: DataFrame | None = None) -> DataFrame:
     """Events with items and params; ``s_no`` counts every event of the batch."""
     raw = typed_feed(raw_batch.select(*RAW_COLUMNS))
-    numbered = number_batch(raw) if numbered is None else numbered.select(*RAW_COLUMNS, "s_no")
-    ev = numbered.filter((F.size("items") > 0) & has_params("event_params")).withColumns({
+    # all that is read of the arrays; a batch that only items read is numbered without the rest of them
+    read = {"__has_params": has_params("event_params"), "items": typed_items(F.col("items")),
+            **{k: param("event_params", k, trim_values=True) for k in ITEM_EVENT_PARAM_KEYS}}
+    numbered = (number_batch(raw, instead_of_params=read) if numbered is None
+                else numbered.select(*RAW_COLUMNS, "s_no").withColumns(read))
+    ev = numbered.filter((F.size("items") > 0) & F.col("__has_params")).withColumns({
         **local_times(raw, opts),
         "event_name": F.trim("event_name"),
         "user_id": F.trim("user_id"),
         "user_pseudo_id": F.trim(F.col("user_pseudo_id").cast("string")),
         "shopify_order_id": not_set_to_null("ecommerce_transaction_id"),
-        **{k: param("event_params", k, trim_values=True) for k in ITEM_EVENT_PARAM_KEYS},
-        "items": typed_items(F.col("items")),
     })
     return ev.withColumns({
         "hourofday": F.hour("event_timestamp"),
