@@ -169,3 +169,21 @@ def test_items_are_numbered_without_the_params(spark, monkeypatch):
     assert alone.columns == wanted.columns and alone.count() == 2
     assert sorted(map(str, alone.collect())) == sorted(map(str, wanted.collect()))
     assert {(r["ga_session_id"], r["coupon"]) for r in alone.collect()} == {("s1", "y"), ("s2", None)}
+
+
+def test_order_lines_are_cut_once_for_all_runs(spark):
+    class Tables:
+        raw = raw(spark, [{"ts": f"2024-01-0{d} 10:00:00", "user_pseudo_id": "u", "event_name": "purchase",
+                           "ecommerce_transaction_id": f" {d} "} for d in (1, 2, 3)])
+        asked = 0
+
+        def orders(self):
+            self.asked += 1
+            return frame(spark, ORDER_FACT_DDL, [{"shopify_order_id": str(d), "sale_kind": "ORDER", "country": "US",
+                                                  "quantity": d} for d in range(9)])
+
+    tb = Tables()
+    tb.spark = spark
+    found = queries.incremental_one_day(tb).select("event_date", "total_item_quantity").collect()
+    assert sorted((r[0].day, r[1]) for r in found) == [(1, 1), (2, 2), (3, 3)]
+    assert tb.asked == 1
