@@ -1,6 +1,7 @@
-"""Steps that must scale with real tables: size estimates, what is shuffled, what is broadcast."""
+"""Steps that must scale with real tables: size estimates, what is shuffled, what is broadcast, what stays on disk."""
 
 import datetime as dt
+import time
 
 from conftest import frame, p, raw
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from webtrail.plans import common, items
 from webtrail.plans import sessions as se
 from webtrail.schema import ORDER_FACT_DDL
 from webtrail.session import BROADCAST_BYTES, limit_broadcasts
+from webtrail.sources import incremental as inc
 from webtrail.sources import testbed
 
 BROADCAST = 10 << 20
@@ -187,3 +189,23 @@ def test_order_lines_are_cut_once_for_all_runs(spark):
     found = queries.incremental_one_day(tb).select("event_date", "total_item_quantity").collect()
     assert sorted((r[0].day, r[1]) for r in found) == [(1, 1), (2, 2), (3, 3)]
     assert tb.asked == 1
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    before = _shuffle_files(spark)
+    df = spark.range(1000).selectExpr("date_add(date'2024-01-01', cast(id % 3 as int)) AS event_date", "id % 100 AS k")
+    df = df.groupBy("event_date", "k").count()
+    path = inc.scratch_target(spark, "released")
+    inc.write_days(df, path)
+    until = time.time() + 20  # the executors delete them a moment later
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    # what is read again is shuffled again
+    assert len(df.collect()) == len(df.collect()) == inc.read_table(spark, path).count() == 300
