@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from webtrail.operators.new_users import new_users, user_days
 from webtrail.operators.orders import id_bounds, orders_in_batch
+from webtrail.plans import runner
 from webtrail.plans.items import unique_products
 from webtrail.plans.runner import keep_activity, run_daily_tables, scratch_tables
 from webtrail.queries import TB_DAILY, TB_INTRADAY
@@ -150,3 +151,26 @@ def test_bounds_of_the_batch_reach_the_order_scan(spark):
     assert _rows(got) == _rows(orders_in_batch(orders, ids)) and got.count() > 0
     empty = ids.limit(0)
     assert orders_in_batch(orders, empty, id_bounds(empty)).count() == 0
+
+
+def test_a_run_of_the_tails_cuts_the_order_fact_once(spark, monkeypatch):
+    tb, tails, read = Testbed(spark, SF), scratch_tables(spark, "cut-tail"), {}
+    daily = scratch_tables(spark, "cut-daily")
+    facts = (tb.orders(), tb.customer_types(), tb.products())
+    run_daily_tables(spark, tb.daily_feed(), *facts, daily, TB_DAILY)
+
+    def recorded(name):
+        build = getattr(runner, name)
+
+        def call(feed, orders, *args):
+            read[name] = (set(orders.inputFiles()), orders.count())
+            return build(feed, orders, *args)
+        monkeypatch.setattr(runner, name, call)
+
+    for name in ("build_events", "build_purchases", "build_items", "build_sessions"):
+        recorded(name)
+    for days in (None, [tb.cutoff + dt.timedelta(days=2)]):
+        read.clear()
+        runner.run_intraday_tables(spark, tb.intraday_feed(), *facts, daily, tails, TB_INTRADAY, days)
+        assert len(read) == 4 and len({n for _, n in read.values()}) == 1
+        assert not any(files & set(facts[0].inputFiles()) for files, _ in read.values())
