@@ -209,3 +209,35 @@ def test_shuffle_files_go_when_a_table_is_written(spark):
     assert not left
     # what is read again is shuffled again
     assert len(df.collect()) == len(df.collect()) == inc.read_table(spark, path).count() == 300
+
+
+def _exchanges(spark, df):
+    """Output sizes and keys of the shuffles that Spark plans for ``df`` if no side is small."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        nodes = _nodes(df.select("*")._jdf.queryExecution().executedPlan())
+        return [(n.output().size(), n.outputPartitioning().toString()) for n in nodes if n.nodeName() == "Exchange"]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_purchased_items_meet_their_money_where_they_are(spark):
+    g = frame(spark, "shopify_order_id string, __item_key string, quantity int, pos int",
+              [("1", "a", 1, 0), ("1", None, 2, 1), (None, "a", 3, 2), (None, None, 4, 3), ("2", "a", 5, 4), ("1", "cap", 6, 5)])
+    g = g.groupBy("shopify_order_id", "__item_key").agg(F.max("quantity").alias("quantity"), F.max("pos").alias("pos"))
+    line = {"sale_kind": "ORDER", "country": "US", "gift_card_flag": "OTHERS"}
+    orders = frame(spark, ORDER_FACT_DDL, [
+        {**line, "shopify_order_id": "1", "sku": "a", "quantity": 7}, {**line, "shopify_order_id": "1", "sku": None, "quantity": 8},
+        {**line, "shopify_order_id": None, "sku": "a", "quantity": 9},
+        {**line, "shopify_order_id": "1", "sku": "x", "title": "CAP", "gift_card_flag": "GIFT CARD", "quantity": 10}])
+    ids = frame(spark, "shopify_order_id string", [("1",), ("2",)])
+    g = g.withColumns({"s_no": F.col("pos"), "__item_pos": F.lit(0)})
+    joined = items.attach_item_money(g, orders, ids)
+    assert {r["pos"]: int(r["quantity"]) for r in joined.collect()} == {0: 7, 1: 2, 2: 3, 3: 4, 4: 5, 5: 10}
+    assert set(joined.columns) == {*g.columns, "__shp_qty", *items.MONEY}
+    apart = len(_exchanges(spark, g)) + len(_exchanges(spark, items.order_item_money(items.orders_in_batch(orders, ids))))
+    assert len(_exchanges(spark, joined)) == apart + 1  # the money, by order and item key
