@@ -241,3 +241,23 @@ def test_purchased_items_meet_their_money_where_they_are(spark):
     assert set(joined.columns) == {*g.columns, "__shp_qty", *items.MONEY}
     apart = len(_exchanges(spark, g)) + len(_exchanges(spark, items.order_item_money(items.orders_in_batch(orders, ids))))
     assert len(_exchanges(spark, joined)) == apart + 1  # the money, by order and item key
+
+
+def test_session_rows_are_not_dealt_again_for_the_visitor_flag(spark):
+    # (user, session id): two users may have one unique session, "x:a:b"
+    seen = [("a:b", "x"), ("b", "x:a"), ("new", "1"), ("new", "2"), ("old", "1"), (None, "1"), ("new", None)]
+    batch = raw(spark, [{"ts": f"2024-01-0{1 + day} 15:0{i}:00", "user_pseudo_id": u, "event_name": "page_view",
+                         "event_params": [p("ga_session_id", int_=sid), p("other", int_="1")]}
+                        for day in (0, 1) for i, (u, sid) in enumerate(seen)])
+    new = frame(spark, "event_date date, unique_user_id string",
+                [(dt.date(2024, 1, 1), u) for u in ("b", "new", None)] + [(dt.date(2024, 1, 2), "old")])
+    for hot_rows in (se.HOT_ROWS, 1):
+        built = se.build_sessions(batch, frame(spark, ORDER_FACT_DDL, []), new, queries.TB_DAILY, hot_rows=hot_rows)
+        found = sorted((r["event_date"].day, r["unique_user_id"] or "", r["unique_session_id"])
+                       for r in built.filter("visitor_flag = 'NEW'").collect())
+        assert found == [(1, "b", "x:a:b"), (1, "new", "1:new"), (1, "new", "2:new"), (1, "new", "new"), (2, "old", "1:old")]
+        assert built.count() == 2 * len(seen)
+    built = se.build_sessions(batch, frame(spark, ORDER_FACT_DDL, []), new, queries.TB_DAILY)
+    # rows of events are dealt, rows of sessions, with first and last attributes, are not
+    sizes = [size for size, _ in _exchanges(spark, built)]
+    assert len(se.FIRST_LAST) < max(sizes) < 2 * len(se.FIRST_LAST)
