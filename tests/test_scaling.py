@@ -261,3 +261,15 @@ def test_session_rows_are_not_dealt_again_for_the_visitor_flag(spark):
     # rows of events are dealt, rows of sessions, with first and last attributes, are not
     sizes = [size for size, _ in _exchanges(spark, built)]
     assert len(se.FIRST_LAST) < max(sizes) < 2 * len(se.FIRST_LAST)
+
+
+def test_hot_and_other_sessions_read_the_marked_events_from_one_store(spark, monkeypatch):
+    ev = spark.range(6).selectExpr("date'2024-01-01' AS event_date", "if(id = 5, null, cast(id as string)) AS unique_session_id")
+    seen = {}
+    monkeypatch.setattr(se, "_sessions", lambda rows, together: seen.setdefault(together, rows))
+    hot = ev.filter("coalesce(unique_session_id, '') IN ('', '1')")
+    assert se.all_sessions(ev, hot).columns == ev.columns
+    files = [set(rows.inputFiles()) for rows in seen.values()]
+    assert files[0] and files[0] == files[1]
+    found = {together: sorted(r["unique_session_id"] or "" for r in rows.collect()) for together, rows in seen.items()}
+    assert found == {True: ["0", "2", "3", "4"], False: ["", "1"]}

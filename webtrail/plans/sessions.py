@@ -260,9 +260,11 @@ def all_sessions(ev: DataFrame, hot: DataFrame | None) -> DataFrame:
     # at most one row for each hot_rows events; a session is a whole (day, session), so it is built on one path
     key = F.struct("event_date", "unique_session_id")
     marked = ev.withColumn("__s", key).join(hot.select(key.alias("__s"), F.lit(True).alias("__hot")), "__s", "left")
+    # stored, so that the events are cleaned and marked once for both paths, and those shuffles need not stay for theirs
+    marked = staged(marked.drop("__s"))
     is_hot = F.col("__hot").isNotNull()
-    rest = _sessions(marked.filter(~is_hot).drop("__s", "__hot"), together=True)
-    return rest.unionByName(_sessions(marked.filter(is_hot).drop("__s", "__hot"), together=False))
+    rest = _sessions(marked.filter(~is_hot).drop("__hot"), together=True)
+    return rest.unionByName(_sessions(marked.filter(is_hot).drop("__hot"), together=False))
 
 
 def new_visitors(numbered: DataFrame, new_user_days: DataFrame) -> DataFrame:
