@@ -263,6 +263,16 @@ def test_session_rows_are_not_dealt_again_for_the_visitor_flag(spark):
     assert len(se.FIRST_LAST) < max(sizes) < 2 * len(se.FIRST_LAST)
 
 
+def test_items_of_json_are_built_after_the_order_fact_is_cut(spark, monkeypatch):
+    tb, given = testbed.Testbed(spark, "/root/testdata/sf0.001"), []
+    build = items.build_items
+    monkeypatch.setattr(items, "build_items", lambda feed, orders, *args: given.append(orders) or build(feed, orders, *args))
+    assert queries.QUERIES["items_json"](spark, tb.sf_dir).count() > 0
+    (cut,) = given
+    assert 0 < cut.count() < tb.orders().count()
+    assert not set(cut.inputFiles()) & set(tb.orders().inputFiles())
+
+
 def test_hot_and_other_sessions_read_the_marked_events_from_one_store(spark, monkeypatch):
     ev = spark.range(6).selectExpr("date'2024-01-01' AS event_date", "if(id = 5, null, cast(id as string)) AS unique_session_id")
     seen = {}
